@@ -1,0 +1,587 @@
+"""The registered queries: each runs one operator over the whole given tables."""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+from functools import reduce
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from tulha.functions.names import slug, spaced
+from tulha.functions.values import observation_value
+from tulha.operators import analyses, catalogue, geo, gold, observations as obs, quality, quarantine, silver
+from tulha.plans import fixtures as fx
+from tulha.plans.ingest import ingest_file
+from tulha.session import fresh_database, fresh_path
+from tulha.sinks import evolve, layout
+from tulha.sources import delimited, portal, responses, stations, tables
+from tulha.streaming import hourly
+
+Query = Callable[[SparkSession, str], DataFrame]
+QUERIES: dict[str, Query] = {}
+
+AS_OF_YEAR, WINDOW_YEARS = 2001, 5
+
+
+def query(function: Query) -> Query:
+    QUERIES[function.__name__] = function
+    return function
+
+
+def to_double(*columns: str) -> dict:
+    return {c: F.col(c).cast("double") for c in columns}
+
+
+# Analyses
+
+
+@query
+def top_locations(spark, sf):
+    return analyses.top_locations(fx.observations(spark, sf)).withColumn("media_valor", F.round("media_valor", 4))
+
+
+@query
+def location_mean(spark, sf):
+    return analyses.location_mean(fx.observations(spark, sf)).withColumn("media_valor", F.round("media_valor", 4))
+
+
+@query
+def period_total(spark, sf):
+    return analyses.period_total(fx.observations(spark, sf)).withColumn("total_valor", F.round("total_valor", 2))
+
+
+@query
+def period_window(spark, sf):
+    rows = analyses.period_window(fx.observations(spark, sf), WINDOW_YEARS, AS_OF_YEAR)
+    return rows.select("o_orderkey", "localidade_id", "variavel", "periodo", "ano", "valor")
+
+
+@query
+def annual_cost(spark, sf):
+    totals = ["total_custo_variavel_ha", "total_custo_fixo_ha", "total_custo_ha"]
+    return analyses.annual_cost(fx.costs(spark, sf)).withColumns(to_double(*totals))
+
+
+# Text and values
+
+
+@query
+def slug_text(spark, sf):
+    return fx.table(spark, sf, "documents").select(
+        "doc_id", slug(F.col("text")).alias("slug"), spaced(F.col("text")).alias("normalizado")
+    )
+
+
+@query
+def parse_observation_value(spark, sf):
+    rows = fx.table(spark, sf, "orders").select("o_orderkey", fx.published_value().alias("publicado"))
+    return rows.withColumn("valor", observation_value(F.col("publicado")))
+
+
+@query
+def catalog_topics(spark, sf):
+    documents = responses.parse_body(fx.catalogue_documents(spark, sf), responses.CATALOGUE_SCHEMA)
+    return catalogue.catalog_topics(documents)
+
+
+# Nested documents
+
+
+@query
+def flatten_observations(spark, sf):
+    """Responses landed as text lines, read back, parsed and flattened."""
+    path = fresh_path(spark, "responses")
+    landed = fx.nested_responses(spark, sf).select(
+        F.to_json(F.struct("agregado_id", F.col("parsed").alias("dados"))).alias("value")
+    )
+    landed.write.text(path)
+    body = responses.parse_body(
+        responses.read_landed_text(spark, path), f"struct<agregado_id:string, dados:{responses.DATA_SCHEMA}>"
+    )
+    flat = obs.flatten_observations(body.select("parsed.agregado_id", F.col("parsed.dados").alias("parsed")))
+    entries = F.transform("dimensoes", lambda d: F.concat_ws("=", d["key"], d["value"]))
+    return flat.withColumn("dimensoes", F.array_join(entries, ";"))
+
+
+@query
+def dimension_columns(spark, sf):
+    flat = obs.flatten_observations(fx.nested_responses(spark, sf))
+    return obs.dimension_columns(flat, obs.dimension_keys(flat))
+
+
+@query
+def preferred_level(spark, sf):
+    documents = responses.parse_body(fx.metadata_documents(spark, sf), responses.METADATA_SCHEMA)
+    return catalogue.request_specs(documents).select("agregado_id", "nivel", "motivo")
+
+
+@query
+def request_specs(spark, sf):
+    documents = responses.parse_body(fx.metadata_documents(spark, sf), responses.METADATA_SCHEMA)
+    documents = responses.parse_body(documents, responses.PERIODS_SCHEMA, "period_body", "periodos")
+    specs = catalogue.request_specs(documents, keep=["periodos"])
+    wanted = catalogue.requests_by_period(specs, "periodos", WINDOW_YEARS, AS_OF_YEAR)
+    return wanted.select("agregado_id", "periodo", "variaveis", "nivel", "localidades", "classificacao", "caminho")
+
+
+@query
+def page_link_catalog(spark, sf):
+    pages = fx.table(spark, sf, "pages")
+    links = portal.page_links(pages, heading_tag="title", path_marker="/", keep=("page_id",))
+    return links.select("page_id", F.col("position").cast("bigint").alias("position"), "categoria", "tabela", "nome_original", "url", "extensao")
+
+
+@query
+def quarantine_split(spark, sf):
+    """Response bodies, some of them broken, counted by variable and reason."""
+    k = F.col("o_orderkey")
+    good = F.to_json("parsed")
+    body = (
+        F.when(k % 23 == 0, F.lit(None).cast("string"))
+        .when(k % 23 == 1, "")
+        .when(k % 23 == 2, "[]")
+        .when(k % 23 == 3, '{"erro": "500"}')
+        .when(k % 23 == 4, F.concat(F.lit("<html>"), k.cast("string")))
+        .otherwise(good)
+    )
+    landed = fx.nested_responses(spark, sf).select("agregado_id", body.alias("body"))
+    marked = quarantine.mark_responses(landed)
+    good_rows, rejects = quarantine.split_marked(marked)
+    flat = obs.flatten_observations(good_rows)
+    kept = flat.groupBy("variavel").agg(F.count(F.lit(1)).alias("n_linhas")).withColumn("motivo", F.lit(None).cast("string"))
+    lost = quarantine.summary(rejects.withColumn("variavel", F.lit("rejeitada")), "variavel")
+    return kept.unionByName(lost)
+
+
+# Scans
+
+
+@query
+def scan_semicolon_latin1(spark, sf):
+    path = fresh_path(spark, "armazens")
+    rows = fx.table(spark, sf, "customer").select(
+        F.col("c_custkey").alias("Identificação Armazém"),
+        F.concat(F.lit("Armazém nº "), F.col("c_custkey").cast("string")).alias("Nome (armazém)"),
+        F.col("c_mktsegment").alias("UF"),
+        F.col("c_acctbal").cast("decimal(18,2)").alias("qtd_capacidade_estatica(t)"),
+        F.col("c_nationkey").alias("2º código"),
+        F.col("c_nationkey").alias("Código"),
+        F.col("c_nationkey").alias("CODIGO."),
+    )
+    rows.write.option("header", True).option("sep", ";").option("encoding", "ISO-8859-1").csv(path)
+    declared = T.StructType(
+        [T.StructField(f.name, T.DoubleType() if isinstance(f.dataType, T.DecimalType) else f.dataType) for f in rows.schema]
+    )
+    return delimited.read_semicolon_latin1(spark, path, schema=declared)
+
+
+@query
+def scan_csv(spark, sf):
+    path = fresh_path(spark, "partes")
+    rows = fx.table(spark, sf, "part").select(
+        "p_partkey",
+        F.concat(F.col("p_name"), F.lit(', "tipo" '), F.col("p_type")).alias("Descrição"),
+        F.col("p_size").alias("Tamanho"),
+        F.col("p_retailprice").cast("decimal(18,2)").alias("Preço (R$)"),
+    )
+    rows.write.option("header", True).option("escape", '"').csv(path)
+    df = delimited.conform_columns(spark.read.option("escape", '"').csv(path, header=True, inferSchema=True))
+    return df.withColumn("p_partkey", F.col("p_partkey").cast("bigint"))
+
+
+@query
+def parse_decimal_comma(spark, sf):
+    """Line items as `;` Latin-1 text with decimal commas and NA tokens, read back as numbers."""
+    path = fresh_path(spark, "precos")
+    comma = lambda c: F.translate(fx.money(c), ".", ",")
+    n = F.col("l_linenumber")
+    fx.table(spark, sf, "lineitem").select(
+        F.col("l_orderkey").alias("Pedido"),
+        n.alias("Linha"),
+        F.when(n == 7, " ").when(n == 6, "NaN").otherwise(comma("l_extendedprice")).alias("Preço (R$)"),
+        F.when(n == 5, "N/A").otherwise(comma("l_discount")).alias("Desconto"),
+        F.col("l_returnflag").alias("Situação"),
+    ).write.option("header", True).option("sep", ";").option("encoding", "ISO-8859-1").option(
+        "ignoreTrailingWhiteSpace", False
+    ).option("ignoreLeadingWhiteSpace", False).csv(path)
+    df = delimited.read_decimal_comma(spark, path, ["preco_r", "desconto"])
+    return df.withColumns({"pedido": F.col("pedido").cast("bigint"), "linha": F.col("linha").cast("int")})
+
+
+@query
+def scan_utf16_tab(spark, sf):
+    path = fresh_path(spark, "capacidade")
+    fx.table(spark, sf, "orders").select(
+        F.year("o_orderdate").alias("Ano"),
+        F.col("o_orderpriority").alias("UF"),
+        F.concat(F.lit("nº "), F.col("o_orderkey").cast("string")).alias("Série"),
+        F.col("o_totalprice").cast("decimal(18,2)").alias("Quantidade (mil t)"),
+    ).write.option("header", True).option("sep", "\t").option("encoding", "UTF-16").csv(path)
+    df = delimited.read_utf16_export(spark, path)
+    return df.withColumns({"ano": F.col("ano").cast("int"), "quantidade_mil_t": F.col("quantidade_mil_t").cast("double")})
+
+
+def _stations(spark, sf) -> DataFrame:
+    rows = stations.read_station_files(spark, fx.land_station_files(spark, sf), fx.STATION_COLUMNS)
+    return rows.withColumn("estacao", F.regexp_extract("path", "estacao=([^/]+)", 1)).drop("path")
+
+
+@query
+def station_files_union(spark, sf):
+    return _stations(spark, sf).drop("arquivo_origem")
+
+
+@query
+def archive_members(spark, sf):
+    members = stations.expand_archives(fx.station_archives(spark, sf))
+    rows = stations.parse_station_files(members.where(F.col("path").rlike(r"(?i)\.csv$")), fx.STATION_COLUMNS)
+    return rows.drop("path")
+
+
+@query
+def climate_daily(spark, sf):
+    measures = ["precipitacao_total_mm", "temperatura_maxima_c"]
+    daily = gold.climate_daily(_stations(spark, sf), measures)
+    rounded = {f"{m}_media": F.round(f"{m}_media", 6) for m in measures} | {f"{m}_soma": F.round(f"{m}_soma", 2) for m in measures}
+    return daily.withColumns(rounded)
+
+
+@query
+def union_by_name(spark, sf):
+    """Event types with different columns stacked into one frame."""
+    events = fx.table(spark, sf, "events")
+    kinds = {
+        "click": ["event_id", "user_id", "value"],
+        "error": ["event_id", "props"],
+        "purchase": ["event_id", "value", "props"],
+        "signup": ["event_id", "user_id"],
+        "view": ["event_id", "user_id", "props"],
+    }
+    frames = [
+        events.where(F.col("event_type") == kind).select(*columns, F.lit(f"{kind}.csv").alias("arquivo_origem"))
+        for kind, columns in kinds.items()
+    ]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
+
+
+# Evolving tables
+
+
+def _supplier(spark, sf) -> tuple[DataFrame, DataFrame]:
+    """Suppliers as two loads."""
+    rows = fx.table(spark, sf, "supplier")
+    even = F.col("s_suppkey") % 2 == 0
+    first, second = rows.where(even), rows.where(~even)
+    return first.withColumn("carga", F.lit("c1")), second.withColumn("carga", F.lit("c2"))
+
+
+@query
+def evolve_create_append(spark, sf):
+    first, second = _supplier(spark, sf)
+    name = f"{fresh_database(spark, 'cadastro')}.fornecedor"
+    evolve.write_evolving(spark, first, name)
+    evolve.write_evolving(spark, second, name)
+    return spark.table(name)
+
+
+@query
+def evolve_add_column(spark, sf):
+    first, second = _supplier(spark, sf)
+    name = f"{fresh_database(spark, 'cadastro')}.fornecedor"
+    evolve.write_evolving(spark, first, name)
+    evolve.write_evolving(
+        spark, second.withColumns({"2_nome": F.upper("s_name"), "saldo_mil": F.round(F.col("s_acctbal") / 1000, 3)}), name
+    )
+    return spark.table(name)
+
+
+@query
+def evolve_missing_column(spark, sf):
+    first, second = _supplier(spark, sf)
+    name = f"{fresh_database(spark, 'cadastro')}.fornecedor"
+    evolve.write_evolving(spark, first, name)
+    evolve.write_evolving(spark, second.drop("s_acctbal").select("carga", "s_nationkey", "s_name", "s_suppkey"), name)
+    return spark.table(name)
+
+
+@query
+def evolve_type_conflict(spark, sf):
+    """The second load turns a number into text: old rows stay in the backup, new rows start anew."""
+    first, second = _supplier(spark, sf)
+    name = f"{fresh_database(spark, 'cadastro')}.fornecedor"
+    evolve.write_evolving(spark, first, name)
+    report = evolve.write_evolving(spark, second.withColumn("s_acctbal", fx.money("s_acctbal")), name)
+    now, old = spark.table(name), spark.table(report.backup)
+    return now.withColumn("origem", F.lit("atual")).unionByName(
+        old.withColumn("s_acctbal", fx.money("s_acctbal")).withColumn("origem", F.lit("backup"))
+    )
+
+
+@query
+def ingest_landed_files(spark, sf):
+    """Two landed portal files of one dataset, the second with a new column, through the whole flow."""
+    rows = fx.table(spark, sf, "part")
+    name = f"{fresh_database(spark, 'portal')}.custo_de_producao"
+    half = F.col("p_partkey") % 2 == 0
+    base = [F.col("p_partkey").cast("string").alias("Código"), F.col("p_name").alias("Descrição")]
+    loads = [
+        ("c1", "2024-01-01 06:00:00", rows.where(half).select(*base)),
+        ("c2", "2024-01-02 06:00:00", rows.where(~half).select(*base, F.col("p_brand").alias("Marca/UF"))),
+    ]
+    for batch, at, load in loads:
+        path = fresh_path(spark, "portal")
+        load.write.option("header", True).option("sep", ";").option("encoding", "ISO-8859-1").csv(path)
+        ingest_file(spark, path, "txt", name, batch, at, source_file=f"{batch}.txt")
+    return spark.table(name)
+
+
+@query
+def observations_by_dataset(spark, sf):
+    """Observations laid out by dataset; each dataset's wide view reads only its own partition."""
+    name = f"{fresh_database(spark, 'estatistica')}.observacoes"
+    rows = fx.observations(spark, sf).withColumn(
+        "dimensoes", F.array(F.struct(F.lit("segmento").alias("key"), F.col("segmento").alias("value")))
+    )
+    layout.write_layer_table(rows.select(*obs.CORE_COLUMNS, "dimensoes"), name, "bronze", ["agregado_id"])
+    wide = [obs.dataset_view(spark.table(name), dataset, ["segmento"]) for dataset in fx.STATUS.values()]
+    totals = [w.groupBy("agregado_id", "segmento").agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("valor"), 2).alias("total")) for w in wide]
+    return reduce(DataFrame.unionByName, totals)
+
+
+@query
+def compact_table(spark, sf):
+    """A table grown by many small appends, rewritten into few files."""
+    name = f"{fresh_database(spark, 'cadastro')}.clientes"
+    rows = fx.table(spark, sf, "customer")
+    many = rows.repartition(16, "c_custkey")
+    evolve.write_evolving(spark, many, name, partition_by=["c_mktsegment"])
+    layout.compact_table(spark, name, partition_by=["c_mktsegment"])
+    return spark.table(name)
+
+
+@query
+def reference_refresh(spark, sf):
+    """Reference rows replaced as a whole by the second load."""
+    name = f"{fresh_database(spark, 'metadados')}.partes"
+    rows = fx.table(spark, sf, "part")
+    evolve.replace_table(rows.select("p_partkey", "p_name"), name)
+    evolve.replace_table(rows.select("p_partkey", F.upper("p_name").alias("nome"), "p_size"), name)
+    return spark.table(name)
+
+
+@query
+def table_inventory(spark, sf):
+    db = fresh_database(spark, "cadastro")
+    loads = {"fornecedor": ("supplier", "2024-01-02 03:00:00"), "cliente": ("customer", "2024-01-03 03:00:00"), "pedido": ("orders", "2024-01-04 03:00:00")}
+    for name, (source, at) in loads.items():
+        rows = fx.table(spark, sf, source)
+        if source == "orders":
+            rows = rows.withColumn("o_totalprice", F.when(F.col("o_orderkey") % 17 != 0, F.col("o_totalprice")))
+        evolve.write_evolving(spark, quality.with_lineage(rows, "c1", at, f"{source}.parquet"), f"{db}.{name}")
+    return tables.table_inventory(spark, [db])
+
+
+# Silver and gold
+
+
+@query
+def silver_typed(spark, sf):
+    k = F.col("o_orderkey")
+    text = fx.table(spark, sf, "orders").select(
+        "o_orderkey",
+        F.when(k % 13 == 0, "n/d").otherwise(fx.money("o_totalprice")).alias("valor"),
+        F.when(k % 29 == 0, "jan").otherwise(F.date_format("o_orderdate", "yyyy-MM-dd")).alias("data"),
+        F.when(k % 31 != 0, F.date_format("o_orderdate", "yyyy")).alias("ano"),
+    )
+    typed = silver.typed(text, {"valor": "double", "data": "date", "ano": "int"})
+    return typed.select(
+        "o_orderkey", "valor", F.col("data").cast("string").alias("data"), "ano", F.array_join("_rejeitadas", ",").alias("rejeitadas")
+    )
+
+
+OBSERVATION_KEY = ["agregado_id", "variavel", "localidade_id", "periodo", "segmento"]
+
+
+def _bronze(spark, sf) -> DataFrame:
+    """Observations with lineage: orders of one key are reloads of one observation."""
+    rows = fx.observations(spark, sf)
+    source = F.concat(F.lit("arquivo_"), F.lpad(F.col("o_orderkey").cast("string"), 12, "0"))
+    return quality.with_lineage(rows, "c1", F.col("o_orderdate"), source)
+
+
+@query
+def silver_dedup(spark, sf):
+    latest = silver.latest_by_key(_bronze(spark, sf), OBSERVATION_KEY)
+    return latest.select(*OBSERVATION_KEY, "valor", F.col("_source_file").alias("arquivo"))
+
+
+@query
+def gold_state_year(spark, sf):
+    totals = gold.state_year(fx.observations(spark, sf), "1-URGENT", "2-HIGH")
+    return totals.withColumns(
+        {"producao": F.round("producao", 2), "area": F.round("area", 2), "rendimento": F.round("rendimento", 6)}
+    )
+
+
+@query
+def gold_partitioned(spark, sf):
+    """Gold totals laid out by year with the gold codec; the year filter prunes folders."""
+    path = fresh_path(spark, "ouro")
+    layout.write_layer(gold_state_year(spark, sf), path, "gold", ["ano"])
+    return spark.read.parquet(path).where(F.col("ano") >= 1998)
+
+
+@query
+def star_fact(spark, sf):
+    rows = fx.observations(spark, sf)
+    joined = gold.star_join(gold.star_fact(rows), gold.star_dimensions(rows))
+    return joined.groupBy("localidade_nome", "ano", "variavel", "unidade", "agregado_id").agg(
+        F.count(F.lit(1)).alias("n_fatos"), F.round(F.sum("valor"), 2).alias("total_valor")
+    )
+
+
+@query
+def orphan_facts(spark, sf):
+    """Facts whose location is missing from a dimension that lacks one region."""
+    rows = fx.observations(spark, sf)
+    nation, region = fx.table(spark, sf, "nation"), fx.table(spark, sf, "region")
+    known = nation.join(region, F.col("n_regionkey") == F.col("r_regionkey")).where("r_name <> 'ASIA'")
+    dimension = known.select(F.col("n_nationkey").cast("string").alias("localidade_id")).select(
+        gold.surrogate_key("localidade_id").alias("sk_localidade")
+    )
+    facts = rows.select("o_orderkey", "localidade_id", "periodo", "valor", gold.surrogate_key("localidade_id").alias("sk_localidade"))
+    return gold.orphan_facts(facts, dimension, "sk_localidade").drop("sk_localidade")
+
+
+@query
+def feature_lags(spark, sf):
+    """Monthly features joined with a monthly climate value per location."""
+    rows = fx.observations(spark, sf)
+    climate = (
+        fx.table(spark, sf, "lineitem")
+        .join(fx.table(spark, sf, "supplier"), F.col("l_suppkey") == F.col("s_suppkey"))
+        .groupBy(F.col("s_nationkey").cast("string").alias("localidade_id"), F.date_format("l_shipdate", "yyyyMM").alias("periodo"))
+        .agg(F.sum(F.col("l_quantity").cast("decimal(18,2)")).cast("double").alias("chuva_mm"))
+    )
+    features = gold.feature_lags(rows, climate)
+    return features.withColumns(
+        {"valor_mes": F.round("valor_mes", 2), "mes_anterior": F.round("mes_anterior", 2), "ano_anterior": F.round("ano_anterior", 2), "media_3_meses": F.round("media_3_meses", 4)}
+    )
+
+
+@query
+def pseudonymised(spark, sf):
+    rows = fx.table(spark, sf, "customer").select("c_custkey", "c_name", "c_mktsegment")
+    return silver.pseudonymised(rows, ["c_name"], spark.conf.get("spark.tulha.pseudonym.salt", "sal-de-teste"))
+
+
+@query
+def nearest_site(spark, sf):
+    points = fx.table(spark, sf, "customer").select(F.col("c_custkey").alias("ponto_id"), *fx.coordinates("c_custkey", 7919, 104729))
+    sites = fx.table(spark, sf, "supplier").select(F.col("s_suppkey").alias("local_id"), *fx.coordinates("s_suppkey", 3571, 6133))
+    return geo.nearest_site(points, sites).withColumn("distancia_km", F.round("distancia_km", 3))
+
+
+# Quality
+
+
+@query
+def completeness(spark, sf):
+    """Orders per month as expected rows against shipped lines per month as loaded rows."""
+    month = lambda c: F.date_format(c, "yyyyMM").alias("periodo")
+    expected = fx.table(spark, sf, "orders").select(month("o_orderdate"))
+    loaded = fx.table(spark, sf, "lineitem").select(month("l_shipdate"))
+    return quality.completeness(expected, loaded, ["periodo"])
+
+
+@query
+def missing_items(spark, sf):
+    expected = fx.table(spark, sf, "part").select("p_partkey", "p_brand")
+    loaded = fx.table(spark, sf, "lineitem").select(F.col("l_partkey").alias("p_partkey"))
+    return quality.missing_items(expected, loaded, "p_partkey")
+
+
+@query
+def load_kpis(spark, sf):
+    log = fx.table(spark, sf, "events").withColumn("dia", F.date_format("ts", "yyyy-MM-dd"))
+    as_of = F.lit("2024-02-01 06:00:00").cast("timestamp_ntz")
+    return quality.load_kpis(log, F.col("event_type") == "error", "ts", ["dia"], as_of)
+
+
+@query
+def quality_report(spark, sf):
+    rows = fx.observations(spark, sf)
+    checks = {
+        "valor_presente": ("completude", "valor", F.col("valor").isNotNull()),
+        "periodo_valido": ("validade", "periodo", F.col("periodo").rlike("^[0-9]{4}(0[1-9]|1[0-2])?$")),
+        "periodo_mensal": ("validade", "periodo", F.length("periodo") == 6),
+        "valor_plausivel": ("validade", "valor", F.col("valor").between(1000, 400000)),
+        "ano_do_pedido": ("consistencia", "periodo", F.substring("periodo", 1, 4) == F.date_format("o_orderdate", "yyyy")),
+    }
+    return quality.quality_report(rows, checks)
+
+
+@query
+def contract_violations(spark, sf):
+    k = F.col("o_orderkey")
+    landed = fx.table(spark, sf, "orders").select(
+        k.cast("string").alias("pedido"),
+        F.when(k % 13 == 0, "n/d").otherwise(fx.money("o_totalprice")).alias("valor"),
+        F.when(k % 11 != 0, F.date_format("o_orderdate", "yyyy-MM-dd")).alias("data"),
+    )
+    contract = T.StructType(
+        [
+            T.StructField("pedido", T.LongType(), False),
+            T.StructField("valor", T.DoubleType(), True),
+            T.StructField("data", T.DateType(), False),
+            T.StructField("uf", T.StringType(), False),
+        ]
+    )
+    return quality.contract_violations(landed, contract)
+
+
+@query
+def series_anomalies(spark, sf):
+    months = gold.monthly_totals(fx.observations(spark, sf))
+    found = quality.series_anomalies(months, ["variavel", "localidade_id"], "periodo", "valor_mes")
+    return found.withColumns({"valor_mes": F.round("valor_mes", 2), "z": F.round("z", 4)})
+
+
+@query
+def lineage(spark, sf):
+    """Rows per layer, file and batch, from bronze through silver."""
+    bronze = quality.with_lineage(
+        fx.table(spark, sf, "events"),
+        "",
+        F.col("ts"),
+        F.concat("event_type", F.lit(".json")),
+    ).withColumn("_batch_id", F.date_format("ts", "yyyyMMdd"))
+    latest = silver.latest_by_key(bronze, ["user_id", "event_type"], ["_ingest_ts", "event_id"])
+    return quality.lineage_rows({"bronze": bronze, "silver": latest})
+
+
+# Streams
+
+
+def _event_stream(spark, sf) -> DataFrame:
+    schema = fx.table(spark, sf, "events").schema
+    return hourly.read_file_stream(spark, sf, schema, glob="events.parquet")
+
+
+@query
+def stream_hourly(spark, sf):
+    out = fresh_path(spark, "stream")
+    hourly.run_available(hourly.hourly_readings(_event_stream(spark, sf), "event_type", "value"), f"{out}/rows", f"{out}/checkpoint")
+    ntz = {c: F.col(c).cast("timestamp_ntz") for c in ("inicio", "fim")}
+    return spark.read.parquet(f"{out}/rows").withColumns({**ntz, **to_double("soma")})
+
+
+@query
+def stream_dedup(spark, sf):
+    """Every event delivered twice, kept once."""
+    out = fresh_path(spark, "stream")
+    twice = _event_stream(spark, sf).union(_event_stream(spark, sf))
+    hourly.run_available(hourly.without_redeliveries(twice, "event_id"), f"{out}/rows", f"{out}/checkpoint")
+    return spark.read.parquet(f"{out}/rows").withColumn("ts", F.col("ts").cast("timestamp_ntz"))
