@@ -20,11 +20,16 @@ def _ascii(text: str) -> str:
     return unicodedata.normalize("NFKD", text).encode("ascii", "ignore").decode("ascii")
 
 
+def plain_slug(text: str) -> str:
+    """The slug of one name held by the driver; `slug` does the same to a column."""
+    return re.sub("[^a-z0-9]+", "_", _ascii(text).lower()).strip("_")
+
+
 def column_name(raw: object) -> str:
     """One safe column name. NUL bytes left by a misread 16-bit file are removed."""
     text = "" if raw is None else str(raw).replace("\0", "").strip()
-    slug = re.sub("[^a-z0-9]+", "_", _ascii(text or BLANK_NAME).lower()).strip("_") or BLANK_NAME
-    return DIGIT_PREFIX + slug if slug[0].isdigit() else slug
+    name = plain_slug(text or BLANK_NAME) or BLANK_NAME
+    return DIGIT_PREFIX + name if name[0].isdigit() else name
 
 
 def column_names(raw_names: Iterable[object]) -> list[str]:
@@ -111,7 +116,7 @@ def slug(text: Column) -> Column:
 
 def spaced(text: Column) -> Column:
     """The same normalisation with single spaces, for term matching."""
-    return F.trim(F.regexp_replace(F.lower(fold_accents(text)), "[^a-z0-9]+", " "))
+    return F.translate(slug(text), "_", " ")
 
 
 def mentions(text: Column, terms: Iterable[str]) -> Column:
@@ -129,3 +134,12 @@ def mentions(text: Column, terms: Iterable[str]) -> Column:
         if len(term) > 3:
             found = found | text.contains(term)
     return found
+
+
+def computed_once(df: DataFrame, name: str, value: Column) -> DataFrame:
+    """Add a costly column that later filters read several times.
+
+    A plain column would be copied into every filter condition that names it;
+    the output of a generator is not, so the value is worked out once per row.
+    """
+    return df.select("*", F.explode(F.array(value)).alias(name))

@@ -18,13 +18,17 @@ NA_TOKENS = [
 
 # Digits may be grouped by single underscores; sign, fraction and exponent are optional.
 _DIGITS = "[0-9]+(?:_[0-9]+)*"
-NUMBER = rf"^[+-]?(?:{_DIGITS}\.?(?:{_DIGITS})?|\.{_DIGITS})(?:[eE][+-]?{_DIGITS})?$"
+NUMBER = rf"^\s*([+-]?(?:{_DIGITS}\.?(?:{_DIGITS})?|\.{_DIGITS})(?:[eE][+-]?{_DIGITS})?)\s*$"
+COMMA_NUMBER = r"^\s*([+-]?(?:[0-9]+,?[0-9]*|,[0-9]+)(?:[eE][+-]?[0-9]+)?)\s*$"
 
 
 def finite_double(text: Column) -> Column:
-    """Text to double; NULL when it is not a finite number."""
-    bare = F.regexp_replace(text, r"^\s+|\s+$", "")
-    number = F.when(bare.rlike(NUMBER), F.replace(bare, F.lit("_"), F.lit(""))).try_cast("double")
+    """Text to double; NULL when it is not a finite number.
+
+    Extraction gives '' for text of another shape, which casts to NULL, so one
+    pattern match both checks and trims.
+    """
+    number = F.replace(F.regexp_extract(text, NUMBER, 1), F.lit("_"), F.lit("")).try_cast("double")
     return F.when(F.abs(number) < float("inf"), number)
 
 
@@ -40,11 +44,9 @@ def decimal_comma(
     na_tokens: Sequence[str] = NA_TOKENS,
 ) -> Column:
     """`1234,56` to a number. A thousands mark is read only when the contract names one."""
-    bare = F.trim(text)
-    if thousands:
-        bare = F.replace(bare, F.lit(thousands), F.lit(""))
-    number = F.when(bare.rlike(r"^[+-]?(?:[0-9]+,?[0-9]*|,[0-9]+)(?:[eE][+-]?[0-9]+)?$"), F.translate(bare, ",", "."))
-    return F.when(~text.isin(list(na_tokens)), number.try_cast(type_name))
+    bare = F.replace(text, F.lit(thousands), F.lit("")) if thousands else text
+    number = F.translate(F.regexp_extract(bare, COMMA_NUMBER, 1), ",", ".").try_cast(type_name)
+    return F.when(~text.isin(list(na_tokens)), number)
 
 
 def period_year(period: Column) -> Column:

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tulha.functions.names import mentions, slug, spaced
+from tulha.functions.names import computed_once, mentions, spaced
 from tulha.functions.values import in_calendar_window
 
 # Surveys taken whole, the survey filtered by topic, its topics,
@@ -45,18 +45,20 @@ def catalog_topics(
     Surveys are filtered before their aggregates are exploded, so a survey that
     is not wanted costs one normalised name.
     """
-    survey = surveys.select(F.explode(parsed).alias("p")).withColumn("pesquisa_norm", spaced(F.coalesce("p.nome", F.lit(""))))
+    each = surveys.select(F.explode(parsed).alias("p"))
+    survey = computed_once(each, "pesquisa_norm", spaced(F.coalesce("p.nome", F.lit(""))))
     named = survey.select(
         "p",
         mentions(F.col("pesquisa_norm"), whole).alias("inteira"),
         F.col("pesquisa_norm").contains(census).alias("censo"),
     ).where("inteira OR censo")
-    aggregates = named.select(
+    each = named.select(
         F.col("p.id").alias("pesquisa_id"),
         F.coalesce("p.nome", F.lit("")).alias("pesquisa"),
         "inteira",
         F.explode("p.agregados").alias("a"),
-    ).withColumn("agregado_norm", spaced(F.col("a.nome")))
+    )
+    aggregates = computed_once(each, "agregado_norm", spaced(F.col("a.nome")))
     wanted = aggregates.where(
         ~F.col("agregado_norm").contains(discontinued)
         & (F.col("inteira") | mentions(F.col("agregado_norm"), topics))
@@ -66,7 +68,7 @@ def catalog_topics(
         "pesquisa",
         F.col("a.id").alias("agregado_id"),
         F.substring(
-            F.concat(F.lit("agregado_"), F.col("a.id"), F.lit("_"), slug(F.col("a.nome"))), 1, TABLE_NAME_LENGTH
+            F.concat(F.lit("agregado_"), F.col("a.id"), F.lit("_"), F.translate("agregado_norm", " ", "_")), 1, TABLE_NAME_LENGTH
         ).alias("tabela"),
         F.col("a.nome").alias("nome_original"),
     )

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tulha.functions.names import slug
+from tulha.functions.names import plain_slug
 from tulha.functions.values import observation_value
 
 # Core columns of an observation, in order, and the dimension name of last resort.
@@ -16,23 +16,20 @@ UNNAMED_DIMENSION = "classificacao"
 
 
 def dimension_entries(classifications: Column) -> Column:
-    """`array<struct<key, value>>`: name and id entry per classification, in order.
+    """`array<struct<rotulo, id, nome>>`, one entry per classification, in order.
 
     The first category counts; a classification without categories is skipped.
-    The key comes from the classification's name, else its id, else a constant.
+    The label is the classification's name, else its id, else a constant. It
+    stays as published: it becomes a column name once per table, not per row.
     """
 
-    def entries(c: Column) -> Column:
+    def entry(c: Column) -> Column:
         first = F.get(F.map_entries(c["categoria"]), F.lit(0))
         label = F.coalesce(F.nullif(c["nome"], F.lit("")), F.nullif(c["id"], F.lit("")), F.lit(UNNAMED_DIMENSION))
-        key = slug(label)
-        pair = lambda k, v: F.named_struct(F.lit("key"), k, F.lit("value"), v)
-        return F.array(pair(key, first["value"]), pair(F.concat(key, F.lit("_id")), first["key"]))
+        return F.named_struct(F.lit("rotulo"), label, F.lit("id"), first["key"], F.lit("nome"), first["value"])
 
     filled = F.filter(classifications, lambda c: F.size(c["categoria"]) > 0)
-    return F.coalesce(
-        F.flatten(F.transform(filled, entries)), F.array().cast("array<struct<key:string,value:string>>")
-    )
+    return F.coalesce(F.transform(filled, entry), F.array().cast("array<struct<rotulo:string,id:string,nome:string>>"))
 
 
 def flatten_observations(
@@ -71,35 +68,40 @@ def flatten_observations(
     ).withColumn("valor", observation_value(F.col("valor_publicado")))
 
 
-def dimension_keys(observations: DataFrame, at_most: int = 2000) -> list[str]:
-    """Distinct dimension keys, in name order. More than `at_most` is an error, not a cut."""
-    rows = (
-        observations.select(F.explode("dimensoes.key").alias("key"))
-        .distinct()
-        .limit(at_most + 1)
-        .collect()
-    )
+def dimension_labels(observations: DataFrame, at_most: int = 2000) -> list[str]:
+    """Distinct dimension labels, in order. More than `at_most` is an error, not a cut."""
+    rows = observations.select(F.explode("dimensoes.rotulo").alias("rotulo")).distinct().limit(at_most + 1).collect()
     if len(rows) > at_most:
-        raise ValueError(f"more than {at_most} dimension columns")
-    return sorted(r.key for r in rows)
+        raise ValueError(f"more than {at_most} dimension labels")
+    return sorted(r.rotulo for r in rows)
 
 
-def dimension_columns(observations: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Give each key its own column; of repeated keys in a row the last one counts.
+def dimension_columns(observations: DataFrame, labels: Sequence[str]) -> DataFrame:
+    """Two columns per dimension, `<slug>` and `<slug>_id`, from its published label.
 
-    A key equal to a core text column takes that column's place; one equal to
-    `valor` is refused, as text cannot replace the number.
+    Where several entries of a row feed one column, the last one counts. A
+    dimension named like a core text column takes that column's place; one
+    named `valor` is refused, as text cannot replace the number.
     """
-    if "valor" in keys:
+    names_of: dict[str, list[str]] = {}
+    ids_of: dict[str, list[str]] = {}
+    for label in labels:
+        name = plain_slug(label) or UNNAMED_DIMENSION
+        names_of.setdefault(name, []).append(label)
+        ids_of.setdefault(f"{name}_id", []).append(label)
+    columns = sorted({*names_of, *ids_of})
+    if "valor" in columns:
         raise ValueError("a dimension named 'valor' would replace the observed value")
 
-    def entry(key: str) -> Column:
-        return F.try_element_at(F.filter("dimensoes", lambda d: d["key"] == key), F.lit(-1))["value"]
+    def cell(column: str) -> Column:
+        names, ids = names_of.get(column, []), ids_of.get(column, [])
+        last = F.try_element_at(F.filter("dimensoes", lambda d: d["rotulo"].isin(names + ids)), F.lit(-1))
+        return F.when(last["rotulo"].isin(names), last["nome"]).otherwise(last["id"]) if names else last["id"]
 
-    core = [F.coalesce(entry(c), F.col(c)).alias(c) if c in keys else F.col(c) for c in CORE_COLUMNS]
-    return observations.select(*core, *[entry(k).alias(k) for k in keys if k not in CORE_COLUMNS])
+    core = [F.coalesce(cell(c), F.col(c)).alias(c) if c in columns else F.col(c) for c in CORE_COLUMNS]
+    return observations.select(*core, *[cell(c).alias(c) for c in columns if c not in CORE_COLUMNS])
 
 
-def dataset_view(observations: DataFrame, dataset: str, keys: Sequence[str]) -> DataFrame:
+def dataset_view(observations: DataFrame, dataset: str, labels: Sequence[str]) -> DataFrame:
     """Wide rows of one dataset; the filter prunes partitions of a table laid out by dataset."""
-    return dimension_columns(observations.where(F.col("agregado_id") == dataset), keys)
+    return dimension_columns(observations.where(F.col("agregado_id") == dataset), labels)

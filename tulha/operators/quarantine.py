@@ -21,8 +21,12 @@ def mark_responses(df: DataFrame, body: str = "body", schema: str = DATA_SCHEMA)
 
 
 def split_marked(marked: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Good rows, and rejected rows with their reason."""
-    return marked.where("motivo IS NULL").drop("motivo"), marked.where("motivo IS NOT NULL").drop("parsed")
+    """Good rows, and rejected rows with their reason.
+
+    Rows staged apart by `_ok` are told apart by that column, which prunes folders.
+    """
+    passed = F.col("_ok") if "_ok" in marked.columns else F.col("motivo").isNull()
+    return marked.where(passed).drop("motivo", "_ok"), marked.where(~passed).drop("parsed", "_ok")
 
 
 def summary(marked: DataFrame, by: str) -> DataFrame:

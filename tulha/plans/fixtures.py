@@ -9,6 +9,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tulha.functions.names import computed_once
 from tulha.session import fresh_path
 
 
@@ -130,13 +131,12 @@ def nested_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.array().cast("array<struct<id:string,nome:string,categoria:map<string,string>>>"),
         F.array(series(F.lit("BR"), F.lit("Brasil"), F.create_map(month, F.lit("1")))),
     )
-    return table(spark, sf_dir, "orders").select(
-        "o_orderkey",
-        F.col("o_orderkey").cast("string").alias("agregado_id"),
-        F.array(
-            variable(F.lit("Valor"), F.lit("money"), F.array(by_status, by_priority, empty)),
-            variable(F.lit("Quantidade"), F.lit("unidades"), F.array(plain)),
-        ).alias("parsed"),
+    response = F.array(
+        variable(F.lit("Valor"), F.lit("money"), F.array(by_status, by_priority, empty)),
+        variable(F.lit("Quantidade"), F.lit("unidades"), F.array(plain)),
+    )
+    return computed_once(table(spark, sf_dir, "orders"), "parsed", response).select(
+        "o_orderkey", F.col("o_orderkey").cast("string").alias("agregado_id"), "parsed"
     )
 
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tulha.operators.observations import flatten_observations
 from tulha.operators.quality import with_lineage
 from tulha.operators.quarantine import mark_responses, split_marked
+from tulha.session import fresh_path
 from tulha.sinks.evolve import WriteReport, write_evolving
 from tulha.sinks.layout import rebalanced
 from tulha.sources.delimited import read_landed_file
@@ -37,10 +38,15 @@ def ingest_responses(
 
     Unusable bodies go to the rejects table with a reason; the others go on. A
     load without a single observation writes none and reports None for it.
+    Bodies are parsed once: the marked rows are staged in the shared folder,
+    apart by outcome, and both writes start from there.
     """
-    marked = mark_responses(responses)
-    good, bad = split_marked(marked)
-    rejects = write_evolving(spark, with_lineage(bad, batch_id, ingest_ts, F.col("source_file")), rejects_table)
+    staged = fresh_path(spark, "marked")
+    mark_responses(responses).withColumn("_ok", F.col("motivo").isNull()).write.partitionBy("_ok").parquet(staged)
+    good, bad = split_marked(spark.read.parquet(staged))
+    rejects = write_evolving(
+        spark, with_lineage(bad, batch_id, ingest_ts, F.col("source_file")), rejects_table
+    )
     rows = flatten_observations(good, dataset_id=dataset_id, keep=[*keep, "source_file"])
     loaded = with_lineage(rows, batch_id, ingest_ts, F.col("source_file")).drop("source_file")
     if loaded.isEmpty():

@@ -120,9 +120,8 @@ FROM marcadas WHERE NOT contains(an, 'serie encerrada') AND (inteira OR (censo A
     "flatten_observations": f"""WITH {RESPONSES}
 SELECT agregado_id, variavel, unidade, localidade_id, localidade_nome, periodo, valor_publicado,
        CASE resultado
-         WHEN 1 THEN 'situacao_do_pedido=' || {STATUS} || ';situacao_do_pedido_id=' || o_orderstatus || ';82=Total;82_id=0'
-         WHEN 2 THEN 'classificacao=' || o_orderpriority || ';classificacao_id=p;situacao_do_pedido=' || {STATUS}
-              || ';situacao_do_pedido_id=' || o_orderstatus || ';situacao_do_pedido=repetida;situacao_do_pedido_id=z'
+         WHEN 1 THEN 'Situação do pedido=' || o_orderstatus || '=' || {STATUS} || ';82=0=Total'
+         WHEN 2 THEN 'classificacao=p=' || o_orderpriority || ';Situação do pedido=' || o_orderstatus || '=' || {STATUS} || ';SITUACAO DO PEDIDO=z=repetida'
          ELSE '' END AS dimensoes,
        valor
 FROM flat JOIN orders USING (o_orderkey)""",

@@ -101,14 +101,14 @@ def flatten_observations(spark, sf):
         responses.read_landed_text(spark, path), f"struct<agregado_id:string, dados:{responses.DATA_SCHEMA}>"
     )
     flat = obs.flatten_observations(body.select("parsed.agregado_id", F.col("parsed.dados").alias("parsed")))
-    entries = F.transform("dimensoes", lambda d: F.concat_ws("=", d["key"], d["value"]))
+    entries = F.transform("dimensoes", lambda d: F.concat_ws("=", d["rotulo"], d["id"], d["nome"]))
     return flat.withColumn("dimensoes", F.array_join(entries, ";"))
 
 
 @query
 def dimension_columns(spark, sf):
     flat = obs.flatten_observations(fx.nested_responses(spark, sf))
-    return obs.dimension_columns(flat, obs.dimension_keys(flat))
+    return obs.dimension_columns(flat, obs.dimension_labels(flat))
 
 
 @query
@@ -342,10 +342,10 @@ def observations_by_dataset(spark, sf):
     """Observations laid out by dataset; each dataset's wide view reads only its own partition."""
     name = f"{fresh_database(spark, 'estatistica')}.observacoes"
     rows = fx.observations(spark, sf).withColumn(
-        "dimensoes", F.array(F.struct(F.lit("segmento").alias("key"), F.col("segmento").alias("value")))
+        "dimensoes", F.array(F.struct(F.lit("Segmento").alias("rotulo"), F.lit("s").alias("id"), F.col("segmento").alias("nome")))
     )
     layout.write_layer_table(rows.select(*obs.CORE_COLUMNS, "dimensoes"), name, "bronze", ["agregado_id"])
-    wide = [obs.dataset_view(spark.table(name), dataset, ["segmento"]) for dataset in fx.STATUS.values()]
+    wide = [obs.dataset_view(spark.table(name), dataset, ["Segmento"]) for dataset in fx.STATUS.values()]
     totals = [w.groupBy("agregado_id", "segmento").agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("valor"), 2).alias("total")) for w in wide]
     return reduce(DataFrame.unionByName, totals)
 

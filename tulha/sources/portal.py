@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tulha.functions.html import absolute_url, decode_references, inner_text, without_hidden
-from tulha.functions.names import slug
+from tulha.functions.names import computed_once, slug
 
 # Heading tag and path marker of the portal's download page.
 HEADING_TAG = "h4"
@@ -27,40 +27,24 @@ def page_links(
     under a heading without letters, are left out.
     """
     cuts = F.split(without_hidden(F.col("html")), rf"(?i)(?=<{heading_tag}[\s>])")
-    under_heading = pages.select(
+    sections = pages.select(
         *keep, F.col("url").alias("page_url"), F.posexplode(F.slice(cuts, 2, F.size(cuts))).alias("section", "cut")
-    ).select(
+    )
+    heading = F.regexp_extract("cut", rf"(?is)^<{heading_tag}\b[^>]*>(.*?)</{heading_tag}\s*>", 1)
+    titled = computed_once(sections, "categoria", slug(inner_text(heading))).where("categoria <> ''")
+    anchors = titled.select(
         *keep,
         "page_url",
         "section",
-        slug(inner_text(F.regexp_extract("cut", rf"(?is)^<{heading_tag}\b[^>]*>(.*?)</{heading_tag}\s*>", 1))).alias("categoria"),
-        F.col("cut"),
-    )
-    links = (
-        under_heading.where(F.col("categoria") != "")
-        .select(
-            *keep,
-            "page_url",
-            "section",
-            "categoria",
-            F.posexplode(F.regexp_extract_all("cut", F.lit(r"(?is)<a\b[^>]*>.*?</a\s*>"), F.lit(0))).alias("position", "anchor"),
-        )
-        .withColumn(
-            "href",
-            decode_references(
-                F.regexp_replace(
-                    F.regexp_extract("anchor", r"""(?is)^<a\b[^>]*?\shref\s*=\s*("[^"]*"|'[^']*'|[^\s>]+)""", 1), "^[\"']|[\"']$", ""
-                )
-            ),
-        )
-        .where(F.col("href").contains(path_marker))
-        .withColumn(
-            "nome_original",
-            F.trim(F.regexp_replace(inner_text(F.regexp_extract("anchor", r"(?is)^<a\b[^>]*>(.*)</a\s*>$", 1)), "^-+", "")),
-        )
-        .where(F.col("nome_original") != "")
-        .withColumn("url", absolute_url(F.col("page_url"), F.col("href")))
+        "categoria",
+        F.posexplode(F.regexp_extract_all("cut", F.lit(r"(?is)<a\b[^>]*>.*?</a\s*>"), F.lit(0))).alias("position", "anchor"),
     )
+    value = F.regexp_extract("anchor", r"""(?is)^<a\b[^>]*?\shref\s*=\s*("[^"]*"|'[^']*'|[^\s>]+)""", 1)
+    href = decode_references(F.regexp_replace(value, "^[\"']|[\"']$", ""))
+    marked = computed_once(anchors, "href", href).where(F.col("href").contains(path_marker))
+    text = inner_text(F.regexp_extract("anchor", r"(?is)^<a\b[^>]*>(.*)</a\s*>$", 1))
+    named = computed_once(marked, "nome_original", F.trim(F.regexp_replace(text, "^-+", ""))).where("nome_original <> ''")
+    links = computed_once(named, "url", absolute_url(F.col("page_url"), F.col("href")))
     return links.select(
         *keep,
         "section",

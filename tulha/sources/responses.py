@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tulha.functions.names import computed_once
+
 # Shapes of the JSON documents.
 DATA_SCHEMA = (
     "array<struct<variavel:string, unidade:string, resultados:array<struct<"
@@ -27,5 +29,5 @@ def read_landed_text(spark: SparkSession, path: str, whole_file: bool = False) -
 
 
 def parse_body(df: DataFrame, schema: str, body: str = "body", into: str = "parsed") -> DataFrame:
-    """Add the parsed document; a body that is no such JSON gives NULL."""
-    return df.withColumn(into, F.from_json(body, schema, {"mode": "PERMISSIVE"}))
+    """Add the parsed document, parsed once per row; a body that is no such JSON gives NULL."""
+    return computed_once(df, into, F.from_json(body, schema, {"mode": "PERMISSIVE"}))

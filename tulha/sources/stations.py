@@ -51,14 +51,14 @@ def parse_station_files(
     hourly lines, so one file per row is bounded; files spread over tasks.
     """
     decoded = F.regexp_replace(F.decode("content", encoding), "^﻿", "")
-    lines = files.select(
+    # The header is worked out per file, in a step of its own below the explode.
+    headed = files.select("path", F.split(decoded, "\r\n|\n|\r").alias("lines")).select(
+        "path", "lines", F.transform(_cells(F.get("lines", F.lit(preamble)), sep), slug).alias("header")
+    )
+    lines = headed.select(
         F.substring_index("path", "/", -1).alias("arquivo_origem"),
         "path",
-        F.split(decoded, "\r\n|\n|\r").alias("lines"),
-    ).select(
-        "arquivo_origem",
-        "path",
-        F.transform(_cells(F.get("lines", F.lit(preamble)), sep), slug).alias("header"),
+        "header",
         F.explode(F.slice("lines", preamble + 2, F.greatest(F.size("lines"), F.lit(1)))).alias("line"),
     )
     cells = lines.where(F.trim("line") != "").select("arquivo_origem", "path", "header", _cells(F.col("line"), sep).alias("cells"))
