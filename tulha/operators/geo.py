@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -37,19 +39,26 @@ def _reach_km(level: Column, lat: Column) -> Column:
     return F.lit(EARTH_KM) * F.asin(F.cos(F.radians(lat)) * F.sin(width))
 
 
+def _span_km(level: Column) -> Column:
+    """Two coordinates of one cell are never further apart than this."""
+    width = F.radians(F.lit(360.0) / F.pow(F.lit(2.0), level))
+    return F.lit(2 * EARTH_KM) * F.asin(F.least(F.lit(2.0**0.5) * F.sin(F.least(width, F.lit(math.pi)) / 2), F.lit(1.0)))
+
+
 def nearest_site(points: DataFrame, sites: DataFrame, point_id: str = "ponto_id", site_id: str = "local_id") -> DataFrame:
     """The nearest site of each point by great-circle distance; ties go to the smaller id.
 
     Both inputs carry `latitude` and `longitude`. Equal coordinates are merged
     first, so a crowd at one place counts once. Then two equi-joins on cells:
 
-    1. the finest cell around a point that also holds a site gives an upper
-       bound of its distance;
+    1. the finest cell around a point that also holds a site bounds its distance
+       by the span of that cell;
     2. the bound picks the finest level whose 3x3 cells must contain every site
        within it, and only the sites of those cells are compared.
 
-    The bound proves the result exact. Points with no provable level (near a
-    pole) compare against level 0, where all sites share one cell.
+    The bound proves the result exact, and follows the density of the sites: a
+    crowded area is searched in small cells, an empty one in large. Points with
+    no provable level (near a pole) compare against level 0, the whole globe.
     """
     places = points.select("latitude", "longitude").where("latitude IS NOT NULL AND longitude IS NOT NULL").distinct()
     site_places = (
@@ -58,39 +67,34 @@ def nearest_site(points: DataFrame, sites: DataFrame, point_id: str = "ponto_id"
         .agg(F.min(site_id).alias(site_id))
     )
     levels = F.sequence(F.lit(0), F.lit(FINEST_LEVEL))
+    cell = ["level", "row", "col"]
     row, column = _cell(F.col("level"), F.col("s_lat"), F.col("s_lon"))
     site_cells = site_places.withColumn("level", F.explode(levels)).withColumns({"row": row, "col": column})
 
-    one_per_cell = site_cells.groupBy("level", "row", "col").agg(F.min(F.struct("s_lat", "s_lon")).alias("any_site"))
     row, column = _cell(F.col("level"), F.col("latitude"), F.col("longitude"))
-    here = places.withColumn("level", F.explode(levels)).withColumns({"row": row, "col": column})
-    bound = (
-        here.join(one_per_cell, ["level", "row", "col"])
+    own_cells = places.withColumn("level", F.explode(levels)).withColumns({"row": row, "col": column})
+    finest = (
+        own_cells.join(site_cells.select(*cell).distinct(), cell, "left_semi")
         .groupBy("latitude", "longitude")
-        .agg(
-            F.min(
-                haversine_km(F.col("latitude"), F.col("longitude"), F.col("any_site.s_lat"), F.col("any_site.s_lon"))
-            ).alias("bound_km")
-        )
+        .agg(F.max("level").alias("shared_level"))
     )
 
     provable = F.filter(
         F.sequence(F.lit(FINEST_LEVEL), F.lit(2)),
-        lambda k: _reach_km(k, F.col("latitude")) >= F.col("bound_km") * (1 + 1e-9) + 1e-6,
+        lambda k: _reach_km(k, F.col("latitude")) >= _span_km(F.col("shared_level")) + 1e-6,
     )
-    searched = bound.withColumn("level", F.coalesce(F.get(provable, F.lit(0)), F.lit(0)))
-    row, column = _cell(F.col("level"), F.col("latitude"), F.col("longitude"))
+    searched = finest.withColumn("level", F.coalesce(F.get(provable, F.lit(0)), F.lit(0)))
     width = F.pow(F.lit(2.0), F.col("level")).cast("int")
     steps = F.when(F.col("level") > 0, F.array(F.lit(-1), F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
     around = (
         searched.withColumns({"mid_row": row, "mid_col": column, "steps": steps})
         .withColumn("row", F.explode(F.transform("steps", lambda d: F.col("mid_row") + d)))
         .withColumn("col", F.explode(F.transform("steps", lambda d: F.pmod(F.col("mid_col") + d, width))))
-        .select("latitude", "longitude", "level", "row", "col")
+        .select("latitude", "longitude", *cell)
     )
     distance = haversine_km(F.col("latitude"), F.col("longitude"), F.col("s_lat"), F.col("s_lon"))
     nearest = (
-        around.join(site_cells, ["level", "row", "col"])
+        around.join(site_cells, cell)
         .groupBy("latitude", "longitude")
         .agg(F.min(F.struct(distance.alias("distancia_km"), F.col(site_id))).alias("best"))
     )

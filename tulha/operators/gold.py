@@ -30,13 +30,12 @@ def dimension(observations: DataFrame, key: Sequence[str], attributes: Sequence[
     """One row per natural key with its attributes and surrogate key `sk_<name>`.
 
     Where rows disagree on an attribute the greatest value counts, so the
-    dimension does not depend on row order; grouping combines before the shuffle.
+    dimension does not depend on row order. Distinct combinations are found
+    first, which hashes and needs no sort of the observations.
     """
-    known = observations.where(F.col(key[0]).isNotNull())
+    rows = observations.where(F.col(key[0]).isNotNull()).select(*key, *attributes).distinct()
     if attributes:
-        rows = known.groupBy(*key).agg(*[F.max(a).alias(a) for a in attributes])
-    else:
-        rows = known.select(*key).distinct()
+        rows = rows.groupBy(*key).agg(*[F.max(a).alias(a) for a in attributes])
     return rows.select(surrogate_key(*key).alias(f"sk_{name}"), *key, *attributes)
 
 

@@ -59,23 +59,24 @@ def quality_report(df: DataFrame, checks: Mapping[str, tuple[str, str, Column]])
 
     All rules share one pass over the data; a condition that is NULL fails.
     """
+    marks = {rule: f"_falhas_{i}" for i, rule in enumerate(checks)}
     totals = df.agg(
-        F.count(F.lit(1)).alias("n"),
-        *[F.count_if(~F.coalesce(passes, F.lit(False))).alias(rule) for rule, (_, _, passes) in checks.items()],
+        F.count(F.lit(1)).alias("_linhas"),
+        *[F.count_if(~F.coalesce(passes, F.lit(False))).alias(marks[rule]) for rule, (_, _, passes) in checks.items()],
     )
     rules = F.array(
         *[
-            F.struct(F.lit(rule).alias("regra"), F.lit(kind).alias("tipo"), F.lit(column).alias("coluna"), F.col(rule).alias("n_falhas"))
+            F.struct(F.lit(rule).alias("regra"), F.lit(kind).alias("tipo"), F.lit(column).alias("coluna"), F.col(marks[rule]).alias("n_falhas"))
             for rule, (kind, column, _) in checks.items()
         ]
     )
-    return totals.select("n", F.inline(rules)).select(
+    return totals.select(F.col("_linhas").alias("n_linhas"), F.inline(rules)).select(
         "regra",
         "tipo",
         "coluna",
-        F.col("n").alias("n_linhas"),
+        "n_linhas",
         "n_falhas",
-        F.when(F.col("n") > 0, F.round(1 - F.col("n_falhas") / F.col("n"), 6)).alias("taxa_aprovacao"),
+        F.when(F.col("n_linhas") > 0, F.round(1 - F.col("n_falhas") / F.col("n_linhas"), 6)).alias("taxa_aprovacao"),
     )
 
 

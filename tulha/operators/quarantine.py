@@ -25,7 +25,7 @@ def split_marked(marked: DataFrame) -> tuple[DataFrame, DataFrame]:
 
     Rows staged apart by `_ok` are told apart by that column, which prunes folders.
     """
-    passed = F.col("_ok") if "_ok" in marked.columns else F.col("motivo").isNull()
+    passed = F.col("_ok") == 1 if "_ok" in marked.columns else F.col("motivo").isNull()
     return marked.where(passed).drop("motivo", "_ok"), marked.where(~passed).drop("parsed", "_ok")
 
 

@@ -2,17 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tulha.operators.observations import flatten_observations
+from tulha.operators.observations import dataset_view, flatten_observations
 from tulha.operators.quality import with_lineage
 from tulha.operators.quarantine import mark_responses, split_marked
 from tulha.session import fresh_path
 from tulha.sinks.evolve import WriteReport, write_evolving
-from tulha.sinks.layout import rebalanced
 from tulha.sources.delimited import read_landed_file
 
 
@@ -42,7 +41,7 @@ def ingest_responses(
     apart by outcome, and both writes start from there.
     """
     staged = fresh_path(spark, "marked")
-    mark_responses(responses).withColumn("_ok", F.col("motivo").isNull()).write.partitionBy("_ok").parquet(staged)
+    mark_responses(responses).withColumn("_ok", F.col("motivo").isNull().cast("int")).write.partitionBy("_ok").parquet(staged)
     good, bad = split_marked(spark.read.parquet(staged))
     rejects = write_evolving(
         spark, with_lineage(bad, batch_id, ingest_ts, F.col("source_file")), rejects_table
@@ -51,4 +50,24 @@ def ingest_responses(
     loaded = with_lineage(rows, batch_id, ingest_ts, F.col("source_file")).drop("source_file")
     if loaded.isEmpty():
         return None, rejects
-    return write_evolving(spark, rebalanced(loaded, ["agregado_id"]), table, partition_by=["agregado_id"]), rejects
+    return write_evolving(spark, loaded, table, partition_by=["agregado_id"]), rejects
+
+
+def register_dataset_views(spark: SparkSession, table: str, names: Mapping[str, str]) -> None:
+    """A SQL view per dataset, `names[dataset id]`, with the dataset's own dimension columns.
+
+    One job finds the labels of all datasets; the views themselves are lazy and
+    each reads only its dataset's folder.
+    """
+    found = (
+        spark.table(table)
+        .select("agregado_id", F.explode("dimensoes.rotulo").alias("rotulo"))
+        .distinct()
+        .groupBy("agregado_id")
+        .agg(F.array_sort(F.collect_set("rotulo")).alias("rotulos"))
+        .where(F.col("agregado_id").isin(list(names)))
+        .collect()
+    )
+    labels = {r.agregado_id: r.rotulos for r in found}
+    for dataset, name in names.items():
+        dataset_view(spark.table(table), dataset, labels.get(dataset, [])).createOrReplaceTempView(name)

@@ -203,6 +203,12 @@ UNION ALL BY NAME SELECT event_id, user_id, props, 'view.csv' AS arquivo_origem
        CASE WHEN p_partkey % 2 = 0 THEN 'c1' ELSE 'c2' END AS _batch_id FROM part""",
     "observations_by_dataset": f"""WITH {OBS}
 SELECT agregado_id, segmento, count(*) AS n, round(sum(valor), 2) AS total FROM obs GROUP BY ALL""",
+    "ingest_landed_responses": f"""WITH {RESPONSES}
+SELECT 'pedidos_' || (o_orderkey % 10) AS agregado_id, CAST(NULL AS VARCHAR) AS motivo, count(*) AS n_linhas, round(sum(valor), 2) AS total_valor
+FROM flat WHERE o_orderkey % 23 NOT IN (2, 4) GROUP BY 1
+UNION ALL
+SELECT 'pedidos_' || (o_orderkey % 10), CASE o_orderkey % 23 WHEN 2 THEN 'sem variaveis' ELSE 'json ilegivel' END, count(*), NULL
+FROM orders WHERE o_orderkey % 23 IN (2, 4) GROUP BY 1, 2""",
     "compact_table": """SELECT * FROM customer""",
     "reference_refresh": """SELECT p_partkey, upper(p_name) AS nome, p_size FROM part""",
     "table_inventory": """SELECT 'fornecedor' AS table_name, count(*) AS n_rows, 4 AS n_columns, 0.0::DOUBLE AS null_ratio, TIMESTAMP '2024-01-02 03:00:00' AS last_ingest_ts FROM supplier

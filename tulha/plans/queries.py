@@ -13,7 +13,7 @@ from tulha.functions.names import slug, spaced
 from tulha.functions.values import observation_value
 from tulha.operators import analyses, catalogue, geo, gold, observations as obs, quality, quarantine, silver
 from tulha.plans import fixtures as fx
-from tulha.plans.ingest import ingest_file
+from tulha.plans.ingest import ingest_file, ingest_responses, register_dataset_views
 from tulha.session import fresh_database, fresh_path
 from tulha.sinks import evolve, layout
 from tulha.sources import delimited, portal, responses, stations, tables
@@ -339,15 +339,38 @@ def ingest_landed_files(spark, sf):
 
 @query
 def observations_by_dataset(spark, sf):
-    """Observations laid out by dataset; each dataset's wide view reads only its own partition."""
-    name = f"{fresh_database(spark, 'estatistica')}.observacoes"
+    """Observations laid out by dataset and asked through one SQL view per dataset."""
+    db = fresh_database(spark, "estatistica")
     rows = fx.observations(spark, sf).withColumn(
         "dimensoes", F.array(F.struct(F.lit("Segmento").alias("rotulo"), F.lit("s").alias("id"), F.col("segmento").alias("nome")))
     )
-    layout.write_layer_table(rows.select(*obs.CORE_COLUMNS, "dimensoes"), name, "bronze", ["agregado_id"])
-    wide = [obs.dataset_view(spark.table(name), dataset, ["Segmento"]) for dataset in fx.STATUS.values()]
-    totals = [w.groupBy("agregado_id", "segmento").agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("valor"), 2).alias("total")) for w in wide]
-    return reduce(DataFrame.unionByName, totals)
+    layout.write_layer_table(rows.select(*obs.CORE_COLUMNS, "dimensoes"), f"{db}.observacoes", "bronze", ["agregado_id"])
+    views = {dataset: f"{db}_{dataset}" for dataset in fx.STATUS.values()}
+    register_dataset_views(spark, f"{db}.observacoes", views)
+    per_view = "SELECT agregado_id, segmento, count(*) AS n, round(sum(valor), 2) AS total FROM {} GROUP BY ALL"
+    return spark.sql(" UNION ALL ".join(per_view.format(view) for view in views.values()))
+
+
+@query
+def ingest_landed_responses(spark, sf):
+    """Landed responses, some unusable, through the whole flow: observations and rejects, counted per dataset."""
+    db = fresh_database(spark, "estatistica")
+    k = F.col("o_orderkey")
+    body = F.when(k % 23 == 4, F.lit("<html>")).when(k % 23 == 2, F.lit("[]")).otherwise(F.to_json("parsed"))
+    landed = fx.nested_responses(spark, sf).select(
+        F.concat(F.lit("pedidos_"), (k % 10).cast("string")).alias("agregado_id"),
+        body.alias("body"),
+        F.lit("respostas.json").alias("source_file"),
+    )
+    ingest_responses(spark, landed, f"{db}.observacoes", "c1", "2024-01-01 06:00:00", f"{db}.rejeitadas")
+    loaded, rejected = spark.table(f"{db}.observacoes"), spark.table(f"{db}.rejeitadas")
+    good = loaded.groupBy("agregado_id", F.lit(None).cast("string").alias("motivo")).agg(
+        F.count(F.lit(1)).alias("n_linhas"), F.round(F.sum("valor"), 2).alias("total_valor")
+    )
+    bad = rejected.groupBy("agregado_id", "motivo").agg(
+        F.count(F.lit(1)).alias("n_linhas"), F.lit(None).cast("double").alias("total_valor")
+    )
+    return good.unionByName(bad)
 
 
 @query

@@ -11,7 +11,7 @@ from dataclasses import dataclass, field
 from datetime import datetime, timezone
 from urllib.parse import unquote
 
-from pyspark.errors import AnalysisException, PySparkException
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
@@ -67,8 +67,20 @@ def quoted(name: str) -> str:
     return ".".join("`" + part.replace("`", "``") + "`" for part in name.split("."))
 
 
+def rebalanced(df: DataFrame, columns: Sequence[str] = ()) -> DataFrame:
+    """Spread rows by `columns` so each partition value lands in few files.
+
+    A rebalance lets Spark split a value that holds much of the data and merge
+    the small ones, by measured size; a plain repartition would put a hot
+    value into one task.
+    """
+    return df.hint("rebalance", *columns)
+
+
 def create_table(df: DataFrame, table: str, using: str = DEFAULT_FORMAT, partition_by: Sequence[str] = (), **options: str) -> None:
     """Write `df` as a new table, replacing none."""
+    if partition_by:
+        df = rebalanced(df, partition_by)
     writer = df.write.format(using).options(**options)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
@@ -77,8 +89,9 @@ def create_table(df: DataFrame, table: str, using: str = DEFAULT_FORMAT, partiti
 
 def _append(spark: SparkSession, df: DataFrame, table: str) -> None:
     """Append by column name; table columns that `df` lacks become NULL."""
-    if not df.columns:
-        raise ValueError("nothing to append: no columns")
+    partitions = [c.name for c in spark.catalog.listColumns(table) if c.isPartition]
+    if partitions:
+        df = rebalanced(df, [c for c in partitions if c in df.columns])
     spark.sql(f"INSERT INTO {quoted(table)} BY NAME SELECT * FROM {{incoming}}", incoming=df)
 
 
@@ -170,14 +183,20 @@ def quoted_column(name: str) -> str:
 
 # Error conditions that say a table's files, not its rows or types, are the trouble.
 MISSING_FILES = {"PATH_NOT_FOUND", "FAILED_READ_FILE.FILE_NOT_EXIST"}
+FILE_FORMATS = {"parquet", "orc", "csv", "json"}
 
 
 def table_files_missing(spark: SparkSession, table: str) -> bool:
-    """True when the catalogue knows the table but reading it finds files gone."""
+    """True when the catalogue knows the table but its folder or files are gone."""
     try:
         spark.sql(f"REFRESH TABLE {quoted(table)}")
-        spark.table(table).limit(1).collect()
-    except (AnalysisException, PySparkException) as failure:
+        known = spark.table(table)
+        facts = {r.col_name: r.data_type for r in spark.sql(f"DESCRIBE TABLE EXTENDED {quoted(table)}").collect()}
+        if facts.get("Provider") in FILE_FORMATS:
+            # A missing folder reads as an empty table by name, but is an error by path.
+            spark.read.schema(known.schema).format(facts["Provider"]).load(facts["Location"]).limit(1).collect()
+        known.limit(1).collect()
+    except PySparkException as failure:
         if failure.getCondition() in MISSING_FILES:
             return True
         raise

@@ -6,22 +6,12 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tulha.sinks.evolve import create_table, rename_table
+from tulha.sinks.evolve import create_table, rebalanced, rename_table
 
 # Compression by layer.
 CODEC = {"bronze": "snappy", "silver": "snappy", "gold": "zstd"}
 
 
-def rebalanced(df: DataFrame, columns: Sequence[str] = ()) -> DataFrame:
-    """Spread rows by `columns` so each partition value lands in few files.
-
-    A rebalance lets Spark split a value that holds much of the data and merge
-    the small ones, by measured size; a plain repartition would put a hot
-    value into one task.
-    """
-    return df.hint("rebalance", *columns)
-
-
 def write_layer(
     df: DataFrame, path: str, layer: str, partition_by: Sequence[str] = (), mode: str = "errorifexists"
 ) -> None:
@@ -34,7 +24,7 @@ def write_layer(
 
 def write_layer_table(df: DataFrame, table: str, layer: str, partition_by: Sequence[str] = ()) -> None:
     """The same as a new catalogue table."""
-    create_table(rebalanced(df, partition_by), table, partition_by=partition_by, compression=CODEC[layer])
+    create_table(df if partition_by else rebalanced(df), table, partition_by=partition_by, compression=CODEC[layer])
 
 
 def compact_table(
