@@ -24,9 +24,9 @@ def dimension_entries(classifications: Column) -> Column:
     """
 
     def entry(c: Column) -> Column:
-        first = F.get(F.map_entries(c["categoria"]), F.lit(0))
+        first = lambda part: F.get(part(c["categoria"]), F.lit(0))
         label = F.coalesce(F.nullif(c["nome"], F.lit("")), F.nullif(c["id"], F.lit("")), F.lit(UNNAMED_DIMENSION))
-        return F.named_struct(F.lit("rotulo"), label, F.lit("id"), first["key"], F.lit("nome"), first["value"])
+        return F.named_struct(F.lit("rotulo"), label, F.lit("id"), first(F.map_keys), F.lit("nome"), first(F.map_values))
 
     filled = F.filter(classifications, lambda c: F.size(c["categoria"]) > 0)
     return F.coalesce(F.transform(filled, entry), F.array().cast("array<struct<rotulo:string,id:string,nome:string>>"))

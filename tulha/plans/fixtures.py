@@ -140,6 +140,15 @@ def nested_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def land_responses(spark: SparkSession, sf_dir: str, dataset: Column, body: Column) -> DataFrame:
+    """Response bodies landed as JSON lines and read back: `agregado_id`, `body`, `source_file`."""
+    path = fresh_path(spark, "landed")
+    nested_responses(spark, sf_dir).select(
+        dataset.alias("agregado_id"), body.alias("body"), F.lit("respostas.json").alias("source_file")
+    ).write.json(path)
+    return spark.read.schema("agregado_id string, body string, source_file string").json(path)
+
+
 def by_status_series() -> str:
     return "array<struct<localidade:struct<id:string,nome:string>,serie:map<string,string>>>"
 

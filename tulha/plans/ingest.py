@@ -37,11 +37,13 @@ def ingest_responses(
 
     Unusable bodies go to the rejects table with a reason; the others go on. A
     load without a single observation writes none and reports None for it.
-    Bodies are parsed once: the marked rows are staged in the shared folder,
-    apart by outcome, and both writes start from there.
+    Bodies are parsed once: the marked rows are staged in the shared folder and
+    both writes start from there. A staged row keeps its text only when it is
+    rejected, so the rejects read next to nothing of the good rows.
     """
     staged = fresh_path(spark, "marked")
-    mark_responses(responses).withColumn("_ok", F.col("motivo").isNull().cast("int")).write.partitionBy("_ok").parquet(staged)
+    marked = mark_responses(responses)
+    marked.withColumn("body", F.when(F.col("motivo").isNotNull(), F.col("body"))).write.parquet(staged)
     good, bad = split_marked(spark.read.parquet(staged))
     rejects = write_evolving(
         spark, with_lineage(bad, batch_id, ingest_ts, F.col("source_file")), rejects_table

@@ -107,7 +107,10 @@ def flatten_observations(spark, sf):
 
 @query
 def dimension_columns(spark, sf):
-    flat = obs.flatten_observations(fx.nested_responses(spark, sf))
+    """Observations flattened into a table once; labels and wide columns both come from it."""
+    path = fresh_path(spark, "observacoes")
+    obs.flatten_observations(fx.nested_responses(spark, sf)).write.parquet(path)
+    flat = spark.read.parquet(path)
     return obs.dimension_columns(flat, obs.dimension_labels(flat))
 
 
@@ -146,7 +149,7 @@ def quarantine_split(spark, sf):
         .when(k % 23 == 4, F.concat(F.lit("<html>"), k.cast("string")))
         .otherwise(good)
     )
-    landed = fx.nested_responses(spark, sf).select("agregado_id", body.alias("body"))
+    landed = fx.land_responses(spark, sf, F.col("agregado_id"), body)
     marked = quarantine.mark_responses(landed)
     good_rows, rejects = quarantine.split_marked(marked)
     flat = obs.flatten_observations(good_rows)
@@ -357,11 +360,7 @@ def ingest_landed_responses(spark, sf):
     db = fresh_database(spark, "estatistica")
     k = F.col("o_orderkey")
     body = F.when(k % 23 == 4, F.lit("<html>")).when(k % 23 == 2, F.lit("[]")).otherwise(F.to_json("parsed"))
-    landed = fx.nested_responses(spark, sf).select(
-        F.concat(F.lit("pedidos_"), (k % 10).cast("string")).alias("agregado_id"),
-        body.alias("body"),
-        F.lit("respostas.json").alias("source_file"),
-    )
+    landed = fx.land_responses(spark, sf, F.concat(F.lit("pedidos_"), (k % 10).cast("string")), body)
     ingest_responses(spark, landed, f"{db}.observacoes", "c1", "2024-01-01 06:00:00", f"{db}.rejeitadas")
     loaded, rejected = spark.table(f"{db}.observacoes"), spark.table(f"{db}.rejeitadas")
     good = loaded.groupBy("agregado_id", F.lit(None).cast("string").alias("motivo")).agg(
