@@ -28,6 +28,8 @@ def test_compare_schemas(spark):
     assert [f.name for f in diff.added] == ["B"]
     assert [(n, o.simpleString(), w.simpleString()) for n, o, w in diff.conflicts] == [("a", "int", "bigint")]
     assert diff.absent == ["b"]
+    loose, strict = (T.StructType([T.StructField("l", T.ArrayType(T.IntegerType(), n))]) for n in (True, False))
+    assert evolve.compare_schemas(loose, strict) == evolve.SchemaDiff()
 
 
 def test_create_append_add_and_missing(spark, table):

@@ -114,6 +114,8 @@ def test_ingest_responses_and_views(spark):
     empty = spark.createDataFrame([("30", "[]", "f4")], landed.schema)
     report, rejects = ingest_responses(spark, empty, f"{db}.obs", "c2", "2024-01-02 00:00:00", f"{db}.rej")
     assert report is None and rejects.path == "append"
+    report, _ = ingest_responses(spark, landed.where("source_file = 'f1'"), f"{db}.obs", "c3", "2024-01-03 00:00:00", f"{db}.rej")
+    assert report.path == "append" and spark.table(f"{db}.obs").count() == 3
     assert sorted((r.agregado_id, r.motivo) for r in spark.table(f"{db}.rej").collect()) == [("20", "json ilegivel"), ("30", "sem variaveis")]
     register_dataset_views(spark, f"{db}.obs", {"10": "agregado_10_teste", "20": "agregado_20_teste"})
     assert spark.table("agregado_10_teste").columns[-2:] == ["produto", "produto_id"]

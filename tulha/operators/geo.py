@@ -17,8 +17,9 @@ def haversine_km(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> Colu
     return F.lit(2 * EARTH_KM) * F.asin(F.sqrt(F.least(h, F.lit(1.0))))
 
 
-# Cells at level k are 360/2^k degrees wide; the finest is about 600 m.
-FINEST_LEVEL = 16
+# Cells at level k are 360/2^k degrees wide; the finest is about 38 m, so that
+# even a crowded place is searched in cells that hold few distinct coordinates.
+FINEST_LEVEL = 20
 
 
 def _cell(level: Column, lat: Column, lon: Column) -> tuple[Column, Column]:

@@ -190,7 +190,7 @@ def scan_csv(spark, sf):
         F.col("p_retailprice").cast("decimal(18,2)").alias("Preço (R$)"),
     )
     rows.write.option("header", True).option("escape", '"').csv(path)
-    df = delimited.conform_columns(spark.read.option("escape", '"').csv(path, header=True, inferSchema=True))
+    df = delimited.read_comma_csv(spark, path, infer=True, escape='"')
     return df.withColumn("p_partkey", F.col("p_partkey").cast("bigint"))
 
 

@@ -52,12 +52,15 @@ class WriteReport:
 def compare_schemas(table: T.StructType, incoming: T.StructType) -> SchemaDiff:
     """Added columns, type conflicts and absent columns.
 
-    Names are case-sensitive; a column's own nullability does not count.
+    Names are case-sensitive. Types are compared by their spelling, which leaves
+    out nullability at every depth: a stored table is nullable throughout.
     """
-    have = dict(zip(table.names, (f.dataType for f in table)))
+    have = {f.name: f.dataType for f in table}
+    spelled = {name: kind.simpleString() for name, kind in have.items()}
+    known = [f for f in incoming if f.name in have]
     return SchemaDiff(
         added=[f for f in incoming if f.name not in have],
-        conflicts=[(f.name, have[f.name], f.dataType) for f in incoming if have.get(f.name, f.dataType) != f.dataType],
+        conflicts=[(f.name, have[f.name], f.dataType) for f in known if spelled[f.name] != f.dataType.simpleString()],
         absent=[name for name in table.names if name not in incoming.names],
     )
 

@@ -20,13 +20,15 @@ def read_delimited(
     schema: T.StructType | str | None = None,
     infer: bool = False,
     multi_line: bool = False,
+    **csv_options: str | bool,
 ) -> DataFrame:
     """Files with a header row as one DataFrame with safe column names.
 
     A declared schema is read in one pass. Inference costs a second pass over
     the files and is off unless asked for; without either, columns are strings.
+    Further options of Spark's CSV reader pass through.
     """
-    reader = spark.read.option("header", True).option("sep", sep).option("encoding", encoding)
+    reader = spark.read.options(**csv_options).option("header", True).option("sep", sep).option("encoding", encoding)
     if multi_line:
         reader = reader.option("multiLine", True)
     if schema is not None:
