@@ -88,7 +88,9 @@ def fold_accents(text: Column) -> Column:
     latin_target = "".join(folds[letter] for letter in latin if letter in folds)
 
     special = "[" + _regex_class("".join(several)) + "]"
-    lookup = F.create_map(*[F.lit(x) for pair in several.items() for x in pair])
+    # One literal, split when the plan is optimised, keeps the plan small.
+    pairs = "\x1e".join(f"{letter}\x1f{folded}" for letter, folded in several.items())
+    lookup = F.str_to_map(F.lit(pairs), F.lit("\x1e"), F.lit("\x1f"))
     expanded = F.aggregate(
         F.array_distinct(F.regexp_extract_all(text, F.lit(special), F.lit(0))),
         text,
