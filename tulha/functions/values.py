@@ -18,17 +18,17 @@ NA_TOKENS = [
 
 # Digits may be grouped by single underscores; sign, fraction and exponent are optional.
 _DIGITS = "[0-9]+(?:_[0-9]+)*"
-NUMBER = rf"^\s*([+-]?(?:{_DIGITS}\.?(?:{_DIGITS})?|\.{_DIGITS})(?:[eE][+-]?{_DIGITS})?)\s*$"
-COMMA_NUMBER = r"^\s*([+-]?(?:[0-9]+,?[0-9]*|,[0-9]+)(?:[eE][+-]?[0-9]+)?)\s*$"
+NUMBER = rf"^\s*[+-]?(?:{_DIGITS}\.?(?:{_DIGITS})?|\.{_DIGITS})(?:[eE][+-]?{_DIGITS})?\s*$"
+COMMA_NUMBER = r"^\s*[+-]?(?:[0-9]+,?[0-9]*|,[0-9]+)(?:[eE][+-]?[0-9]+)?\s*$"
 
 
 def finite_double(text: Column) -> Column:
     """Text to double; NULL when it is not a finite number.
 
-    Extraction gives '' for text of another shape, which casts to NULL, so one
-    pattern match both checks and trims.
+    Text of another shape is NULL before the cast, which would otherwise raise
+    and catch an error inside for every such cell.
     """
-    number = F.replace(F.regexp_extract(text, NUMBER, 1), F.lit("_"), F.lit("")).try_cast("double")
+    number = F.replace(F.regexp_substr(text, F.lit(NUMBER)), F.lit("_"), F.lit("")).try_cast("double")
     return F.when(F.abs(number) < float("inf"), number)
 
 
@@ -45,7 +45,7 @@ def decimal_comma(
 ) -> Column:
     """`1234,56` to a number. A thousands mark is read only when the contract names one."""
     bare = F.replace(text, F.lit(thousands), F.lit("")) if thousands else text
-    number = F.translate(F.regexp_extract(bare, COMMA_NUMBER, 1), ",", ".").try_cast(type_name)
+    number = F.translate(F.regexp_substr(bare, F.lit(COMMA_NUMBER)), ",", ".").try_cast(type_name)
     return F.when(~text.isin(list(na_tokens)), number)
 
 

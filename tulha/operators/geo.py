@@ -22,12 +22,26 @@ def haversine_km(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> Colu
 FINEST_LEVEL = 20
 
 
-def _cell(level: Column, lat: Column, lon: Column) -> tuple[Column, Column]:
-    """Row and column of the cell that holds a coordinate."""
-    width = F.lit(360.0) / F.pow(F.lit(2.0), level)
-    row = F.floor((lat + 90.0) / width).cast("int")
-    column = F.floor((lon + 180.0) / width).cast("int")
-    return row, F.pmod(column, F.pow(F.lit(2.0), level).cast("int"))
+def _with_finest_cell(df: DataFrame, lat: str, lon: str) -> DataFrame:
+    """Add row and column of the finest cell; a coarser cell is a right shift of it."""
+    per_degree = 2.0**FINEST_LEVEL / 360.0
+    return df.withColumns(
+        {
+            "fine_row": F.floor((F.col(lat) + 90.0) * per_degree).cast("int"),
+            "fine_col": F.pmod(F.floor((F.col(lon) + 180.0) * per_degree), F.lit(2**FINEST_LEVEL)).cast("int"),
+        }
+    )
+
+
+def _at_level(fine: str) -> Column:
+    return F.expr(f"shiftright({fine}, {FINEST_LEVEL} - level)")
+
+
+def _cells_of_all_levels(df: DataFrame, lat: str, lon: str) -> DataFrame:
+    """One row per level with the cell that holds the coordinate there."""
+    levels = F.sequence(F.lit(0), F.lit(FINEST_LEVEL))
+    each = _with_finest_cell(df, lat, lon).withColumn("level", F.explode(levels))
+    return each.withColumns({"row": _at_level("fine_row"), "col": _at_level("fine_col")}).drop("fine_row", "fine_col")
 
 
 def _reach_km(level: Column, lat: Column) -> Column:
@@ -67,15 +81,11 @@ def nearest_site(points: DataFrame, sites: DataFrame, point_id: str = "ponto_id"
         .groupBy(F.col("latitude").alias("s_lat"), F.col("longitude").alias("s_lon"))
         .agg(F.min(site_id).alias(site_id))
     )
-    levels = F.sequence(F.lit(0), F.lit(FINEST_LEVEL))
     cell = ["level", "row", "col"]
-    row, column = _cell(F.col("level"), F.col("s_lat"), F.col("s_lon"))
-    site_cells = site_places.withColumn("level", F.explode(levels)).withColumns({"row": row, "col": column})
-
-    row, column = _cell(F.col("level"), F.col("latitude"), F.col("longitude"))
-    own_cells = places.withColumn("level", F.explode(levels)).withColumns({"row": row, "col": column})
+    site_cells = _cells_of_all_levels(site_places, "s_lat", "s_lon")
     finest = (
-        own_cells.join(site_cells.select(*cell).distinct(), cell, "left_semi")
+        _cells_of_all_levels(places, "latitude", "longitude")
+        .join(site_cells.select(*cell).distinct(), cell, "left_semi")
         .groupBy("latitude", "longitude")
         .agg(F.max("level").alias("shared_level"))
     )
@@ -84,13 +94,14 @@ def nearest_site(points: DataFrame, sites: DataFrame, point_id: str = "ponto_id"
         F.sequence(F.lit(FINEST_LEVEL), F.lit(2)),
         lambda k: _reach_km(k, F.col("latitude")) >= _span_km(F.col("shared_level")) + 1e-6,
     )
-    searched = finest.withColumn("level", F.coalesce(F.get(provable, F.lit(0)), F.lit(0)))
-    width = F.pow(F.lit(2.0), F.col("level")).cast("int")
+    searched = _with_finest_cell(finest, "latitude", "longitude").withColumn(
+        "level", F.coalesce(F.get(provable, F.lit(0)), F.lit(0))
+    )
     steps = F.when(F.col("level") > 0, F.array(F.lit(-1), F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
     around = (
-        searched.withColumns({"mid_row": row, "mid_col": column, "steps": steps})
+        searched.withColumns({"mid_row": _at_level("fine_row"), "mid_col": _at_level("fine_col"), "steps": steps})
         .withColumn("row", F.explode(F.transform("steps", lambda d: F.col("mid_row") + d)))
-        .withColumn("col", F.explode(F.transform("steps", lambda d: F.pmod(F.col("mid_col") + d, width))))
+        .withColumn("col", F.explode(F.transform("steps", lambda d: F.pmod(F.col("mid_col") + d, F.expr("shiftleft(1, level)")))))
         .select("latitude", "longitude", *cell)
     )
     distance = haversine_km(F.col("latitude"), F.col("longitude"), F.col("s_lat"), F.col("s_lon"))
