@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tulha.plans.ingest import ingest_file
+from tulha.plans.ingest import ingest_file, ingest_listing
 from tulha.session import fresh_database, fresh_path
 from tulha.sinks import evolve, layout
 
@@ -105,6 +105,20 @@ def test_ingest_file_repeated_loads(spark, tmp_path, table):
     assert (row.ano, row.preco, row._source_file, row._batch_id) == (2022, "caro", "tres.txt", "tres")
 
 
+def test_listing_isolates_failures(spark, tmp_path):
+    db = fresh_database(spark, "lista")
+    (tmp_path / "a.txt").write_text("x;y\n1;2\n")
+    (tmp_path / "b.csv").write_text("x,y\n1,2\n3,4\n")
+    item = lambda table, name, kind: {"tabela": table, "path": str(tmp_path / name), "extensao": kind}
+    items = [item("a", "a.txt", "txt"), item("z", "nada.txt", "txt"), item("p", "a.txt", "pdf"), item("b", "b.csv", "csv"), item("a", "a.txt", "txt")]
+    with pytest.raises(RuntimeError, match="2 of 5 files failed") as failure:
+        ingest_listing(spark, items, db, "c1", "2024-01-01 00:00:00")
+    assert "nada.txt" in str(failure.value) and "unsupported" in str(failure.value)
+    assert spark.table(f"{db}.a").count() == 2 and spark.table(f"{db}.b").count() == 2
+    reports = ingest_listing(spark, items[:1], db, "c2", "2024-01-02 00:00:00")
+    assert [r.path for r in reports] == ["append"]
+
+
 def test_compaction_keeps_rows_in_fewer_files(spark, table):
     df = spark.range(1000).withColumn("uf", F.concat(F.lit("u"), F.col("id") % 3))
     for part in range(4):

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,7 +12,7 @@ from tulha.operators.observations import dataset_view, flatten_observations
 from tulha.operators.quality import with_lineage
 from tulha.operators.quarantine import mark_responses, split_marked
 from tulha.session import fresh_path
-from tulha.sinks.evolve import WriteReport, write_evolving
+from tulha.sinks.evolve import WriteReport, quoted, write_evolving
 from tulha.sources.delimited import read_landed_file
 
 
@@ -23,6 +24,45 @@ def ingest_file(
     return write_evolving(spark, with_lineage(df, batch_id, ingest_ts, source_file or path.rsplit("/", 1)[-1]), table)
 
 
+def ingest_listing(
+    spark: SparkSession,
+    items: Sequence[Mapping[str, str]],
+    database: str,
+    batch_id: str,
+    ingest_ts: str,
+    at_once: int = 8,
+    **options,
+) -> list[WriteReport]:
+    """Every file of a listing (`tabela`, `path`, `extensao`) into its own table, in one session.
+
+    Files are independent jobs, submitted `at_once` at a time so that small
+    ones share the cluster; files of one table follow each other in listing
+    order. A file that fails does not stop the others: failures are raised
+    together at the end, naming each.
+    """
+    by_table: dict[str, list[Mapping[str, str]]] = {}
+    for item in items:
+        by_table.setdefault(item["tabela"], []).append(item)
+
+    def load(table_items: list[Mapping[str, str]]) -> tuple[list[WriteReport], list[str]]:
+        done, failed = [], []
+        for item in table_items:
+            try:
+                name = f"{database}.{item['tabela']}"
+                done.append(ingest_file(spark, item["path"], item["extensao"], name, batch_id, ingest_ts, **options))
+            except Exception as failure:
+                failed.append(f"{item['tabela']} ({item['path']}): {failure}")
+        return done, failed
+
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {quoted(database)}")
+    with ThreadPoolExecutor(at_once) as pool:
+        outcomes = list(pool.map(load, by_table.values()))
+    failed = [text for _, texts in outcomes for text in texts]
+    if failed:
+        raise RuntimeError(f"{len(failed)} of {len(items)} files failed: " + "; ".join(failed))
+    return [report for reports, _ in outcomes for report in reports]
+
+
 def ingest_responses(
     spark: SparkSession,
     responses: DataFrame,

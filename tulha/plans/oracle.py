@@ -201,6 +201,9 @@ UNION ALL BY NAME SELECT event_id, user_id, props, 'view.csv' AS arquivo_origem
        CASE WHEN p_partkey % 2 = 0 THEN 'c1.txt' ELSE 'c2.txt' END AS _source_file,
        CASE WHEN p_partkey % 2 = 0 THEN TIMESTAMP '2024-01-01 06:00:00' ELSE TIMESTAMP '2024-01-02 06:00:00' END AS _ingest_ts,
        CASE WHEN p_partkey % 2 = 0 THEN 'c1' ELSE 'c2' END AS _batch_id FROM part""",
+    "ingest_listing": """SELECT 'armazens' AS table_name, count(*) AS n_rows, 2 AS n_columns, 0.0::DOUBLE AS null_ratio, TIMESTAMP '2024-01-01 06:00:00' AS last_ingest_ts FROM customer
+UNION ALL SELECT 'precos', count(*), 3, 0.0, TIMESTAMP '2024-01-01 06:00:00' FROM part
+UNION ALL SELECT 'capacidade', count(*), 2, 0.0, TIMESTAMP '2024-01-01 06:00:00' FROM orders""",
     "observations_by_dataset": f"""WITH {OBS}
 SELECT agregado_id, segmento, count(*) AS n, round(sum(valor), 2) AS total FROM obs GROUP BY ALL""",
     "ingest_landed_responses": f"""WITH {RESPONSES}

@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 from tulha.functions.names import slug, spaced
 from tulha.functions.values import observation_value
 from tulha.operators import analyses, catalogue, geo, gold, observations as obs, quality, quarantine, silver
-from tulha.plans import fixtures as fx
+from tulha.plans import fixtures as fx, ingest
 from tulha.plans.ingest import ingest_file, ingest_responses, register_dataset_views
 from tulha.session import fresh_database, fresh_path
 from tulha.sinks import evolve, layout
@@ -340,6 +340,26 @@ def ingest_landed_files(spark, sf):
     return spark.table(name)
 
 
+@query
+def ingest_listing(spark, sf):
+    """A listing of landed files in three formats into three tables, then the profile of what arrived."""
+    db = fresh_database(spark, "portal")
+    customer, part, orders = (fx.table(spark, sf, n) for n in ("customer", "part", "orders"))
+    latin, utf16 = {"sep": ";", "encoding": "ISO-8859-1"}, {"sep": "\t", "encoding": "UTF-16"}
+    landed = [
+        ("armazens", "txt", latin, customer.select(F.col("c_custkey").alias("Código"), F.col("c_name").alias("Nome"))),
+        ("precos", "csv", {}, part.select(F.col("p_partkey").alias("Código"), F.col("p_name").alias("Descrição"), "p_retailprice")),
+        ("capacidade", "xls", utf16, orders.select(F.col("o_orderkey").alias("Série"), F.col("o_totalprice").cast("decimal(18,2)").alias("Quantidade (mil t)"))),
+    ]
+    items = []
+    for name, extension, options, rows in landed:
+        path = fresh_path(spark, name)
+        rows.write.options(header=True, **options).csv(path)
+        items.append({"tabela": name, "path": path, "extensao": extension})
+    ingest.ingest_listing(spark, items, db, "c1", "2024-01-01 06:00:00")
+    return tables.table_inventory(spark, [db])
+
+
 @query
 def observations_by_dataset(spark, sf):
     """Observations laid out by dataset and asked through one SQL view per dataset."""
