@@ -70,6 +70,23 @@ def test_station_files_with_differing_headers(spark, tmp_path):
     )
 
 
+def test_columns_found_from_files(spark, tmp_path):
+    (tmp_path / "a.csv").write_bytes(station_text("Data;1º Valor;Nota;", ["2024/01/01;1,5;a", "2024/01/02;;2"]).encode("latin-1"))
+    (tmp_path / "b.csv").write_bytes(station_text("Vento;DATA", ["3;x"]).encode("latin-1"))
+    files = stations.read_binary_files(spark, str(tmp_path))
+    assert stations.station_columns(files) == {"1o_valor": "double", "data": "string", "nota": "string", "vento": "double"}
+    with pytest.raises(ValueError):
+        stations.station_columns(files, at_most=3)
+    rows = sorted(map(tuple, stations.read_station_files(spark, str(tmp_path)).drop("path").collect()), key=str)
+    assert rows == [(1.5, "2024/01/01", "a", None, "a.csv"), (None, "2024/01/02", "2", None, "a.csv"), (None, "x", None, 3.0, "b.csv")]
+
+
+def test_decimal_columns_found(spark, tmp_path):
+    (tmp_path / "p.txt").write_bytes("UF;Preço;Vazia;Mista\nSP;1234,56;;1\nRJ; ;NA;1.5\n".encode("latin-1"))
+    df = delimited.read_decimal_comma(spark, str(tmp_path))
+    assert df.dtypes == [("uf", "string"), ("preco", "double"), ("vazia", "double"), ("mista", "string")]
+
+
 def test_archives(spark, tmp_path):
     for name in ("x.zip", "y.ZIP"):
         out = io.BytesIO()

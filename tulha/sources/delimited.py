@@ -69,19 +69,31 @@ def parse_decimal_columns(
     return df.withColumns({c: decimal_comma(F.col(c), type_name, thousands, na_tokens) for c in columns})
 
 
+def decimal_columns(
+    df: DataFrame, thousands: str | None = None, na_tokens: Sequence[str] = NA_TOKENS
+) -> list[str]:
+    """Text columns whose every cell is a decimal-comma number or NA, found in one pass."""
+    number = lambda c: F.col(c).isNull() | F.col(c).isin(list(na_tokens)) | decimal_comma(F.col(c), "double", thousands, na_tokens).isNotNull()
+    row = df.agg(*[F.bool_and(number(c)).alias(f"_{i}") for i, c in enumerate(df.columns)]).first()
+    return [c for i, c in enumerate(df.columns) if row[f"_{i}"]]
+
+
 def read_decimal_comma(
     spark: SparkSession,
     paths: str | Sequence[str],
-    decimals: Sequence[str],
+    decimals: Sequence[str] | None = None,
     sep: str = ";",
     encoding: str = "ISO-8859-1",
     type_name: str = "double",
     thousands: str | None = None,
     na_tokens: Sequence[str] = NA_TOKENS,
 ) -> DataFrame:
-    """Delimited text whose `decimals` columns write `1234,56`; NA tokens are NULL everywhere."""
+    """Delimited text whose `decimals` columns write `1234,56`; NA tokens are NULL everywhere.
+
+    Naming the columns reads the files once; None finds them with a pass of its own.
+    """
     df = read_delimited(spark, paths, sep=sep, encoding=encoding)
-    known = set(decimals)
+    known = set(decimal_columns(df, thousands, na_tokens) if decimals is None else decimals)
     return df.select(
         *[
             decimal_comma(F.col(c), type_name, thousands, na_tokens).alias(c)

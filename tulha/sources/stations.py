@@ -10,8 +10,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tulha.functions.names import column_name, slug
-from tulha.functions.values import decimal_comma
+from tulha.functions.names import slug
+from tulha.functions.values import NA_TOKENS, decimal_comma
 
 # Lines before the header, and the case-insensitive file pattern.
 PREAMBLE_LINES = 8
@@ -36,21 +36,9 @@ def _cells(line: Column, sep: str) -> Column:
     return F.when(line.contains('"'), unquoted).otherwise(F.split(line, sep))
 
 
-def parse_station_files(
-    files: DataFrame,
-    columns: Mapping[str, str],
-    preamble: int = PREAMBLE_LINES,
-    sep: str = ";",
-    encoding: str = "ISO-8859-1",
-) -> DataFrame:
-    """`(path, content)` rows to station rows plus `arquivo_origem`.
-
-    `columns` maps a safe column name to its type. Cells are found through each
-    file's own header, so files may order columns differently or lack some;
-    a column missing from a file is NULL there. A station file is one year of
-    hourly lines, so one file per row is bounded; files spread over tasks.
-    """
-    decoded = F.regexp_replace(F.decode("content", encoding), "^﻿", "")
+def _station_cells(files: DataFrame, preamble: int, sep: str, encoding: str) -> DataFrame:
+    """`(path, content)` to one row per data line: `arquivo_origem, path, header, cells`."""
+    decoded = F.regexp_replace(F.decode("content", encoding), "^\ufeff", "")
     # The header is worked out per file, in a step of its own below the explode.
     headed = files.select("path", F.split(decoded, "\r\n|\n|\r").alias("lines")).select(
         "path", "lines", F.transform(_cells(F.get("lines", F.lit(preamble)), sep), slug).alias("header")
@@ -61,10 +49,55 @@ def parse_station_files(
         "header",
         F.explode(F.slice("lines", preamble + 2, F.greatest(F.size("lines"), F.lit(1)))).alias("line"),
     )
-    cells = lines.where(F.trim("line") != "").select("arquivo_origem", "path", "header", _cells(F.col("line"), sep).alias("cells"))
+    return lines.where(F.trim("line") != "").select("arquivo_origem", "path", "header", _cells(F.col("line"), sep).alias("cells"))
+
+
+def station_columns(
+    files: DataFrame, preamble: int = PREAMBLE_LINES, sep: str = ";", encoding: str = "ISO-8859-1", at_most: int = 500
+) -> dict[str, str]:
+    """Every column the files' headers name, `double` where all its cells are numbers or NA.
+
+    One grouped pass over all files; the driver gets one row per column. More
+    than `at_most` columns is an error.
+    """
+    cells = _station_cells(files, preamble, sep, encoding)
+    pairs = cells.select(F.explode(F.arrays_zip(F.col("header").alias("name"), F.col("cells").alias("cell"))).alias("p"))
+    cell = F.col("p.cell")
+    number = cell.isNull() | cell.isin(NA_TOKENS) | decimal_comma(cell).isNotNull()
+    found = (
+        pairs.where("p.name <> ''")
+        .groupBy(F.col("p.name").alias("name"))
+        .agg(F.bool_and(number).alias("number"))
+        .orderBy("name")
+        .limit(at_most + 1)
+        .collect()
+    )
+    if len(found) > at_most:
+        raise ValueError(f"more than {at_most} station columns")
+    return {r["name"]: "double" if r["number"] else "string" for r in found}
+
+
+def parse_station_files(
+    files: DataFrame,
+    columns: Mapping[str, str] | None = None,
+    preamble: int = PREAMBLE_LINES,
+    sep: str = ";",
+    encoding: str = "ISO-8859-1",
+) -> DataFrame:
+    """`(path, content)` rows to station rows plus `arquivo_origem`.
+
+    `columns` maps a safe column name to its type; None finds them with a pass
+    of its own. Cells are found through each file's own header, so files may
+    order columns differently or lack some; a column missing from a file is
+    NULL there. A station file is one year of hourly lines, so one file per row
+    is bounded; files spread over tasks.
+    """
+    if columns is None:
+        columns = station_columns(files, preamble, sep, encoding)
+    cells = _station_cells(files, preamble, sep, encoding)
 
     def value(name: str, type_name: str) -> Column:
-        place = F.array_position("header", column_name(name))
+        place = F.array_position("header", name)
         text = F.when(place > 0, F.get("cells", (place - 1).cast("int")))
         if type_name == "string":
             return F.when(F.trim(text) != "", text).alias(name)
@@ -73,7 +106,7 @@ def parse_station_files(
     return cells.select(*[value(n, t) for n, t in columns.items()], "arquivo_origem", "path")
 
 
-def read_station_files(spark: SparkSession, path: str, columns: Mapping[str, str], **options) -> DataFrame:
+def read_station_files(spark: SparkSession, path: str, columns: Mapping[str, str] | None = None, **options) -> DataFrame:
     """Every station file below `path` as one DataFrame."""
     return parse_station_files(read_binary_files(spark, path), columns, **options)
 
@@ -100,7 +133,9 @@ def expand_archives(archives: DataFrame) -> DataFrame:
     return archives.select("path", "content").mapInPandas(_expand, "archive string, path string, content binary")
 
 
-def read_archived_station_files(spark: SparkSession, path: str, columns: Mapping[str, str], **options) -> DataFrame:
+def read_archived_station_files(
+    spark: SparkSession, path: str, columns: Mapping[str, str] | None = None, **options
+) -> DataFrame:
     """Station files inside the zip archives below `path`."""
     members = expand_archives(read_binary_files(spark, path, "*.[zZ][iI][pP]"))
     return parse_station_files(members.where(F.col("path").rlike(r"(?i)\.csv$")), columns, **options)
