@@ -95,7 +95,10 @@ def dimension_columns(observations: DataFrame, labels: Sequence[str]) -> DataFra
 
     def cell(column: str) -> Column:
         names, ids = names_of.get(column, []), ids_of.get(column, [])
-        last = F.try_element_at(F.filter("dimensoes", lambda d: d["rotulo"].isin(names + ids)), F.lit(-1))
+        # The last entry is the first one of the reversed array.
+        places = [F.nullif(F.array_position(F.reverse("dimensoes.rotulo"), label), F.lit(0)) for label in names + ids]
+        place = F.least(*places) if len(places) > 1 else places[0]
+        last = F.get(F.reverse("dimensoes"), (place - 1).cast("int"))
         return F.when(last["rotulo"].isin(names), last["nome"]).otherwise(last["id"]) if names else last["id"]
 
     core = [F.coalesce(cell(c), F.col(c)).alias(c) if c in columns else F.col(c) for c in CORE_COLUMNS]
