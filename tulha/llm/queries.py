@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tulha.llm import decontaminate, jaccard_join, mixing
+from tulha.llm import decontaminate, jaccard_join, mixing, personal_data, toxicity
 from tulha.llm.tables import table
 
 
@@ -24,13 +24,34 @@ def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_hit", "n_items", digest, "contaminated")
 
 
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A toxicity score for every document."""
+    found = toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return found.select("doc_id", "held_out", "score", "predicted")
+
+
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words that the mix takes of every document."""
     return mixing.mix_documents(table(spark, sf_dir, "documents"), keep=["doc_id"])
 
 
+def op9_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in every document."""
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = personal_data.find_personal_data(documents, personal_data.learn(documents))
+    counts = [F.size(F.filter("base_spans", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}") for k in personal_data.BASE_KINDS]
+    return found.select("doc_id", *counts, F.sha2(joined_spans("base_spans"), 256).alias("base_sha256"), joined_spans("spans").alias("spans"))
+
+
+def joined_spans(column: str) -> Column:
+    """kind:start:end of each span, comma-joined."""
+    return F.array_join(F.transform(column, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_ngram_jaccard": op4_ngram_jaccard,
     "op5_decontamination": op5_decontamination,
+    "op7_toxicity": op7_toxicity,
     "op8_mixing": op8_mixing,
+    "op9_personal_data": op9_personal_data,
 }

@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tulha.session import fresh_path
 
@@ -31,3 +35,27 @@ def text_key(column: str = "text") -> list[Column]:
 def without_texts(documents: DataFrame, keys: DataFrame) -> DataFrame:
     """The documents whose text is not among the keys."""
     return documents.withColumns(dict(zip(TEXT_KEY, text_key(), strict=True))).join(keys, list(TEXT_KEY), "left_anti").drop(*TEXT_KEY)
+
+
+def with_columns(frame: DataFrame, source: str, added: StructType, make: Callable[[pa.Array], list[pa.Array]]) -> DataFrame:
+    """The frame with columns that `make` computes from each Arrow batch of the column `source`; they replace columns of the same names."""
+    names = [f.name for f in added]
+    rows = frame.select([c for c in frame.columns if c not in names or c == source])
+    kept = [c for c in rows.columns if c not in names]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in kept], *make(batch.column(source))], [*kept, *names])
+
+    return rows.mapInArrow(run, StructType([*[f for f in rows.schema if f.name in kept], *added.fields]))
+
+
+def hash_sample(frame: DataFrame, key: str, rows: int) -> DataFrame:
+    """About `rows` rows, those whose key's hash comes first; at most twice as many, and all of a smaller frame.
+
+    The share is fixed by a count beforehand, so that no task has to order rows.
+    """
+    share = rows / max(1, frame.count())
+    if share >= 1:
+        return frame
+    return frame.filter(F.pmod(F.xxhash64(F.lit("sample"), key), F.lit(1 << 30)) < int(share * (1 << 30))).limit(2 * rows)
