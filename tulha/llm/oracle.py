@@ -3,11 +3,40 @@
 from __future__ import annotations
 
 from tulha.llm.mixing import SEED, SIZE_PATTERN
+from tulha.llm.secrets import BASE_RULES, RULES
 from tulha.llm.words import LOWER, UPPER, WORD_PATTERN
 
 _WORDS = f"regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '{WORD_PATTERN}')"
 
+
+
+def _secrets() -> str:
+    """Each rule searched in every text; places follow from the lengths of what is between the matches."""
+    parts = []
+    for place, rule in enumerate(RULES):
+        pattern = rule.pattern.replace("'", "''")
+        least = f"AND length(regexp_extract(m[i], '{pattern}', {rule.group})) >= {rule.least}" if rule.least else ""
+        parts.append(
+            f"SELECT r, {place} AS place, '{rule.kind}' AS kind, list_sum(list_transform(g[1:i], lambda x: length(x))) "
+            f"+ coalesce(list_sum(list_transform(m[1:i - 1], lambda x: length(x))), 0) AS s, length(m[i]) AS n "
+            f"FROM (SELECT r, m, g, unnest(range(1, len(m) + 1)) AS i FROM (SELECT r, regexp_extract_all(text, '{pattern}') AS m, "
+            f"regexp_split_to_array(text, '{pattern}') AS g FROM docs)) WHERE true {least}"
+        )
+    named = "kind || ':' || s::bigint || ':' || (s + n)::bigint"
+    base = f"place < {len(BASE_RULES)}"
+    counts = ", ".join(f"coalesce(n_{r.kind}, 0) AS n_{r.kind}" for r in BASE_RULES)
+    counted = ", ".join(f"count(*) FILTER (kind = '{r.kind}') AS n_{r.kind}" for r in BASE_RULES)
+    return f"""
+        WITH docs AS MATERIALIZED (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text FROM documents),
+        spans AS ({" UNION ALL ".join(parts)}),
+        joined AS (
+            SELECT r, {counted}, string_agg({named}, ',' ORDER BY s, place) AS spans,
+                string_agg({named}, ',' ORDER BY s, place) FILTER ({base}) AS base FROM spans GROUP BY r)
+        SELECT doc_id, {counts}, sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans FROM docs LEFT JOIN joined USING (r)"""
+
+
 ORACLE_SQL: dict[str, str] = {
+    "op1_secrets": _secrets(),
     "op4_ngram_jaccard": f"""
         WITH RECURSIVE words AS MATERIALIZED (SELECT doc_id, {_WORDS} AS w FROM documents),
         grams AS MATERIALIZED (

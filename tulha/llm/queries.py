@@ -2,15 +2,24 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tulha.llm import decontaminate, jaccard_join, mixing, personal_data, toxicity
+from tulha.llm import decontaminate, jaccard_join, mixing, personal_data, secrets, toxicity
 from tulha.llm.tables import table
 
 
+def op1_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets in every document."""
+    found = secrets.find_secrets(table(spark, sf_dir, "documents"))
+    base = [r.kind for r in secrets.BASE_RULES]
+    found = found.select("doc_id", "spans", F.filter("spans", lambda s: s["kind"].isin(base)).alias("base_spans"))
+    digest = F.sha2(joined_spans("base_spans"), 256).alias("base_sha256")
+    return found.select("doc_id", *_counts("base_spans", base), digest, joined_spans("spans").alias("spans"))
+
+
 def op4_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per document with its class of near copies and its number of links."""
     found = jaccard_join.jaccard_classes(table(spark, sf_dir, "documents"))
@@ -39,9 +48,13 @@ def op9_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Personal data in every document."""
     documents = table(spark, sf_dir, "documents").select("doc_id", "text")
     found = personal_data.find_personal_data(documents, personal_data.learn(documents))
-    kinds = F.transform("base_spans", lambda s: s["kind"])
-    counts = [(F.size(kinds) - F.size(F.array_remove(kinds, k))).cast("long").alias(f"n_{k}") for k in personal_data.BASE_KINDS]
-    return found.select("doc_id", *counts, F.sha2(joined_spans("base_spans"), 256).alias("base_sha256"), joined_spans("spans").alias("spans"))
+    return found.select("doc_id", *_counts("base_spans", personal_data.BASE_KINDS), F.sha2(joined_spans("base_spans"), 256).alias("base_sha256"), joined_spans("spans").alias("spans"))
+
+
+def _counts(column: str, kinds: Sequence[str]) -> list[Column]:
+    """n_<kind> for each kind of the spans."""
+    own = F.transform(column, lambda s: s["kind"])
+    return [(F.size(own) - F.size(F.array_remove(own, k))).cast("long").alias(f"n_{k}") for k in kinds]
 
 
 def joined_spans(column: str) -> Column:
@@ -50,6 +63,7 @@ def joined_spans(column: str) -> Column:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_secrets": op1_secrets,
     "op4_ngram_jaccard": op4_ngram_jaccard,
     "op5_decontamination": op5_decontamination,
     "op7_toxicity": op7_toxicity,
