@@ -7,7 +7,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tulha.llm import decontaminate, jaccard_join, mixing, personal_data, secrets, toxicity
+from tulha.llm import decontaminate, jaccard_join, main_text, mixing, neighbours, personal_data, secrets, toxicity
 from tulha.llm.tables import table
 
 
@@ -33,6 +33,11 @@ def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_hit", "n_items", digest, "contaminated")
 
 
+def op6_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page."""
+    return main_text.extract(table(spark, sf_dir, "pages")).select("page_id", "url", "text", "n_chars")
+
+
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A toxicity score for every document."""
     found = toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
@@ -51,6 +56,12 @@ def op9_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *_counts("base_spans", personal_data.BASE_KINDS), F.sha2(joined_spans("base_spans"), 256).alias("base_sha256"), joined_spans("spans").alias("spans"))
 
 
+def op10_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The nearest 20 of every twentieth vector among all others."""
+    vectors = neighbours.clean_vectors(table(spark, sf_dir, "embeddings"), "vec_id", "embedding")
+    return neighbours.nearest(vectors.filter("vec_id % 20 = 0"), vectors)
+
+
 def _counts(column: str, kinds: Sequence[str]) -> list[Column]:
     """n_<kind> for each kind of the spans."""
     own = F.transform(column, lambda s: s["kind"])
@@ -66,7 +77,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secrets": op1_secrets,
     "op4_ngram_jaccard": op4_ngram_jaccard,
     "op5_decontamination": op5_decontamination,
+    "op6_main_text": op6_main_text,
     "op7_toxicity": op7_toxicity,
     "op8_mixing": op8_mixing,
     "op9_personal_data": op9_personal_data,
+    "op10_neighbours": op10_neighbours,
 }
