@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from tulha.llm.chat import CLOSE, ESCAPED_OPEN, OPEN, SEPARATOR
 from tulha.llm.mixing import SEED, SIZE_PATTERN
 from tulha.llm.secrets import BASE_RULES, RULES
 from tulha.llm.words import LOWER, UPPER, WORD_PATTERN
@@ -37,6 +38,18 @@ def _secrets() -> str:
 
 ORACLE_SQL: dict[str, str] = {
     "op1_secrets": _secrets(),
+    "op2_chat_format": f"""
+        WITH whole AS MATERIALIZED (
+            SELECT conv_id, list(struct_pack(turn := turn, role := role, text := text) ORDER BY turn NULLS FIRST, role NULLS FIRST, text NULLS FIRST) AS t
+            FROM conversations GROUP BY conv_id),
+        prefixes AS (SELECT t AS longer, t[1:i] AS t FROM (SELECT DISTINCT t, unnest(range(1, len(t))) AS i FROM whole)),
+        kept AS (
+            SELECT t, min(conv_id) AS conv_id, count(*) AS copies FROM whole WHERE t NOT IN (SELECT t FROM prefixes) GROUP BY t)
+        SELECT conv_id, len(t) AS n_turns,
+            (copies - 1 + (SELECT count(*) FROM whole w WHERE len(w.t) < len(kept.t) AND kept.t[1:len(w.t)] = w.t))::bigint AS n_collapsed,
+            list_aggregate(list_transform(t, lambda x: '{OPEN}' || replace(coalesce(x.role, 'unknown'), '{OPEN}', '{ESCAPED_OPEN}') || '{SEPARATOR}'
+                || replace(coalesce(x.text, ''), '{OPEN}', '{ESCAPED_OPEN}') || chr(10) || '{CLOSE}'), 'string_agg', '') AS rendered
+        FROM kept""",
     "op4_ngram_jaccard": f"""
         WITH RECURSIVE words AS MATERIALIZED (SELECT doc_id, {_WORDS} AS w FROM documents),
         grams AS MATERIALIZED (

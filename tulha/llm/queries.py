@@ -7,7 +7,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tulha.llm import decontaminate, jaccard_join, main_text, mixing, neighbours, personal_data, secrets, toxicity
+from tulha.llm import chat, decontaminate, jaccard_join, main_text, mixing, neighbours, personal_data, secrets, token_counts, toxicity
 from tulha.llm.tables import table
 
 
@@ -20,6 +20,16 @@ def op1_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *_counts("base_spans", base), digest, joined_spans("spans").alias("spans"))
 
 
+def op2_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every maximal conversation, rendered."""
+    return chat.format_chats(table(spark, sf_dir, "conversations"))
+
+
+def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of every document, of its source line, and of each line of its text."""
+    return token_counts.count_tokens(table(spark, sf_dir, "documents"), ["source", "text"], ["doc_id"])
+
+
 def op4_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per document with its class of near copies and its number of links."""
     found = jaccard_join.jaccard_classes(table(spark, sf_dir, "documents"))
@@ -75,6 +85,8 @@ def joined_spans(column: str) -> Column:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secrets": op1_secrets,
+    "op2_chat_format": op2_chat_format,
+    "op3_token_counts": op3_token_counts,
     "op4_ngram_jaccard": op4_ngram_jaccard,
     "op5_decontamination": op5_decontamination,
     "op6_main_text": op6_main_text,
