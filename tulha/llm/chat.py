@@ -50,9 +50,10 @@ def _by_turn(a: Column, b: Column) -> Column:
 def maximal(whole: DataFrame) -> DataFrame:
     """The conversations that are no proper prefix of another, one of each group of equal ones, with `n_collapsed`.
 
-    Of equal conversations the one with the least conv_id stays, an id n_collapsed counts the equal ones and the snapshots that a kept
-    conversation stands for directly: those that no other kept one is counted for
-    first, in the order of the whole hash.
+    Of equal conversations the one with the least conv_id stays, an id before
+    none. n_collapsed counts the others that a kept conversation stands for:
+    equal ones and its prefixes, each of their copies; a prefix of several kept
+    conversations counts for each.
     """
     sized = whole.select("conv_id", F.size("hashes").alias("n"), F.element_at("hashes", -1).alias("hash"))
     first = F.min(F.struct(F.isnull("conv_id").alias("none"), "conv_id")).alias("first")
