@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -32,8 +33,8 @@ SIMILARITY = 0.8
 SKETCH = 64
 #: Sketches agree this much less than sets by chance in 1 of 30,000 pairs at 0.8 (four deviations).
 SKETCH_SLACK = 0.2
-#: Sets that one bucket compares at once, and levels after which it does so in any case.
-BUCKET_SETS, LEVELS = 1000, 4
+#: Sets that one bucket compares at once; levels that every set is split along, and after which buckets are kept whole.
+BUCKET_SETS, FIRST_LEVELS, LEVELS = 2000, 2, 4
 TARGET_RECALL = 0.9999
 #: Grams that one block of a component holds, on average.
 BLOCK_GRAMS = 200_000
@@ -128,7 +129,7 @@ def _children(nodes: np.ndarray, sketches: np.ndarray, similarity: float) -> tup
 
 
 def _split(sets: DataFrame, similarity: float, runs: int | None = None) -> DataFrame:
-    """(node, id): the children of each row's node, or of the roots of all runs."""
+    """(node, id): the children of each row's node, or the nodes some levels below the roots of all runs."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -139,6 +140,9 @@ def _split(sets: DataFrame, similarity: float, runs: int | None = None) -> DataF
             roots = [np.full(len(ids), mix(np.array([r + 1], np.uint64))[0]) for r in range(runs)] if runs else [batch.column("node").to_numpy().view(np.uint64)]
             for nodes in roots:
                 rows, child = _children(nodes, sketches, similarity)
+                for _ in range(FIRST_LEVELS - 1 if runs else 0):
+                    further, child = _children(child, sketches[rows], similarity)
+                    rows = rows[further]
                 yield pa.RecordBatch.from_arrays([pa.array(child.view(np.int64)), pa.array(ids[rows])], ["node", "id"])
 
     return sets.mapInArrow(run, "node long, id long")
@@ -211,12 +215,12 @@ def candidate_links(sets: DataFrame, similarity: float = SIMILARITY, target_reca
     least = math.floor(SKETCH * (similarity - SKETCH_SLACK))
     rows = written(_split(sets, similarity, runs_needed(similarity, LEVELS, target_recall)), "paths")
     links = []
-    for level in range(1, LEVELS + 1):
+    for level in range(FIRST_LEVELS, LEVELS + 1):
         sizes = written(rows.groupBy("node").count().filter("count > 1"), "buckets")
         small = rows.join(sizes.filter(F.col("count") <= BUCKET_SETS), "node").join(sets, "id")
-        links.append(written(_similar_sketches(small, least).distinct(), "links"))
+        links.append(_similar_sketches(small, least))
         large = sizes.filter(F.col("count") > BUCKET_SETS)
-        if not large.limit(1).count():
+        if (sizes.agg(F.max("count")).first()[0] or 0) <= BUCKET_SETS:
             break
         rows = rows.join(large, "node").select("node", "id")
         if level < LEVELS:
@@ -224,11 +228,8 @@ def candidate_links(sets: DataFrame, similarity: float = SIMILARITY, target_reca
         else:
             # Sets that still share a bucket hang together without a look at their sketches; the exact check sorts them out.
             hub = rows.groupBy("node").agg(F.min("id").alias("b"))
-            links.append(rows.join(hub, "node").select(F.col("id").alias("a"), "b").filter("a <> b").distinct())
-    result = links[0]
-    for more in links[1:]:
-        result = result.union(more)
-    return result
+            links.append(rows.join(hub, "node").select(F.col("id").alias("a"), "b").filter("a <> b"))
+    return reduce(DataFrame.union, links)
 
 
 # --- exact comparison --------------------------------------------------------
