@@ -12,6 +12,11 @@ from tulha.sinks import evolve, layout
 NOW = datetime(2024, 5, 6, 7, 8, 9, tzinfo=timezone.utc)
 
 
+@pytest.fixture
+def db(spark):
+    return fresh_database(spark, "evolucao")
+
+
 @pytest.fixture
 def table(spark):
     return f"{fresh_database(spark, 'evolucao')}.t"
@@ -24,10 +29,12 @@ def rows(spark, name):
 def test_compare_schemas(spark):
     old = T.StructType.fromDDL("a int, b string, c int")
     new = T.StructType.fromDDL("a bigint, B string, c int NOT NULL")
-    diff = evolve.compare_schemas(old, new)
+    diff = evolve.compare_schemas(old, new, case_sensitive=True)
     assert [f.name for f in diff.added] == ["B"]
-    assert [(n, o.simpleString(), w.simpleString()) for n, o, w in diff.conflicts] == [("a", "int", "bigint")]
+    assert [(c.column, c.held.simpleString(), c.brought.simpleString()) for c in diff.conflicts] == [("a", "int", "bigint")]
     assert diff.absent == ["b"]
+    folded = evolve.compare_schemas(old, new)
+    assert folded.renamed == {"B": "b"} and not folded.added and not folded.absent
     loose, strict = (T.StructType([T.StructField("l", T.ArrayType(T.IntegerType(), n))]) for n in (True, False))
     assert evolve.compare_schemas(loose, strict) == evolve.SchemaDiff()
 
@@ -44,7 +51,7 @@ def test_create_append_add_and_missing(spark, table):
 def test_conflict_keeps_history_and_wins_over_new_columns(spark, table):
     evolve.write_evolving(spark, spark.sql("SELECT 1 AS a"), table)
     first = evolve.write_evolving(spark, spark.sql("SELECT 'dois' AS a, 3 AS novo"), table, now=NOW)
-    assert first.path == "recreate" and first.conflicts == ["a (int -> string)"]
+    assert first.path == "recreate" and [(c.column, c.brought.simpleString()) for c in first.conflicts] == [("a", "string")]
     assert first.backup == f"{table}_bkp_20240506_070809"
     second = evolve.write_evolving(spark, spark.sql("SELECT 5.5D AS a"), table, now=NOW)
     assert second.backup == f"{table}_bkp_20240506_070809_2"
@@ -125,7 +132,7 @@ def test_compaction_keeps_rows_in_fewer_files(spark, table):
         evolve.write_evolving(spark, df.where(F.col("id") % 4 == part).repartition(8), table, partition_by=["uf"])
     before = len(spark.table(table).inputFiles())
     spark.range(10).withColumn("uf", F.lit("u0")).repartition(10).write.mode("append").insertInto(table)
-    old = layout.compact_table(spark, table, partition_by=["uf"])
+    old = layout.compact_table(spark, table)
     after = len(spark.table(table).inputFiles())
     assert spark.table(table).count() == 1010 == spark.table(old).count()
     assert after <= 3 < before + 10
@@ -156,3 +163,38 @@ def test_hot_partition_value_is_split(spark):
     assert len(written.where("k = 'hot'").inputFiles()) and written.count() == 400_000
     hot_files = [f for f in written.inputFiles() if "k=hot" in f]
     assert len(hot_files) > 1
+
+
+def test_spelling_in_another_case_is_the_same_column(spark, table):
+    evolve.write_evolving(spark, spark.sql("SELECT 1 AS preco"), table)
+    report = evolve.write_evolving(spark, spark.sql("SELECT 2 AS Preco"), table)
+    assert report.path == "append" and rows(spark, table) == [(1,), (2,)]
+
+
+def test_compaction_twice_keeps_layout_and_fails_cleanly(spark, table):
+    df = spark.range(100).withColumn("uf", F.concat(F.lit("u"), F.col("id") % 3))
+    layout.write_layer_table(df.repartition(9), table, "gold", ["uf"])
+    kept = layout.table_layout(spark, table)
+    olds = {layout.compact_table(spark, table) for _ in range(2)}
+    assert len(olds) == 2 and layout.table_layout(spark, table) == kept == ("parquet", ["uf"], {"compression": "zstd"})
+    with pytest.raises(ValueError):
+        layout.compact_table(spark, table, keep_old=olds.pop())
+    assert spark.table(table).count() == 100
+
+
+def test_folder_of_differing_headers_lands_with_lineage_and_rejects(spark, db, tmp_path):
+    (tmp_path / "a.txt").write_text("Ano;UF\n2020;SP\n1;2;3\n", encoding="latin-1")
+    (tmp_path / "b.txt").write_text("UF;Ano;Preço\nRJ;2021;9\n", encoding="latin-1")
+    ingest_file(spark, str(tmp_path), "txt", f"{db}.misto", "c1", "2024-01-01 00:00:00")
+    got = spark.table(f"{db}.misto").orderBy("ano").select("ano", "uf", "preco", "_source_file").collect()
+    assert [tuple(r) for r in got] == [("2020", "SP", None, "a.txt"), ("2021", "RJ", "9", "b.txt")]
+    lost = spark.table(f"{db}.misto_rejeitadas").collect()
+    assert [(r.line, r.motivo, r._source_file) for r in lost] == [("1;2;3", "3 celulas para 2 colunas", "a.txt")]
+    with pytest.raises(ValueError):
+        ingest_listing(spark, [], db, "c1", "2024-01-01 00:00:00")
+
+
+def test_binary_workbook_is_refused(spark, db, tmp_path):
+    (tmp_path / "w.xlsx").write_bytes(b"PK\x03\x04rest")
+    with pytest.raises(ValueError, match="binary"):
+        ingest_file(spark, str(tmp_path / "w.xlsx"), "xlsx", f"{db}.w", "c1", "2024-01-01 00:00:00")

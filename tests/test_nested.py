@@ -74,8 +74,6 @@ def test_dimension_over_core_columns(spark):
     assert obs.dimension_columns(df, ["Variável"]).first().variavel == "outra"
     with pytest.raises(ValueError):
         obs.dimension_columns(df, ["Valor"])
-    with pytest.raises(ValueError):
-        obs.dimension_labels(df, at_most=0)
 
 
 def test_all_values_suppressed_still_load(spark):
@@ -158,3 +156,26 @@ def test_levels_and_requests(spark):
     wanted = catalogue.requests_by_period(specs, "periodos", 6, 2022, base="http://x")
     assert sorted((r.agregado_id, r.periodo) for r in wanted.collect()) == [("1", "2016"), ("1", "202206"), ("2", "2016"), ("2", "202206")]
     assert wanted.where("agregado_id = 1 AND periodo = 2016").first().caminho == "http://x/agregados/1/periodos/2016/variaveis/10|11"
+
+
+def test_blocks_are_quarantined_one_by_one(spark):
+    good = '{"variavel":"A","resultados":[{"series":[{"localidade":{"id":"1","nome":"x"},"serie":{"2020":"1"}}]}]}'
+    bodies = {
+        1: f'[{good},{{"resultados":[{{"series":"erro"}}]}},{good}]',
+        2: f'[{{"resultados":[{{"series":[{{"serie":["1"]}}]}}]}},{good}]',
+        3: f'[{{"variavel":"sem resultados"}},{good}]',
+        4: f"[{good},{{",
+        5: "[]",
+        6: None,
+        7: '{"erro":1}',
+        8: f'[7,{good},{{"resultados":{{}}}}]',
+        9: f'[{{"resultados":null}},{good}]',
+    }
+    df = spark.createDataFrame(list(bodies.items()), "agregado_id int, body string")
+    marked = quarantine.mark_blocks(df).collect()
+    assert {(r.agregado_id, r.bloco, r.motivo) for r in marked if r.motivo} == {
+        (1, 1, "estrutura inesperada"), (2, 0, "estrutura inesperada"), (4, -1, "json ilegivel"), (5, -1, "sem variaveis"), (6, -1, "vazio"),
+        (7, -1, "estrutura inesperada"), (8, 0, "estrutura inesperada"), (8, 2, "estrutura inesperada"),
+    }
+    rows = obs.flatten_observations(quarantine.split_marked(quarantine.mark_blocks(df))[0])
+    assert {r.agregado_id: r["count"] for r in rows.groupBy("agregado_id").count().collect()} == {1: 2, 2: 1, 3: 1, 8: 1, 9: 1}

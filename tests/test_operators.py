@@ -138,3 +138,35 @@ def test_nearest_site_against_brute_force(spark, seed, spread):
             assert abs(r.distancia_km - want[r.ponto_id][0]) < 1e-3
             if spread == "city":
                 assert r.local_id == want[r.ponto_id][1]
+
+
+def test_crowded_sites_do_not_meet_every_point(spark):
+    draw = random.Random(4)
+    points = [(i, draw.uniform(-25, -21), draw.uniform(-49, -45)) for i in range(500)]
+    sites = [(i, -23.5 + draw.uniform(0, 0.1), -46.6 + draw.uniform(0, 0.1)) for i in range(500)]
+    as_df = lambda rows, name: spark.createDataFrame(rows, f"{name} int, latitude double, longitude double")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = geo.nearest_site(as_df(points, "ponto_id"), as_df(sites, "local_id"))
+        got = {r.ponto_id: (round(r.distancia_km, 6), r.local_id) for r in found.collect()}
+        plan, made, todo = found._jdf.queryExecution().executedPlan(), [], []
+        todo.append(plan)
+        while todo:
+            node = todo.pop()
+            if "Join" in node.nodeName():
+                made.append(node.metrics().get("numOutputRows").get().value())
+            inner = [node.executedPlan()] if node.nodeName() == "AdaptiveSparkPlan" else [node.plan()] if "QueryStage" in node.nodeName() else []
+            todo += inner + [node.children().apply(i) for i in range(node.children().size())]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert got == brute_nearest({i: (a, b) for i, a, b in points}, {i: (a, b) for i, a, b in sites})
+    assert made and max(made) < 500 * 500 / 5
+
+
+def test_star_keeps_facts_without_keys(spark):
+    df = spark.createDataFrame([("1", "SP", "2020", "v", "u", "a", 1.0), (None, None, "2020", "v", "u", "a", 2.0), ("1", "SP", None, None, "u", "a", 4.0)],
+        "localidade_id string, localidade_nome string, periodo string, variavel string, unidade string, agregado_id string, valor double")
+    dimensions = gold.star_dimensions(df)
+    joined = gold.star_join(gold.star_fact(df), dimensions)
+    assert joined.count() == 3 and joined.agg(F.sum("valor")).first()[0] == 7.0
+    assert gold.shared_keys(dimensions) == []

@@ -4,6 +4,7 @@ import zipfile
 import pytest
 from pyspark.sql import functions as F
 
+from tulha.functions.html import decode_references
 from tulha.sources import delimited, portal, responses, stations, tables
 
 COLUMNS = {"data": "string", "temperatura_c": "double", "chuva_mm": "double"}
@@ -74,9 +75,7 @@ def test_columns_found_from_files(spark, tmp_path):
     (tmp_path / "a.csv").write_bytes(station_text("Data;1º Valor;Nota;", ["2024/01/01;1,5;a", "2024/01/02;;2"]).encode("latin-1"))
     (tmp_path / "b.csv").write_bytes(station_text("Vento;DATA", ["3;x"]).encode("latin-1"))
     files = stations.read_binary_files(spark, str(tmp_path))
-    assert stations.station_columns(files) == {"1o_valor": "double", "data": "string", "nota": "string", "vento": "double"}
-    with pytest.raises(ValueError):
-        stations.station_columns(files, at_most=3)
+    assert stations.station_columns(files) == {"col_1o_valor": "double", "data": "string", "nota": "string", "vento": "double"}
     rows = sorted(map(tuple, stations.read_station_files(spark, str(tmp_path)).drop("path").collect()), key=str)
     assert rows == [(1.5, "2024/01/01", "a", None, "a.csv"), (None, "2024/01/02", "2", None, "a.csv"), (None, "x", None, 3.0, "b.csv")]
 
@@ -137,3 +136,27 @@ def test_inventory_needs_tables(spark):
         tables.table_inventory(spark, ["vazio_inventario"])
     empty = tables.profile_table(spark.range(0).withColumn("x", F.lit(None).cast("string")), "t").first()
     assert empty.n_rows == 0 and empty.null_ratio is None and empty.last_ingest_ts is None
+
+
+def test_repeated_and_blank_station_headers(spark, tmp_path):
+    (tmp_path / "a.csv").write_bytes(station_text("Data;Chuva;Chuva;;Vento;", ["2024/01/01;1,5;2;x;3;"]).encode("latin-1"))
+    files = stations.read_binary_files(spark, str(tmp_path))
+    kinds = {"data": "string", "chuva": "double", "chuva_2": "double", "column": "string", "vento": "double"}
+    assert stations.station_columns(files) == kinds
+    row = stations.parse_station_files(files, kinds, rejected="_r").first()
+    assert (row.chuva, row.chuva_2, row.column, row.vento, row._r) == (1.5, 2.0, "x", 3.0, [])
+
+
+def test_unreadable_decimals_are_listed(spark, tmp_path):
+    (tmp_path / "a.txt").write_text("uf;preco\nSP;1.234,56\nRJ;2,5\nMG;N/A\n", encoding="latin-1")
+    got = delimited.read_decimal_comma(spark, str(tmp_path), ["preco"], rejected="_r").orderBy("uf").collect()
+    assert [(r.uf, r.preco, r._r) for r in got] == [("MG", None, []), ("RJ", 2.5, []), ("SP", None, ["preco"])]
+
+
+def test_references(spark):
+    pairs = {
+        "&#128512;": "😀", "&#99999;": chr(99999), "&#x1F600;": "😀", "PRODU&Ccedil;&Atilde;O": "PRODUÇÃO", "&#38;lt;": "&lt;", "&amp;amp;": "&amp;",
+        "&ordm;&nada; & x": "º&nada; & x", "&#0;&#55296;&#1114112;": "&#0;&#55296;&#1114112;", "sem": "sem", "": "",
+    }
+    df = spark.createDataFrame(list(pairs.items()), "t string, quer string")
+    assert [r.quer for r in df.where(decode_references(F.col("t")) != F.col("quer")).collect()] == []

@@ -55,3 +55,25 @@ def test_sliding_hours(spark):
     rows = spark.read.parquet(out)
     assert rows.where(F.minute("inicio") == 30).count() > 0
     assert rows.where("inicio >= '2024-01-01 01:00:00'").agg(F.min("n_leituras"), F.max("n_leituras")).first() == (3, 3)
+
+
+def test_totals_do_not_depend_on_files_per_trigger(spark):
+    landed = fresh_path(spark, "landed")
+    for start in (48, 24, 0):
+        land(spark, landed, events(start, 24, 60, start * 10))
+    schema, want = spark.read.parquet(landed).schema, 24 * 3
+    for at_once, n_late in ((1, 48), (1000, 0)):
+        out, checkpoint = fresh_path(spark, "rows"), fresh_path(spark, "checkpoint")
+        for _ in range(2):  # a second run finds nothing new
+            stream = hourly.read_file_stream(spark, landed, schema, files_per_trigger=at_once)
+            totals, late = hourly.run_hourly_totals(stream, "station", "value", out, checkpoint)
+        assert totals.agg(F.sum("n_leituras")).first()[0] == want == totals.count()
+        assert late.count() == n_late
+
+
+def test_dropped_rows_are_counted(spark):
+    landed, out, checkpoint = (fresh_path(spark, n) for n in ("landed", "rows", "checkpoint"))
+    for start in (48, 24, 0):
+        land(spark, landed, events(start, 24, 60, start * 10))
+    stream = hourly.read_file_stream(spark, landed, spark.read.parquet(landed).schema, files_per_trigger=1)
+    assert hourly.run_available(hourly.hourly_readings(stream, "station", "value"), out, checkpoint) > 0

@@ -2,17 +2,17 @@
 
 from __future__ import annotations
 
+from functools import cache
+from html.entities import html5
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# The named references decoded here; numeric ones are decoded by rule.
-NAMED_REFERENCES = {
-    "&lt;": "<", "&gt;": ">", "&quot;": '"', "&apos;": "'", "&nbsp;": " ",
-    "&ccedil;": "ç", "&atilde;": "ã", "&otilde;": "õ", "&aacute;": "á", "&eacute;": "é",
-    "&iacute;": "í", "&oacute;": "ó", "&uacute;": "ú", "&acirc;": "â", "&ecirc;": "ê",
-    "&ocirc;": "ô", "&agrave;": "à", "&Ccedil;": "Ç", "&Aacute;": "Á", "&Eacute;": "É",
-    "&copy;": "©", "&middot;": "·", "&ndash;": "–", "&mdash;": "—", "&amp;": "&",
-}
+
+@cache
+def _named_references() -> str:
+    """The HTML standard's named references that end in a semicolon, as the standard library lists them, in one text."""
+    return "\x1e".join(f"{name}\x1f{text}" for name, text in html5.items() if name.endswith(";"))
 
 
 def without_hidden(html: Column) -> Column:
@@ -21,19 +21,26 @@ def without_hidden(html: Column) -> Column:
 
 
 def decode_references(text: Column) -> Column:
-    """Character references to characters; values without `&` are left as they are."""
-    numeric = F.array_distinct(F.regexp_extract_all(text, F.lit(r"&#([0-9]{1,5});"), F.lit(1)))
-    decoded = F.aggregate(
-        numeric,
-        text,
-        lambda acc, n: F.replace(
-            acc,
-            F.concat(F.lit("&#"), n, F.lit(";")),
-            F.decode(F.unhex(F.lpad(F.hex(n.cast("long")), 4, "0")), "UTF-16BE"),
-        ),
-    )
-    for name, letter in NAMED_REFERENCES.items():
-        decoded = F.replace(decoded, F.lit(name), F.lit(letter))
+    """Character references to characters, each once: what a reference gives is not read again.
+
+    Named, decimal and hexadecimal references are decoded; an unknown name or a
+    number that is no character stays as it is. Values without `&` are left as
+    they are.
+    """
+    table = F.str_to_map(F.lit(_named_references()), F.lit("\x1e"), F.lit("\x1f"))
+    reference = r"&#[0-9]{1,8};|&#[xX][0-9a-fA-F]{1,7};|&[A-Za-z][A-Za-z0-9]{1,31};"
+    gaps = F.split(text, reference, -1)
+    found = F.concat(F.regexp_extract_all(text, F.lit(reference), F.lit(0)), F.array(F.lit("")))
+
+    def one(r: Column) -> Column:
+        body = F.substring(r, 2, 40)
+        digits = F.when(r.rlike("^&#[xX]"), F.conv(F.regexp_extract(r, "([0-9a-fA-F]+);$", 1), 16, 10)).otherwise(F.regexp_extract(r, "([0-9]+);$", 1))
+        code = digits.try_cast("long")
+        real = (code > 0) & (code <= 0x10FFFF) & ~code.between(0xD800, 0xDFFF)
+        letter = F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")
+        return F.when(r == "", "").when(r.startswith("&#"), F.when(real, letter).otherwise(r)).otherwise(F.coalesce(F.try_element_at(table, body), r))
+
+    decoded = F.array_join(F.zip_with(gaps, F.transform(found, one), lambda gap, letter: F.concat(gap, letter)), "")
     return F.when(text.contains("&"), decoded).otherwise(text)
 
 

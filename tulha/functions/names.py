@@ -7,6 +7,7 @@ import sys
 import unicodedata
 from collections.abc import Iterable
 from functools import cache
+from itertools import count
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -34,16 +35,14 @@ def column_name(raw: object) -> str:
 
 def column_names(raw_names: Iterable[object]) -> list[str]:
     """Safe names in order; a repeated name gets the first free suffix from `_2` on."""
-    taken: dict[str, None] = {}
-    for raw in raw_names:
-        base = column_name(raw)
-        free = base
-        for n in range(2, len(taken) + 3):
-            if free not in taken:
-                break
-            free = f"{base}_{n}"
-        taken[free] = None
-    return list(taken)
+    given: set[str] = set()
+    names = []
+    for base in map(column_name, raw_names):
+        suffixes = (f"{base}_{n}" for n in count(2))
+        name = base if base not in given else next(s for s in suffixes if s not in given)
+        given.add(name)
+        names.append(name)
+    return names
 
 
 def conform_columns(df: DataFrame) -> DataFrame:

@@ -40,3 +40,8 @@ def annual_cost(costs: DataFrame) -> DataFrame:
     return sums.withColumn(
         "total_custo_ha", F.col("total_custo_variavel_ha") + F.col("total_custo_fixo_ha")
     ).orderBy(F.asc_nulls_last("ano"))
+
+
+def year_window(observations: DataFrame, years: int | None, as_of_year: int, year: str = "ano") -> DataFrame:
+    """The same window over a table laid out by year: the filter prunes the table's folders."""
+    return observations if years is None else observations.where(F.col(year).between(as_of_year - years, as_of_year))

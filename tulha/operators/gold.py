@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -22,8 +23,8 @@ def state_year(
 
 
 def surrogate_key(*columns: str) -> Column:
-    """A stable 64-bit key of the natural key."""
-    return F.xxhash64(*columns)
+    """A stable 64-bit key of the natural key; a NULL part counts by its place, so an unknown member has a key too."""
+    return F.xxhash64(*[part for c in columns for part in (F.col(c), F.isnull(c))])
 
 
 def dimension(observations: DataFrame, key: Sequence[str], attributes: Sequence[str], name: str) -> DataFrame:
@@ -31,9 +32,10 @@ def dimension(observations: DataFrame, key: Sequence[str], attributes: Sequence[
 
     Where rows disagree on an attribute the greatest value counts, so the
     dimension does not depend on row order. Distinct combinations are found
-    first, which hashes and needs no sort of the observations.
+    first, which hashes and needs no sort of the observations. Observations
+    without the key have a member of their own, so that none is lost in a join.
     """
-    rows = observations.where(F.col(key[0]).isNotNull()).select(*key, *attributes).distinct()
+    rows = observations.select(*key, *attributes).distinct()
     if attributes:
         rows = rows.groupBy(*key).agg(*[F.max(a).alias(a) for a in attributes])
     return rows.select(surrogate_key(*key).alias(f"sk_{name}"), *key, *attributes)
@@ -63,6 +65,12 @@ def star_fact(observations: DataFrame, source: str = "agregado_id") -> DataFrame
     )
 
 
+def shared_keys(dimensions: dict[str, DataFrame]) -> list[str]:
+    """Names of the dimensions in which two natural keys share a surrogate key; such a dimension must not be loaded."""
+    counts = [d.agg(F.lit(n).alias("name"), (F.count("*") - F.countDistinct(f"sk_{n}")).alias("lost")) for n, d in dimensions.items()]
+    return sorted(r["name"] for r in reduce(DataFrame.unionByName, counts).where("lost > 0").collect())
+
+
 def star_join(fact: DataFrame, dimensions: dict[str, DataFrame]) -> DataFrame:
     """Fact with its dimension attributes; small dimensions are broadcast by their measured size."""
     for name, rows in dimensions.items():
@@ -110,6 +118,14 @@ def feature_lags(observations: DataFrame, climate: DataFrame | None = None) -> D
     return features.join(climate, ["localidade_id", "periodo"], "left")
 
 
+def climate_monthly(
+    readings: DataFrame, measures: Sequence[str], station: str = "estacao", day: str = "data"
+) -> DataFrame:
+    """The same as `climate_daily` by month; a day is text or a date that starts with year and month."""
+    month = F.regexp_replace(F.substring(F.col(day).cast("string"), 1, 7), "[/-]", "")
+    return climate_daily(readings.withColumn("_mes", month), measures, station, "_mes").withColumnRenamed("_mes", "mes")
+
+
 def climate_daily(
     readings: DataFrame, measures: Sequence[str], station: str = "estacao", day: str = "data"
 ) -> DataFrame:

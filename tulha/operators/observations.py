@@ -68,11 +68,9 @@ def flatten_observations(
     ).withColumn("valor", observation_value(F.col("valor_publicado")))
 
 
-def dimension_labels(observations: DataFrame, at_most: int = 2000) -> list[str]:
-    """Distinct dimension labels, in order. More than `at_most` is an error, not a cut."""
-    rows = observations.select(F.explode("dimensoes.rotulo").alias("rotulo")).distinct().limit(at_most + 1).collect()
-    if len(rows) > at_most:
-        raise ValueError(f"more than {at_most} dimension labels")
+def dimension_labels(observations: DataFrame) -> list[str]:
+    """Distinct dimension labels, in order: the names of classifications, not values."""
+    rows = observations.select(F.explode("dimensoes.rotulo").alias("rotulo")).distinct().collect()
     return sorted(r.rotulo for r in rows)
 
 

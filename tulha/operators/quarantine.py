@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tulha.sources.responses import DATA_SCHEMA, parse_body
+from tulha.functions.names import computed_once
+from tulha.sources.responses import BLOCK_SCHEMA, DATA_SCHEMA, parse_body
 
 
 def mark_responses(df: DataFrame, body: str = "body", schema: str = DATA_SCHEMA) -> DataFrame:
@@ -20,6 +23,63 @@ def mark_responses(df: DataFrame, body: str = "body", schema: str = DATA_SCHEMA)
     )
 
 
+def _members(parent: Column, name: str, kind: str = "array<variant>") -> tuple[Column, Column]:
+    """A member as a list (or map), and whether it is present in another shape."""
+    raw, fitted = F.try_variant_get(parent, f"$.{name}", "variant"), F.try_variant_get(parent, f"$.{name}", kind)
+    return fitted, F.coalesce(raw.isNotNull() & ~F.is_variant_null(raw) & fitted.isNull(), F.lit(False))
+
+
+def _any_of(items: Column, test: Callable[[Column], Column]) -> Column:
+    return F.coalesce(F.exists(items, test), F.lit(False))
+
+
+def _misshapen(block: Column) -> Column:
+    """Whether a block, or a member of it that is present, has another shape than the contract's."""
+    record = "map<string,variant>"
+    results, wrong = _members(block, "resultados")
+
+    def wrong_result(r: Column) -> Column:
+        series, wrong_series = _members(r, "series")
+        groups, wrong_groups = _members(r, "classificacoes")
+        in_series = _any_of(series, lambda s: _members(s, "serie", record)[1] | _members(s, "localidade", record)[1])
+        return wrong_series | wrong_groups | in_series | _any_of(groups, lambda g: _members(g, "categoria", record)[1])
+
+    return F.try_variant_get(block, "$", record).isNull() | wrong | _any_of(results, wrong_result)
+
+
+def mark_blocks(df: DataFrame, body: str = "body") -> DataFrame:
+    """One row per block of each response: `bloco` (its position), `parsed` (an array of it) and `motivo`.
+
+    The body is parsed once, into a variant; each block is then fitted to the
+    block's shape on its own, so a block of another shape is rejected by itself
+    and the others of its response go on. A missing member is no error and
+    gives no rows; one that is present in another shape is. A body without
+    blocks gives one row, rejected as a whole with position -1.
+    """
+    read = computed_once(df, "_variant", F.try_parse_json(body))
+    listed = computed_once(read, "_blocks", F.try_variant_get("_variant", "$", "array<variant>"))
+    reason = (
+        F.when(F.col(body).isNull() | (F.trim(body) == ""), "vazio")
+        .when(F.isnull("_variant"), "json ilegivel")
+        .when(F.isnull("_blocks"), "estrutura inesperada")
+        .when(F.size("_blocks") == 0, "sem variaveis")
+    )
+    whole = listed.withColumn("_whole", reason)
+    none = F.array(F.lit(None).cast("variant"))
+    blocks = whole.select(*df.columns, "_whole", F.posexplode(F.when(F.isnull("_whole"), F.col("_blocks")).otherwise(none)).alias("_at", "_block"))
+    fitted = computed_once(blocks, "_fitted", F.try_variant_get("_block", "$", BLOCK_SCHEMA))
+    motivo = F.coalesce("_whole", F.when(F.isnull("_fitted") | _misshapen(F.col("_block")), "estrutura inesperada"))
+    place = F.when(F.isnull("_whole"), F.col("_at")).otherwise(-1)
+    text = F.coalesce(F.to_json("_block"), F.col(body))
+    return fitted.select(
+        *[c for c in df.columns if c != body],
+        F.when(motivo.isNotNull(), text).alias(body),
+        place.alias("bloco"),
+        F.array("_fitted").alias("parsed"),
+        motivo.alias("motivo"),
+    )
+
+
 def split_marked(marked: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Good rows, and rejected rows with their reason."""
     return marked.where("motivo IS NULL").drop("motivo"), marked.where("motivo IS NOT NULL").drop("parsed")
@@ -32,6 +92,6 @@ def summary(marked: DataFrame, by: str) -> DataFrame:
 
 def raise_on_rejects(rejects: DataFrame) -> None:
     """Fail at the end of a load that left rejects, naming the reasons and counts."""
-    reasons = rejects.groupBy("motivo").count().orderBy("motivo").limit(20).collect()
+    reasons = rejects.groupBy("motivo").count().orderBy("motivo").collect()
     if reasons:
         raise RuntimeError("rejected rows: " + ", ".join(f"{r['motivo']}={r['count']}" for r in reasons))

@@ -30,22 +30,27 @@ def split_typed(df: DataFrame, contract: Mapping[str, str]) -> tuple[DataFrame,
 def latest_by_key(
     df: DataFrame, key: Sequence[str], order: Sequence[str] = ("_ingest_ts", "_source_file")
 ) -> DataFrame:
-    """One row per natural key: the latest load, then the greater file name.
+    """One row per natural key: the latest load, then the greater file name, then the row that hashes higher.
 
     `row_number` = 1 lets Spark keep one row per key in every map task before
     the shuffle, so a key that fills a third of the table stays cheap.
     """
-    newest = Window.partitionBy(*key).orderBy(*[F.desc_nulls_last(c) for c in order])
+    newest = Window.partitionBy(*key).orderBy(*[F.desc_nulls_last(c) for c in order], F.desc(F.xxhash64(F.to_json(F.struct(*df.columns)))))
     return df.withColumn("_rn", F.row_number().over(newest)).where("_rn = 1").drop("_rn")
 
 
-def pseudonym(value: Column, salt: str) -> Column:
+def pseudonym(value: Column, salt: Column) -> Column:
     """Salted SHA-256 of a personal value; NULL stays NULL."""
-    return F.sha2(F.concat(F.lit(salt), value.cast("string")), 256)
+    return F.sha2(F.concat(salt, value.cast("string")), 256)
 
 
 def pseudonymised(df: DataFrame, columns: Sequence[str], salt: str) -> DataFrame:
-    """Replace personal columns by pseudonyms."""
+    """Replace personal columns by pseudonyms.
+
+    The salt comes in as a row of a joined one-row table, not as a literal, so
+    that no plan or event log shows it.
+    """
     if not salt:
         raise ValueError("a salt is required")
-    return df.withColumns({c: pseudonym(F.col(c), salt) for c in columns})
+    row = df.sparkSession.createDataFrame([(salt,)], "_salt string")
+    return df.join(F.broadcast(row)).withColumns({c: pseudonym(F.col(c), F.col("_salt")) for c in columns}).drop("_salt")

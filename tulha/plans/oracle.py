@@ -86,6 +86,24 @@ SELECT periodo, round(sum(valor), 2) AS total_valor FROM obs GROUP BY periodo OR
     "period_window": f"""WITH {OBS}
 SELECT o_orderkey, localidade_id, variavel, periodo, CAST(substr(periodo, 1, 4) AS INTEGER) AS ano, valor
 FROM obs WHERE CAST(substr(periodo, 1, 4) AS INTEGER) BETWEEN 1996 AND 2001""",
+    "period_window_pruned": f"""WITH {OBS}
+SELECT o_orderkey, localidade_id, variavel, periodo, CAST(substr(periodo, 1, 4) AS INTEGER) AS ano, valor
+FROM obs WHERE CAST(substr(periodo, 1, 4) AS INTEGER) BETWEEN 1996 AND 2001""",
+    "quarantine_blocks": """WITH o AS (SELECT o_orderkey AS k, o_orderkey % 7 AS m FROM orders)
+SELECT 'A' AS variavel, count(*) AS n, CAST(sum(k) AS DOUBLE) AS total FROM o WHERE m IN (0, 1, 2, 5, 6)
+UNION ALL SELECT 'B', count(*), CAST(sum(k) AS DOUBLE) FROM o WHERE m IN (0, 5, 6)
+UNION ALL SELECT 'estrutura inesperada ' || (1 - m), count(*), NULL FROM o WHERE m IN (0, 1) GROUP BY m
+UNION ALL SELECT CASE m WHEN 3 THEN 'json ilegivel -1' ELSE 'sem variaveis -1' END, count(*), NULL FROM o WHERE m IN (3, 4) GROUP BY m""",
+    "decode_references": """SELECT p_partkey, 'PRODUÇÃO &lt; ' || repeat(chr(CAST(p_partkey % 1000 + 128512 AS INTEGER)), 2) || 'Aº&semnome;&#1114112; & ' || p_name AS texto FROM part""",
+    "scan_mixed_headers": """WITH p AS (
+  SELECT *, p_partkey AS k, p_partkey % 3 AS m, CASE m WHEN 0 THEN 3 WHEN 1 THEN 4 ELSE 2 END AS colunas FROM part),
+r AS (
+  SELECT *, CASE WHEN k % 17 = 0 THEN (colunas + 1) || ' celulas para ' || colunas || ' colunas'
+                 WHEN k % 19 = 0 AND m < 2 THEN 'decimal ilegivel: preco_r' END AS motivo FROM p)
+SELECT CAST(k AS VARCHAR) AS codigo,
+       CASE WHEN motivo IS NULL THEN p_name || CASE WHEN k % 5 = 0 THEN '; "nº" 1' ELSE '' END END AS descricao,
+       CASE WHEN motivo IS NULL AND m < 2 AND k % 23 <> 0 THEN CAST(CAST(p_retailprice AS DECIMAL(18,2)) AS DOUBLE) END AS preco_r,
+       CASE WHEN motivo IS NULL AND m = 1 THEN p_brand END AS marca, motivo, true AS com_arquivo FROM r""",
     "annual_cost": """WITH custos AS (
   SELECT CAST(year(l_shipdate) AS INTEGER) AS ano,
          CASE WHEN l_linenumber <> 7 THEN CAST(l_extendedprice * (1 - l_discount) AS DECIMAL(18,4)) END AS variavel,
@@ -182,6 +200,14 @@ SELECT estacao, data, count(*) AS n_leituras,
        min(temperatura_maxima_c) AS temperatura_maxima_c_min, max(temperatura_maxima_c) AS temperatura_maxima_c_max,
        round(avg(temperatura_maxima_c), 6) AS temperatura_maxima_c_media, round(sum(temperatura_maxima_c), 2) AS temperatura_maxima_c_soma
 FROM leituras GROUP BY estacao, data""",
+    "climate_monthly": f"""WITH {HOURLY}
+SELECT estacao, replace(substr(data, 1, 7), '/', '') AS mes, count(*) AS n_leituras,
+       min(precipitacao_total_mm) AS precipitacao_total_mm_min, max(precipitacao_total_mm) AS precipitacao_total_mm_max,
+       round(avg(precipitacao_total_mm), 4) AS precipitacao_total_mm_media, round(sum(precipitacao_total_mm), 2) AS precipitacao_total_mm_soma,
+       min(temperatura_maxima_c) AS temperatura_maxima_c_min, max(temperatura_maxima_c) AS temperatura_maxima_c_max,
+       round(avg(temperatura_maxima_c), 4) AS temperatura_maxima_c_media, round(sum(temperatura_maxima_c), 2) AS temperatura_maxima_c_soma,
+       min(umidade) AS umidade_min, max(umidade) AS umidade_max, round(avg(umidade), 4) AS umidade_media, round(sum(umidade), 2) AS umidade_soma
+FROM leituras GROUP BY ALL""",
     "union_by_name": """SELECT event_id, user_id, value, CAST(NULL AS VARCHAR) AS props, 'click.csv' AS arquivo_origem FROM events WHERE event_type = 'click'
 UNION ALL BY NAME SELECT event_id, props, 'error.csv' AS arquivo_origem FROM events WHERE event_type = 'error'
 UNION ALL BY NAME SELECT event_id, value, props, 'purchase.csv' AS arquivo_origem FROM events WHERE event_type = 'purchase'
@@ -213,6 +239,34 @@ UNION ALL
 SELECT 'pedidos_' || (o_orderkey % 10), CASE o_orderkey % 23 WHEN 2 THEN 'sem variaveis' ELSE 'json ilegivel' END, count(*), NULL
 FROM orders WHERE o_orderkey % 23 IN (2, 4) GROUP BY 1, 2""",
     "compact_table": """SELECT * FROM customer""",
+    "compact_twice": """SELECT *, 'parquet c_mktsegment zstd' AS layout FROM customer""",
+    "ingest_ghost_table": """SELECT *, 'recover c_mktsegment' AS caminho FROM customer""",
+    "silver_flow": """WITH o AS (SELECT *, o_orderkey % 13 = 0 AS ruim, o_orderkey % 2 AS n FROM orders)
+SELECT 'prata' AS parte, 'carga' || n || '.csv' AS chave, count(*) AS n FROM o WHERE NOT ruim GROUP BY o.n
+UNION ALL SELECT 'rejeitadas', 'valor', count(*) FROM o WHERE ruim
+UNION ALL SELECT 'linhagem', 'bronze carga' || n || '.csv c' || n, count(*) FROM o GROUP BY o.n
+UNION ALL SELECT 'linhagem', 'silver carga' || n || '.csv c' || n, count(*) FROM o WHERE NOT ruim GROUP BY o.n
+UNION ALL SELECT 'observado', 'n_linhas', count(*) FROM o WHERE NOT ruim
+UNION ALL SELECT 'observado', 'n_sem_lote', 0""",
+    "missing_items_gaps": """SELECT c_custkey, c_name FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE year(o_orderdate) = 1997)""",
+    "stream_out_of_order": """SELECT date_trunc('hour', ts) AS inicio, date_trunc('hour', ts) + INTERVAL 1 HOUR AS fim, event_type, count(*) AS n_leituras,
+       min(value) AS minimo, max(value) AS maximo, CAST(sum(CAST(value AS DECIMAL(18,4))) AS DOUBLE) AS soma, CAST(arquivos AS INTEGER) AS arquivos
+FROM events, (VALUES (1), (1000)) AS t(arquivos) GROUP BY ALL""",
+    "star_fact_unknown": f"""WITH {OBS}, v AS (
+  SELECT o_orderkey, CASE WHEN o_orderkey % 3 <> 0 THEN localidade_nome END AS localidade_nome, CASE WHEN o_orderkey % 5 <> 0 THEN periodo END AS periodo,
+         CASE WHEN o_orderkey % 7 <> 0 THEN variavel END AS variavel, unidade, agregado_id, valor FROM obs)
+SELECT localidade_nome, CAST(substr(periodo, 1, 4) AS INTEGER) AS ano, variavel, unidade, agregado_id,
+       count(*) AS n_fatos, round(sum(valor), 2) AS total_valor FROM v GROUP BY ALL""",
+    "nearest_site_crowded": """WITH p AS (
+  SELECT c_custkey AS ponto_id, -33.0 + (c_custkey * 7919 % 38000) / 1000.0 AS la, -74.0 + (c_custkey * 104729 % 39000) / 1000.0 AS lo FROM customer),
+s AS (
+  SELECT s_suppkey AS local_id, (s_suppkey * 7919 % 1000) / 10000.0 - 23.5 AS lb, (s_suppkey * 613 % 1000) / 10000.0 - 46.6 AS lp FROM supplier),
+d AS (
+  SELECT ponto_id, local_id, 2 * 6371.0088 * asin(sqrt(least(1.0, pow(sin(radians(lb - la) / 2), 2)
+         + cos(radians(la)) * cos(radians(lb)) * pow(sin(radians(lp - lo) / 2), 2)))) AS km
+  FROM p, s)
+SELECT ponto_id, local_id, round(km, 3) AS distancia_km FROM d
+QUALIFY row_number() OVER (PARTITION BY ponto_id ORDER BY km, local_id) = 1""",
     "reference_refresh": """SELECT p_partkey, upper(p_name) AS nome, p_size FROM part""",
     "table_inventory": """SELECT 'fornecedor' AS table_name, count(*) AS n_rows, 4 AS n_columns, 0.0::DOUBLE AS null_ratio, TIMESTAMP '2024-01-02 03:00:00' AS last_ingest_ts FROM supplier
 UNION ALL SELECT 'cliente', count(*), 5, 0.0, TIMESTAMP '2024-01-03 03:00:00' FROM customer

@@ -9,14 +9,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tulha.functions import html
 from tulha.functions.names import slug, spaced
-from tulha.functions.values import observation_value
+from tulha.functions.values import observation_value, period_year
 from tulha.operators import analyses, catalogue, geo, gold, observations as obs, quality, quarantine, silver
 from tulha.plans import fixtures as fx, ingest
 from tulha.plans.ingest import ingest_file, ingest_responses, register_dataset_views
 from tulha.session import fresh_database, fresh_path
 from tulha.sinks import evolve, layout
 from tulha.sources import delimited, portal, responses, stations, tables
+from tulha.sources.mixed import read_mixed_headers
 from tulha.streaming import hourly
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -58,6 +60,16 @@ def period_window(spark, sf):
     return rows.select("o_orderkey", "localidade_id", "variavel", "periodo", "ano", "valor")
 
 
+@query
+def period_window_pruned(spark, sf):
+    """The same window over observations laid out by dataset and year: only its years are read."""
+    name = f"{fresh_database(spark, 'estatistica')}.observacoes"
+    rows = fx.observations(spark, sf).withColumn("ano", period_year(F.col("periodo")))
+    layout.write_layer_table(rows, name, "bronze", ["agregado_id", "ano"])
+    window = analyses.year_window(spark.table(name), WINDOW_YEARS, AS_OF_YEAR)
+    return window.select("o_orderkey", "localidade_id", "variavel", "periodo", "ano", "valor")
+
+
 @query
 def annual_cost(spark, sf):
     totals = ["total_custo_variavel_ha", "total_custo_fixo_ha", "total_custo_ha"]
@@ -158,9 +170,65 @@ def quarantine_split(spark, sf):
     return kept.unionByName(lost)
 
 
+@query
+def quarantine_blocks(spark, sf):
+    """Responses whose blocks are broken in several ways: the good blocks are loaded, each bad one is rejected by itself."""
+    k = F.col("o_orderkey")
+    good = lambda name: F.to_json(F.struct(F.lit(name).alias("variavel"), F.lit("u").alias("unidade"), F.array(F.struct(F.array(F.struct(
+        F.struct(k.cast("string").alias("id"), F.lit("x").alias("nome")).alias("localidade"), F.create_map(F.lit("2020"), k.cast("string")).alias("serie"))).alias("series"))).alias("resultados")))
+    text = F.lit('{"variavel":"t","resultados":[{"series":"erro"}]}')
+    listed = F.lit('{"variavel":"l","resultados":[{"series":[{"localidade":{"id":"1"},"serie":["1"]}]}]}')
+    absent = F.lit('{"variavel":"a"}')
+    body = (
+        F.when(k % 7 == 0, F.concat(F.lit("["), good("A"), F.lit(","), text, F.lit(","), good("B"), F.lit("]")))
+        .when(k % 7 == 1, F.concat(F.lit("["), listed, F.lit(","), good("A"), F.lit("]")))
+        .when(k % 7 == 2, F.concat(F.lit("["), absent, F.lit(","), good("A"), F.lit("]")))
+        .when(k % 7 == 3, F.concat(F.lit("["), good("A"), F.lit(",{")))
+        .when(k % 7 == 4, "[]")
+        .otherwise(F.concat(F.lit("["), good("A"), F.lit(","), good("B"), F.lit("]")))
+    )
+    db = fresh_database(spark, "estatistica")
+    landed = fx.land_responses(spark, sf, F.lit("pedidos"), body)
+    ingest_responses(spark, landed, f"{db}.observacoes", "c1", "2024-01-01 06:00:00", f"{db}.rejeitadas")
+    loaded = spark.table(f"{db}.observacoes").groupBy("variavel").agg(F.count(F.lit(1)).alias("n"), F.sum("valor").alias("total"))
+    rejected = spark.table(f"{db}.rejeitadas").groupBy(F.concat_ws(" ", "motivo", "bloco").alias("variavel")).agg(F.count(F.lit(1)).alias("n"))
+    return loaded.unionByName(rejected.withColumn("total", F.lit(None).cast("double")))
+
+
+@query
+def decode_references(spark, sf):
+    """Named, decimal and hexadecimal character references, some doubly written, some unknown."""
+    code = F.col("p_partkey") % 1000 + 128512
+    text = F.concat(
+        F.lit("PRODU&Ccedil;&Atilde;O &amp;lt; "), F.format_string("&#%d;", code), F.format_string("&#x%X;", code),
+        F.lit("&#X41;&ordm;&semnome;&#1114112; & "), F.col("p_name"),
+    )
+    return fx.table(spark, sf, "part").select("p_partkey", html.decode_references(text).alias("texto"))
+
+
 # Scans
 
 
+@query
+def scan_mixed_headers(spark, sf):
+    """Files of one folder whose headers are reordered, longer and shorter; ragged lines and unreadable decimals are rejected."""
+    path, k = fresh_path(spark, "misto"), F.col("p_partkey")
+    price = F.when(k % 19 == 0, "1.234,56").when(k % 23 == 0, "N/A").otherwise(F.translate(fx.money("p_retailprice"), ".", ","))
+    name = F.when(k % 5 == 0, F.concat(F.lit('"'), F.col("p_name"), F.lit('; ""nº"" 1"'))).otherwise(F.col("p_name"))
+    cells = {"Código": k.cast("string"), "Descrição": name, "Preço (R$)": price, "Marca": F.col("p_brand")}
+    ragged = F.when(k % 17 == 0, ";a mais").otherwise("")
+    for turn, header in enumerate((["Código", "Descrição", "Preço (R$)"], ["Preço (R$)", "Código", "Marca", "Descrição"], ["Descrição", "Código"])):
+        lines = fx.table(spark, sf, "part").where(k % 3 == turn).select(F.concat(F.concat_ws(";", *[cells[c] for c in header]), ragged).alias(";".join(header)))
+        lines.write.mode("append").option("header", True).option("sep", "\x01").option("quote", "\x02").option("encoding", "ISO-8859-1").csv(path)
+    good, rejects = read_mixed_headers(spark, path, decimals=["preco_r"])
+    loaded = good.select("codigo", "descricao", "preco_r", "marca", F.lit(None).cast("string").alias("motivo"), F.col("_source_file").startswith("part-").alias("com_arquivo"))
+    lost = rejects.select(
+        F.regexp_extract("line", "(?:^|;)([0-9]+)(?:;|$)", 1).alias("codigo"), F.lit(None).cast("string").alias("descricao"), F.lit(None).cast("double").alias("preco_r"),
+        F.lit(None).cast("string").alias("marca"), F.col("_motivo").alias("motivo"), F.col("_source_file").startswith("part-").alias("com_arquivo"),
+    )
+    return loaded.unionByName(lost)
+
+
 @query
 def scan_semicolon_latin1(spark, sf):
     path = fresh_path(spark, "armazens")
@@ -251,6 +319,14 @@ def climate_daily(spark, sf):
     return daily.withColumns(rounded)
 
 
+@query
+def climate_monthly(spark, sf):
+    """Every measure of the stations by month."""
+    measures = [c for c, kind in fx.STATION_COLUMNS.items() if kind == "double"]
+    monthly = gold.climate_monthly(_stations(spark, sf), measures)
+    return monthly.withColumns({f"{m}_media": F.round(f"{m}_media", 4) for m in measures} | {f"{m}_soma": F.round(f"{m}_soma", 2) for m in measures})
+
+
 @query
 def union_by_name(spark, sf):
     """Event types with different columns stacked into one frame."""
@@ -399,10 +475,22 @@ def compact_table(spark, sf):
     rows = fx.table(spark, sf, "customer")
     many = rows.repartition(16, "c_custkey")
     evolve.write_evolving(spark, many, name, partition_by=["c_mktsegment"])
-    layout.compact_table(spark, name, partition_by=["c_mktsegment"])
+    layout.compact_table(spark, name)
     return spark.table(name)
 
 
+@query
+def compact_twice(spark, sf):
+    """A partitioned gold table compacted twice in a row: rows, layout, format and codec stay."""
+    name = f"{fresh_database(spark, 'cadastro')}.clientes"
+    layout.write_layer_table(fx.table(spark, sf, "customer").repartition(16, "c_custkey"), name, "gold", ["c_mktsegment"])
+    for _ in range(2):
+        layout.compact_table(spark, name)
+    using, partition_by, options = layout.table_layout(spark, name)
+    kept = f"{using} {','.join(partition_by)} {options.get('compression')}"
+    return spark.table(name).withColumn("layout", F.lit(kept))
+
+
 @query
 def reference_refresh(spark, sf):
     """Reference rows replaced as a whole by the second load."""
@@ -425,9 +513,45 @@ def table_inventory(spark, sf):
     return tables.table_inventory(spark, [db])
 
 
+@query
+def ingest_ghost_table(spark, sf):
+    """A table whose files went away is recreated, with its partitions, by the next load that allows it."""
+    name = f"{fresh_database(spark, 'cadastro')}.clientes"
+    rows = fx.table(spark, sf, "customer")
+    evolve.write_evolving(spark, rows.limit(10), name, partition_by=["c_mktsegment"])
+    ingest.drop_folder(spark, next(r.data_type for r in spark.sql(f"DESCRIBE TABLE EXTENDED {evolve.quoted(name)}").collect() if r.col_name == "Location"))
+    report = evolve.recover_ghost_table(spark, rows, name, allow_drop=True)
+    parts = ",".join(c.name for c in spark.catalog.listColumns(name) if c.isPartition)
+    return spark.table(name).withColumn("caminho", F.lit(f"{report.path} {parts}"))
+
+
 # Silver and gold
 
 
+@query
+def silver_flow(spark, sf):
+    """Bronze text to a typed silver table with one row per key, its rejects, and the lineage table."""
+    db = fresh_database(spark, "prata")
+    k = F.col("o_orderkey")
+    text = fx.table(spark, sf, "orders").select(
+        F.col("o_custkey").cast("string").alias("cliente"),
+        F.when(k % 13 == 0, "n/d").otherwise(fx.money("o_totalprice")).alias("valor"),
+        k.cast("string").alias("pedido"),
+    )
+    for n in (0, 1):
+        rows = text.where(F.col("pedido").cast("bigint") % 2 == n)
+        evolve.write_evolving(spark, quality.with_lineage(rows, f"c{n}", f"2024-01-0{n + 1} 06:00:00", f"carga{n}.csv"), f"{db}.pedidos_bronze")
+    counts = ingest.ingest_silver(spark, f"{db}.pedidos_bronze", f"{db}.pedidos", {"valor": "double", "pedido": "bigint"}, ["pedido"], f"{db}.linhagem")
+    silver_rows, rejected, lineage_table = (spark.table(f"{db}.{n}") for n in ("pedidos", "pedidos_rejeitadas", "linhagem"))
+    parts = [
+        silver_rows.groupBy(F.col("_source_file").alias("chave")).agg(F.count(F.lit(1)).alias("n")).withColumn("parte", F.lit("prata")),
+        rejected.groupBy(F.array_join("_rejeitadas", ",").alias("chave")).agg(F.count(F.lit(1)).alias("n")).withColumn("parte", F.lit("rejeitadas")),
+        lineage_table.select(F.concat_ws(" ", "camada", "_source_file", "_batch_id").alias("chave"), F.col("n_linhas").alias("n"), F.lit("linhagem").alias("parte")),
+        spark.createDataFrame([(c, n) for c, n in counts.items()], "chave string, n bigint").withColumn("parte", F.lit("observado")),
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
 @query
 def silver_typed(spark, sf):
     k = F.col("o_orderkey")
@@ -475,13 +599,31 @@ def gold_partitioned(spark, sf):
     return spark.read.parquet(path).where(F.col("ano") >= 1998)
 
 
+def _star(spark, rows: DataFrame) -> DataFrame:
+    """Facts by dimension attributes. The observations are staged, so facts and dimensions read them and not their joins."""
+    path = fresh_path(spark, "fatos")
+    rows.select("agregado_id", "variavel", "unidade", "localidade_id", "localidade_nome", "periodo", "valor").write.parquet(path)
+    staged = spark.read.parquet(path)
+    dimensions = gold.star_dimensions(staged)
+    if clashing := gold.shared_keys(dimensions):
+        raise RuntimeError(f"surrogate keys clash in {clashing}")
+    return gold.star_join(gold.star_fact(staged), dimensions).groupBy("localidade_nome", "ano", "variavel", "unidade", "agregado_id").agg(
+        F.count(F.lit(1)).alias("n_fatos"), F.round(F.sum("valor"), 2).alias("total_valor")
+    )
+
+
 @query
 def star_fact(spark, sf):
+    return _star(spark, fx.observations(spark, sf))
+
+
+@query
+def star_fact_unknown(spark, sf):
+    """Facts without location, period or variable stay: each dimension has an unknown member."""
+    k = F.col("o_orderkey")
     rows = fx.observations(spark, sf)
-    joined = gold.star_join(gold.star_fact(rows), gold.star_dimensions(rows))
-    return joined.groupBy("localidade_nome", "ano", "variavel", "unidade", "agregado_id").agg(
-        F.count(F.lit(1)).alias("n_fatos"), F.round(F.sum("valor"), 2).alias("total_valor")
-    )
+    gaps = {"localidade_id": k % 3 == 0, "localidade_nome": k % 3 == 0, "periodo": k % 5 == 0, "variavel": k % 7 == 0}
+    return _star(spark, rows.withColumns({c: F.when(~missing, F.col(c)) for c, missing in gaps.items()}))
 
 
 @query
@@ -516,7 +658,7 @@ def feature_lags(spark, sf):
 @query
 def pseudonymised(spark, sf):
     rows = fx.table(spark, sf, "customer").select("c_custkey", "c_name", "c_mktsegment")
-    return silver.pseudonymised(rows, ["c_name"], spark.conf.get("spark.tulha.pseudonym.salt", "sal-de-teste"))
+    return silver.pseudonymised(rows, ["c_name"], fx.PSEUDONYM_SALT)
 
 
 @query
@@ -526,6 +668,15 @@ def nearest_site(spark, sf):
     return geo.nearest_site(points, sites).withColumn("distancia_km", F.round("distancia_km", 3))
 
 
+@query
+def nearest_site_crowded(spark, sf):
+    """Sparse points around a town that holds all sites."""
+    near = lambda a: (F.col("s_suppkey") * a % 1000) / 10000.0
+    points = fx.table(spark, sf, "customer").select(F.col("c_custkey").alias("ponto_id"), *fx.coordinates("c_custkey", 7919, 104729))
+    sites = fx.table(spark, sf, "supplier").select(F.col("s_suppkey").alias("local_id"), (near(7919) - 23.5).alias("latitude"), (near(613) - 46.6).alias("longitude"))
+    return geo.nearest_site(points, sites).withColumn("distancia_km", F.round("distancia_km", 3))
+
+
 # Quality
 
 
@@ -545,6 +696,14 @@ def missing_items(spark, sf):
     return quality.missing_items(expected, loaded, "p_partkey")
 
 
+@query
+def missing_items_gaps(spark, sf):
+    """Customers without an order in 1997."""
+    expected = fx.table(spark, sf, "customer").select("c_custkey", "c_name")
+    loaded = fx.table(spark, sf, "orders").where(F.year("o_orderdate") == 1997).select(F.col("o_custkey").alias("c_custkey"))
+    return quality.missing_items(expected, loaded, "c_custkey")
+
+
 @query
 def load_kpis(spark, sf):
     log = fx.table(spark, sf, "events").withColumn("dia", F.date_format("ts", "yyyy-MM-dd"))
@@ -627,3 +786,22 @@ def stream_dedup(spark, sf):
     twice = _event_stream(spark, sf).union(_event_stream(spark, sf))
     hourly.run_available(hourly.without_redeliveries(twice, "event_id"), f"{out}/rows", f"{out}/checkpoint")
     return spark.read.parquet(f"{out}/rows").withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+
+
+@query
+def stream_out_of_order(spark, sf):
+    """Files landed newest first, with one file per trigger and with all in one: both give the batch totals."""
+    landed = fresh_path(spark, "eventos")
+    events = fx.table(spark, sf, "events")
+    edges = events.select(F.percentile_approx(F.unix_micros(F.col("ts").cast("timestamp")), [0.25, 0.5, 0.75])).first()[0]
+    place = sum((F.unix_micros(F.col("ts").cast("timestamp")) > F.lit(e)).cast("int") for e in edges)
+    for part in (3, 2, 1, 0):
+        events.where(place == part).coalesce(1).write.mode("append").parquet(landed)
+    totals = []
+    for at_once in (1, 1000):
+        out = fresh_path(spark, "stream")
+        stream = hourly.read_file_stream(spark, landed, events.schema, files_per_trigger=at_once)
+        found, _ = hourly.run_hourly_totals(stream, "event_type", "value", f"{out}/rows", f"{out}/checkpoint")
+        totals.append(found.withColumn("arquivos", F.lit(at_once)))
+    ntz = {c: F.col(c).cast("timestamp_ntz") for c in ("inicio", "fim")}
+    return totals[0].unionByName(totals[1]).withColumns({**ntz, **to_double("soma")})

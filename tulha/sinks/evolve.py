@@ -30,12 +30,22 @@ WIDER = {
 
 
 @dataclass(frozen=True)
+class TypeConflict:
+    """A column whose incoming type is not the table's."""
+
+    column: str
+    held: T.DataType
+    brought: T.DataType
+
+
+@dataclass
 class SchemaDiff:
-    """What an incoming schema brings against a table's."""
+    """What an incoming schema brings against a table's; `renamed` maps names that differ in case only."""
 
     added: list[T.StructField] = field(default_factory=list)
-    conflicts: list[tuple[str, T.DataType, T.DataType]] = field(default_factory=list)
+    conflicts: list[TypeConflict] = field(default_factory=list)
     absent: list[str] = field(default_factory=list)
+    renamed: dict[str, str] = field(default_factory=dict)
 
 
 @dataclass(frozen=True)
@@ -45,24 +55,30 @@ class WriteReport:
     table: str
     path: str
     added: list[str] = field(default_factory=list)
-    conflicts: list[str] = field(default_factory=list)
+    conflicts: list[TypeConflict] = field(default_factory=list)
     backup: str | None = None
 
 
-def compare_schemas(table: T.StructType, incoming: T.StructType) -> SchemaDiff:
-    """Added columns, type conflicts and absent columns.
+def compare_schemas(table: T.StructType, incoming: T.StructType, case_sensitive: bool = False) -> SchemaDiff:
+    """Added columns, type conflicts, absent columns and spellings that differ in case only.
 
-    Names are case-sensitive. Types are compared by their spelling, which leaves
-    out nullability at every depth: a stored table is nullable throughout.
+    Types are compared by their spelling, which leaves out nullability at every
+    depth: a stored table is nullable throughout.
     """
-    have = {f.name: f.dataType for f in table}
-    spelled = {name: kind.simpleString() for name, kind in have.items()}
-    known = [f for f in incoming if f.name in have]
-    return SchemaDiff(
-        added=[f for f in incoming if f.name not in have],
-        conflicts=[(f.name, have[f.name], f.dataType) for f in known if spelled[f.name] != f.dataType.simpleString()],
-        absent=[name for name in table.names if name not in incoming.names],
-    )
+    fold = (lambda name: name) if case_sensitive else str.lower
+    unmet = {fold(f.name): f for f in table}
+    diff = SchemaDiff()
+    for brought in incoming:
+        held = unmet.pop(fold(brought.name), None)
+        if held is None:
+            diff.added.append(brought)
+            continue
+        if held.name != brought.name:
+            diff.renamed[brought.name] = held.name
+        if held.dataType.simpleString() != brought.dataType.simpleString():
+            diff.conflicts.append(TypeConflict(held.name, held.dataType, brought.dataType))
+    diff.absent.extend(f.name for f in unmet.values())
+    return diff
 
 
 def quoted(name: str) -> str:
@@ -158,11 +174,13 @@ def write_evolving(
         create_table(df, table, using, partition_by, **options)
         return WriteReport(table, "create")
 
-    diff = compare_schemas(spark.table(table).schema, df.schema)
+    sensitive = spark.conf.get("spark.sql.caseSensitive") == "true"
+    diff = compare_schemas(spark.table(table).schema, df.schema, sensitive)
+    df = df.withColumnsRenamed(diff.renamed)
     if widen and diff.conflicts:
-        fits = {name: old for name, old, new in diff.conflicts if old.simpleString() in WIDER.get(new.simpleString(), ())}
-        df = df.withColumns({name: df[name].cast(old) for name, old in fits.items()})
-        diff = compare_schemas(spark.table(table).schema, df.schema)
+        fits = {c.column: c.held for c in diff.conflicts if c.held.simpleString() in WIDER.get(c.brought.simpleString(), ())}
+        df = df.withColumns({name: df[name].cast(held) for name, held in fits.items()})
+        diff = compare_schemas(spark.table(table).schema, df.schema, sensitive)
 
     if diff.conflicts:
         staging = f"{table}_staging_{(now or datetime.now(timezone.utc)).strftime('%Y%m%d%H%M%S%f')}"
@@ -170,8 +188,7 @@ def write_evolving(
         backup = _free_backup_name(spark, table, now or datetime.now(timezone.utc))
         rename_table(spark, table, backup)
         rename_table(spark, staging, table)
-        changes = [f"{name} ({old.simpleString()} -> {new.simpleString()})" for name, old, new in diff.conflicts]
-        return WriteReport(table, "recreate", conflicts=changes, backup=backup)
+        return WriteReport(table, "recreate", conflicts=diff.conflicts, backup=backup)
 
     if diff.added:
         columns = ", ".join(f"{quoted_column(f.name)} {f.dataType.simpleString()}" for f in diff.added)
@@ -207,19 +224,20 @@ def table_files_missing(spark: SparkSession, table: str) -> bool:
 
 
 def recover_ghost_table(
-    spark: SparkSession, df: DataFrame, table: str, allow_drop: bool = False, using: str = DEFAULT_FORMAT
+    spark: SparkSession, df: DataFrame, table: str, allow_drop: bool = False, using: str = DEFAULT_FORMAT, partition_by: Sequence[str] = ()
 ) -> WriteReport:
     """Recreate a catalogue entry whose files are gone.
 
     Only with `allow_drop`, and only when a read proves the files missing;
     any other failure is raised and no data is dropped.
     """
-    if not table_files_missing(spark, table):
-        return write_evolving(spark, df, table, using)
+    if not spark.catalog.tableExists(table) or not table_files_missing(spark, table):
+        return write_evolving(spark, df, table, using, partition_by)
     if not allow_drop:
         raise RuntimeError(f"files of {table} are gone; pass allow_drop to recreate it")
+    layout = partition_by or [c.name for c in spark.catalog.listColumns(table) if c.isPartition]
     spark.sql(f"DROP TABLE IF EXISTS {quoted(table)}")
-    create_table(df, table, using)
+    create_table(df, table, using, layout)
     return WriteReport(table, "recover")
 
 

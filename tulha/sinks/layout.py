@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import re
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tulha.sinks.evolve import create_table, rebalanced, rename_table
+from tulha.sinks.evolve import create_table, quoted, rebalanced, rename_table
 
 # Compression by layer.
 CODEC = {"bronze": "snappy", "silver": "snappy", "gold": "zstd"}
@@ -27,25 +30,44 @@ def write_layer_table(df: DataFrame, table: str, layer: str, partition_by: Seque
     create_table(df if partition_by else rebalanced(df), table, partition_by=partition_by, compression=CODEC[layer])
 
 
-def compact_table(
-    spark: SparkSession,
-    table: str,
-    layer: str = "bronze",
-    partition_by: Sequence[str] = (),
-    keep_old: str | None = None,
-) -> str:
+def table_layout(spark: SparkSession, table: str) -> tuple[str, list[str], dict[str, str]]:
+    """Format, partition columns and writer options of a table, as the catalogue has them."""
+    facts = {r.col_name: r.data_type for r in spark.sql(f"DESCRIBE TABLE EXTENDED {quoted(table)}").collect()}
+    stored = re.findall(r"([\w.]+)=([^,\]]*)", facts.get("Storage Properties", ""))
+    options = {k: v for k, v in stored if k != "serialization.format"}
+    return facts["Provider"], [c.name for c in spark.catalog.listColumns(table) if c.isPartition], options
+
+
+def _contents(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
+    """Rows and an order-free sum of row hashes, by partition."""
+    row = F.xxhash64(*[F.to_json(F.struct(*sorted(df.columns)))]).cast("decimal(38,0)")
+    return df.groupBy(*partition_by).agg(F.count(F.lit(1)).alias("n"), F.sum(row).alias("checksum"))
+
+
+def compact_table(spark: SparkSession, table: str, keep_old: str | None = None) -> str:
     """Rewrite a table of many small files into files of the advisory size.
 
-    Rows go to a new table which then takes the old name; the old files stay
-    under the returned name until the caller drops it. Row counts are compared
-    before the swap.
+    Format, partition columns and codec are the table's own. Rows go to a new
+    table which then takes the old name; the old files stay under the returned
+    name, which no other table has, until the caller drops it. Rows and
+    checksums are compared by partition before the swap; a rewrite that fails
+    or differs is dropped and the table stays as it was.
     """
-    old = keep_old or f"{table}_small"
-    new = f"{table}_compacted"
-    write_layer_table(spark.table(table), new, layer, partition_by)
-    before, after = spark.table(table).count(), spark.table(new).count()
-    if before != after:
-        raise RuntimeError(f"compaction of {table} read {before} rows but wrote {after}")
+    using, partition_by, options = table_layout(spark, table)
+    mark = uuid.uuid4().hex[:8]
+    old, new = keep_old or f"{table}_small_{mark}", f"{table}_compacted_{mark}"
+    if spark.catalog.tableExists(old):
+        raise ValueError(f"{old} exists already")
+    rows = spark.table(table)
+    try:
+        create_table(rows if partition_by else rebalanced(rows), new, using, partition_by, **options)
+        before, after = _contents(rows, partition_by), _contents(spark.table(new), partition_by)
+        wrong = before.exceptAll(after).count() + after.exceptAll(before).count()
+        if wrong:
+            raise RuntimeError(f"compaction of {table} changed {wrong} partitions")
+    except Exception:
+        spark.sql(f"DROP TABLE IF EXISTS {quoted(new)}")
+        raise
     rename_table(spark, table, old)
     rename_table(spark, new, table)
     return old

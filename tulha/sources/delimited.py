@@ -20,9 +20,13 @@ def read_delimited(
     schema: T.StructType | str | None = None,
     infer: bool = False,
     multi_line: bool = False,
+    source_file: str | None = None,
     **csv_options: str | bool,
 ) -> DataFrame:
-    """Files with a header row as one DataFrame with safe column names.
+    """Files with one header row each, the same in all, as one DataFrame with safe column names.
+
+    `source_file` names a column for the name of each row's file. Files whose
+    headers differ are read by `mixed.read_mixed_headers`.
 
     A declared schema is read in one pass. Inference costs a second pass over
     the files and is off unless asked for; without either, columns are strings.
@@ -36,7 +40,9 @@ def read_delimited(
         reader = reader.schema(schema).option("enforceSchema", False)
     elif infer:
         reader = reader.option("inferSchema", True)
-    return conform_columns(reader.csv(paths))
+    df = reader.csv(paths)
+    named = conform_columns(df)
+    return named if source_file is None else df.select("*", "_metadata.file_name").toDF(*named.columns, source_file)
 
 
 def read_semicolon_latin1(spark: SparkSession, paths: str | Sequence[str], **options) -> DataFrame:
@@ -87,23 +93,45 @@ def read_decimal_comma(
     type_name: str = "double",
     thousands: str | None = None,
     na_tokens: Sequence[str] = NA_TOKENS,
+    rejected: str | None = None,
 ) -> DataFrame:
     """Delimited text whose `decimals` columns write `1234,56`; NA tokens are NULL everywhere.
 
-    Naming the columns reads the files once; None finds them with a pass of its own.
+    Naming the columns reads the files once; None finds them with a pass of its
+    own. `rejected` names a column that lists the decimal columns whose text is
+    neither a number nor NA; their cells are NULL.
     """
     df = read_delimited(spark, paths, sep=sep, encoding=encoding)
     known = set(decimal_columns(df, thousands, na_tokens) if decimals is None else decimals)
+    unreadable = lambda c: F.col(c).isNotNull() & ~F.col(c).isin(list(na_tokens)) & decimal_comma(F.col(c), type_name, thousands, na_tokens).isNull()
+    listed = [F.array_compact(F.array(*[F.when(unreadable(c), F.lit(c)) for c in df.columns if c in known])).alias(rejected)] if rejected else []
     return df.select(
         *[
             decimal_comma(F.col(c), type_name, thousands, na_tokens).alias(c)
             if c in known
             else F.when(~F.col(c).isin(list(na_tokens)), F.col(c)).alias(c)
             for c in df.columns
-        ]
+        ],
+        *listed,
     )
 
 
+# How zip-based and OLE workbooks begin.
+BINARY_BEGINNINGS = [b"PK\x03\x04", b"\xd0\xcf\x11\xe0"]
+
+
+def refuse_binary(spark: SparkSession, paths: str | Sequence[str]) -> None:
+    """Raise if a file is a binary workbook: the text readers would make rows of its bytes.
+
+    Only a file's beginning is looked at; the driver gets the names of the first few found.
+    """
+    begins = F.substring("content", 1, 4)
+    files = spark.read.format("binaryFile").load(paths).where(begins.isin(BINARY_BEGINNINGS))
+    found = [r.path for r in files.select("path").orderBy("path").take(5)]
+    if found:
+        raise ValueError(f"binary workbooks can't be read as text: {', '.join(found)}")
+
+
 def read_landed_file(spark: SparkSession, path: str, extension: str, **options) -> DataFrame:
     """Choose the reader by file extension; an unknown one is an error."""
     readers = {
@@ -115,4 +143,6 @@ def read_landed_file(spark: SparkSession, path: str, extension: str, **options)
     reader = readers.get(extension.lower().lstrip("."))
     if reader is None:
         raise ValueError(f"unsupported file extension: {extension!r}")
+    if reader is read_utf16_export:
+        refuse_binary(spark, path)
     return reader(spark, path, **options)

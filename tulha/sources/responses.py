@@ -8,11 +8,12 @@ from pyspark.sql import functions as F
 from tulha.functions.names import computed_once
 
 # Shapes of the JSON documents.
-DATA_SCHEMA = (
-    "array<struct<variavel:string, unidade:string, resultados:array<struct<"
+BLOCK_SCHEMA = (
+    "struct<variavel:string, unidade:string, resultados:array<struct<"
     "classificacoes:array<struct<id:string, nome:string, categoria:map<string,string>>>,"
-    "series:array<struct<localidade:struct<id:string, nome:string>, serie:map<string,string>>>>>>>"
+    "series:array<struct<localidade:struct<id:string, nome:string>, serie:map<string,string>>>>>>"
 )
+DATA_SCHEMA = f"array<{BLOCK_SCHEMA}>"
 CATALOGUE_SCHEMA = "array<struct<id:string, nome:string, agregados:array<struct<id:string, nome:string>>>>"
 METADATA_SCHEMA = (
     "struct<id:string, variaveis:array<struct<id:string>>, classificacoes:array<struct<id:string>>,"

@@ -15,7 +15,13 @@ def read_file_stream(
     files_per_trigger: int = 1000,
     event_time: str = "ts",
 ) -> DataFrame:
-    """Parquet files as they land. The event time becomes an instant, as watermarks need."""
+    """Parquet files as they land. The event time becomes an instant, as watermarks need.
+
+    Files land in any order, and a watermark moves between triggers: what
+    `hourly_readings` and `without_redeliveries` drop as late depends on
+    `files_per_trigger`, and `run_available` returns how much that was. Where
+    history is read in, use `run_hourly_totals`, which drops nothing.
+    """
     stream = (
         spark.readStream.schema(schema)
         .option("pathGlobFilter", glob)
@@ -51,8 +57,8 @@ def without_redeliveries(stream: DataFrame, key: str, event_time: str = "ts", la
     return stream.withWatermark(event_time, lateness).dropDuplicatesWithinWatermark([key])
 
 
-def run_available(stream: DataFrame, path: str, checkpoint: str) -> None:
-    """Process what has landed, append it to Parquet files and stop.
+def run_available(stream: DataFrame, path: str, checkpoint: str) -> int:
+    """Process what has landed, append it to Parquet files and stop; returns the rows dropped as late.
 
     The file sink and the checkpoint together give each row once, also after
     a restart.
@@ -66,3 +72,44 @@ def run_available(stream: DataFrame, path: str, checkpoint: str) -> None:
         .start()
     )
     query.awaitTermination()
+    return sum(s["numRowsDroppedByWatermark"] for p in query.recentProgress for s in p["stateOperators"])
+
+
+def run_hourly_totals(
+    stream: DataFrame, by: str, value: str, path: str, checkpoint: str, event_time: str = "ts", lateness: str = "1 hour"
+) -> tuple[DataFrame, DataFrame]:
+    """Process what has landed; the hourly totals so far, and the rows that came late.
+
+    Every trigger writes its own partial totals, in a folder of its number, so a
+    trigger that is run again replaces what it wrote. Partial totals merge, so
+    the result is that of a batch over the same files, however they are dealt to
+    triggers and in whatever order they land. A row is late if it is older, by
+    more than `lateness`, than the newest row of the triggers before; late rows
+    count in the totals and are listed besides.
+    """
+
+    def write(batch: DataFrame, number: int) -> None:
+        spark = batch.sparkSession
+        hour = F.window(event_time, "1 hour")
+        partial = batch.groupBy(hour.alias("w"), by).agg(
+            F.count(F.lit(1)).alias("n_leituras"), F.min(value).alias("minimo"), F.max(value).alias("maximo"),
+            F.sum(F.col(value).cast("decimal(18,4)")).alias("soma"), F.max(event_time).alias("ultima"),
+        )
+        before = None
+        if number:
+            seen = spark.read.schema("ultima timestamp, lote long").parquet(f"{path}/totais").where(F.col("lote") < number)
+            before = seen.agg(F.max("ultima").alias("ultima")).first()["ultima"]
+        partial.write.mode("overwrite").parquet(f"{path}/totais/lote={number}")
+        late = batch.where(F.lit(before) - F.expr(f"INTERVAL {lateness}") > F.col(event_time)) if before else batch.limit(0)
+        late.write.mode("overwrite").parquet(f"{path}/atrasadas/lote={number}")
+
+    query = stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    query.awaitTermination()
+    spark = stream.sparkSession
+    totals = (
+        spark.read.parquet(f"{path}/totais")
+        .groupBy("w", by)
+        .agg(F.sum("n_leituras").alias("n_leituras"), F.min("minimo").alias("minimo"), F.max("maximo").alias("maximo"), F.sum("soma").alias("soma"))
+        .select(F.col("w.start").alias("inicio"), F.col("w.end").alias("fim"), by, "n_leituras", "minimo", "maximo", "soma")
+    )
+    return totals, spark.read.parquet(f"{path}/atrasadas").drop("lote")
