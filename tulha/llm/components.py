@@ -8,6 +8,17 @@ from pyspark.sql import functions as F
 from tulha.llm.tables import written
 
 
+#: Parts that the neighbours of one node are dealt to.
+SALTS = 8
+
+
+def _hung(edges: DataFrame, least: DataFrame) -> DataFrame:
+    """The far end of each edge (a, b), hung on the least neighbour of a. A hub's edges are salted, and Spark may split the parts further."""
+    salted = edges.withColumn("salt", F.pmod(F.xxhash64("b"), F.lit(SALTS)))
+    ends = least.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))))
+    return salted.join(ends, ["a", "salt"]).select(F.col("b").alias("a"), F.col("m").alias("b"))
+
+
 def components(edges: DataFrame) -> DataFrame:
     """node, component (its least node) for every node of the edges (a, b); nodes without edges are left out.
 
@@ -21,9 +32,9 @@ def components(edges: DataFrame) -> DataFrame:
     while True:
         both = pairs.union(pairs.select("b", "a"))
         least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
-        large = written(both.filter("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")), "stars")
+        large = written(_hung(both.filter("b > a"), least), "stars")
         least = large.groupBy("a").agg(F.min("b").alias("m"))
-        small = large.join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).filter("a <> b")
+        small = _hung(large, least).filter("a <> b")
         pairs = written(small.union(least.select("a", "m")).distinct(), "stars")
         ends = pairs.select(F.col("a").alias("node"), F.lit(1).alias("up"), F.lit(0).alias("down")).union(pairs.select("b", F.lit(0), F.lit(1)))
         # A node that hangs on two, or hangs on one and holds another, needs a further round.
