@@ -59,9 +59,10 @@ def maximal(whole: DataFrame) -> DataFrame:
     first = F.min(F.struct(F.isnull("conv_id").alias("none"), "conv_id")).alias("first")
     groups = sized.groupBy("n", "hash").agg(F.count("*").alias("copies"), first)
     prefixes = whole.select(F.element_at("hashes", -1).alias("longer"), F.posexplode("hashes")).select("longer", (F.col("pos") + 1).alias("n"), F.col("col").alias("hash"))
-    longer = prefixes.filter("hash <> longer").groupBy("n", "hash").agg(F.min("longer").alias("longer"))
+    prefixes = prefixes.filter("hash <> longer").distinct()
+    longer = prefixes.groupBy("n", "hash").agg(F.count("*").alias("times"))
     tops = groups.join(longer, ["n", "hash"], "left_anti")
-    begun = prefixes.filter("hash <> longer").join(tops.select(F.col("hash").alias("longer")), "longer", "left_semi").join(groups, ["n", "hash"])
+    begun = prefixes.join(tops.select(F.col("hash").alias("longer")), "longer", "left_semi").join(groups, ["n", "hash"])
     begun = begun.groupBy("longer").agg(F.sum("copies").alias("snapshots"))
     return tops.join(begun, tops["hash"] == begun["longer"], "left").select(
         F.col("first.conv_id").alias("conv_id"), "n", (F.col("copies") - 1 + F.coalesce("snapshots", F.lit(0))).cast("long").alias("n_collapsed")

@@ -175,7 +175,7 @@ def blocks_of(html: str | None) -> list[Block]:
 
 #: Weights before any page is seen: intercept, content names, other names, linked share, length, sentences, running text, heading, item, rights.
 PRIOR = (0.8, 3.5, -7.0, -3.0, 0.5, 1.0, 0.7, 0.6, -0.3, -3.0)
-PRIOR_STRENGTH = 30.0
+PRIOR_STRENGTH, EFFECTIVE_BLOCKS = 30.0, 1000
 
 
 def features(block: Block) -> list[float]:
@@ -231,11 +231,16 @@ def learn(pages: DataFrame, rows: int = SAMPLE_PAGES) -> Classifier:
     y = np.array([int(c) for r in found for c in r["named"]], float)
     # The elements' names are what the labels come from, so half of the blocks are shown without them.
     x[::2, 1:3] = 0
+    # Both labels count alike, and together as so many blocks at most.
+    share = y.mean()
+    if share in (0, 1):
+        return Classifier()
+    weight = np.where(y > 0, 0.5 / share, 0.5 / (1 - share)) * min(1.0, EFFECTIVE_BLOCKS / len(y))
     w, prior = np.array(PRIOR), np.array(PRIOR)
     for _ in range(30):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        hessian = (x * (p * (1 - p) / len(x) * 1000)[:, None]).T @ x + PRIOR_STRENGTH * np.eye(len(w))
-        step = np.linalg.solve(hessian, x.T @ (y - p) / len(x) * 1000 - PRIOR_STRENGTH * (w - prior))
+        hessian = (x * (weight * p * (1 - p))[:, None]).T @ x + PRIOR_STRENGTH * np.eye(len(w))
+        step = np.linalg.solve(hessian, x.T @ (weight * (y - p)) - PRIOR_STRENGTH * (w - prior))
         w = w + np.clip(step, -2, 2)
         if np.abs(step).max() < 1e-6:
             break
