@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import math
 import re
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -18,7 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, DoubleType, IntegerType, StringType, StructField, StructType
+from pyspark.sql.types import ArrayType, DoubleType, IntegerType, LongType, StringType, StructField, StructType
 
 from tulha.llm.automaton import LexiconAutomaton, edits_allowed
 from tulha.llm.tables import hash_sample, with_columns, written
@@ -27,6 +28,10 @@ from tulha.llm.tables import hash_sample, with_columns, written
 SAMPLE_ROWS = 20_000
 #: A term is in so many toxic sample documents at least, and this many times likelier there than in others.
 TERM_DOCUMENTS, TERM_RATIO = 3, 20.0
+#: Chance that any word of the sample passes for a term by accident.
+ACCIDENT = 0.05
+#: Words this long tell near copies apart from other documents.
+LONG_WORD = 8
 #: Word beginnings of these lengths are terms if so many different words show them.
 PREFIX_LENGTHS, PREFIX_WORDS = range(4, 8), 4
 #: Misspellings are looked for of terms in this share of the toxic sample documents.
@@ -150,18 +155,32 @@ def _lexicon(sample: DataFrame) -> Model:
             rows = [(w, int(t > 0)) for x, t in zip(batch.column("text").to_pylist(), batch.column("toxic").to_pylist(), strict=True) for w in set(TOKEN.findall((x or "").lower())) if len(w) <= LONGEST_WORD]
             yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.string()), pa.array([r[1] for r in rows], pa.int64())], ["word", "toxic"])
 
+    def keyed(texts: pa.Array) -> list[pa.Array]:
+        long_words = [[zlib.crc32(w.encode()) for w in set(TOKEN.findall((t or "").lower())) if len(w) >= LONG_WORD] for t in texts.to_pylist()]
+        return [pa.array([min(h) if h else -1 - i for i, h in enumerate(long_words)], pa.int64())]
+
+    # Near copies mostly share the least hash of their long words; they count once, or their rare words would look like terms.
+    sample = with_columns(sample, "text", StructType([StructField("key", LongType())]), keyed).dropDuplicates(["key", "toxic"])
+    sample = written(sample.select("text", "toxic"), "apart")
     totals = sample.agg(F.sum((F.col("toxic") > 0).cast("long")).alias("bad"), F.count("*").alias("n")).first()
     bad, good = totals["bad"] or 0, totals["n"] - (totals["bad"] or 0)
     if not bad or not good:
         return Model({}, {}, {})
     words = sample.mapInArrow(run, "word string, toxic long").groupBy("word").agg(F.sum("toxic").alias("bad"), F.count("*").alias("n"))
     words = written(words.select("word", "bad", (F.col("n") - F.col("bad")).alias("good")), "vocabulary")
+    # Chernoff's bound on the chance of so many toxic documents among those with the word, for all words together.
+    share, n = bad / (bad + good), F.col("bad") + F.col("good")
+    part = F.col("bad") / n
+    gain = n * (part * F.log(part / share) + F.when(part < 1, (1 - part) * F.log((1 - part) / (1 - share))).otherwise(0.0))
+    sure = gain >= math.log(max(2, words.count()) / ACCIDENT)
     ratio = ((F.col("bad") + 0.5) / (bad + 1)) / ((F.col("good") + 0.5) / (good + 1))
     likely = (F.col("bad") >= TERM_DOCUMENTS) & (ratio >= TERM_RATIO)
-    terms = {r["word"]: math.log(r["ratio"]) for r in words.filter(likely & (F.length("word") >= 3)).select("word", ratio.alias("ratio")).collect()}
+    terms = {r["word"]: math.log(r["ratio"]) for r in words.filter(likely & sure & (F.length("word") >= 3)).select("word", ratio.alias("ratio")).collect()}
     starts = words.select(F.explode(F.array(*[F.when(F.length("word") > n, F.substring("word", 1, n)) for n in PREFIX_LENGTHS])).alias("word"), "bad", "good").filter("word is not null")
-    starts = starts.groupBy("word").agg(F.sum("bad").alias("bad"), F.sum("good").alias("good"), F.sum((F.col("bad") > 0).cast("long")).alias("kinds"))
-    starts = starts.filter((F.col("kinds") >= PREFIX_WORDS) & (F.col("bad") >= 2 * TERM_DOCUMENTS)).filter(ratio >= TERM_RATIO).select("word", ratio.alias("ratio"))
+    starts = starts.groupBy("word").agg(F.sum("bad").alias("bad"), F.sum("good").alias("good"), F.sum((F.col("bad") > 0).cast("long")).alias("kinds"), F.max("bad").alias("most"))
+    # What one frequent word owes to itself says nothing about its beginning.
+    starts = starts.withColumn("bad", F.col("bad") - F.col("most"))
+    starts = starts.filter((F.col("kinds") >= PREFIX_WORDS) & (F.col("bad") >= 2 * TERM_DOCUMENTS)).filter((ratio >= TERM_RATIO) & sure).select("word", ratio.alias("ratio"))
     beginnings: dict[str, float] = {}
     for r in sorted(starts.collect(), key=lambda r: (len(r["word"]), r["word"])):
         if not any(r["word"].startswith(b) for b in beginnings):
