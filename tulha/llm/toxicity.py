@@ -30,8 +30,6 @@ SAMPLE_ROWS = 20_000
 TERM_DOCUMENTS, TERM_RATIO = 3, 20.0
 #: Chance that any word of the sample passes for a term by accident.
 ACCIDENT = 0.05
-#: Words this long tell near copies apart from other documents.
-LONG_WORD = 8
 #: Word beginnings of these lengths are terms if so many different words show them.
 PREFIX_LENGTHS, PREFIX_WORDS = range(4, 8), 4
 #: Misspellings are looked for of terms in this share of the toxic sample documents.
@@ -156,10 +154,10 @@ def _lexicon(sample: DataFrame) -> Model:
             yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.string()), pa.array([r[1] for r in rows], pa.int64())], ["word", "toxic"])
 
     def keyed(texts: pa.Array) -> list[pa.Array]:
-        long_words = [[zlib.crc32(w.encode()) for w in set(TOKEN.findall((t or "").lower())) if len(w) >= LONG_WORD] for t in texts.to_pylist()]
-        return [pa.array([min(h) if h else -1 - i for i, h in enumerate(long_words)], pa.int64())]
+        words = [TOKEN.findall((t or "").lower()) for t in texts.to_pylist()]
+        return [pa.array([min(zlib.crc32(" ".join(w[i : i + 3]).encode()) for i in range(max(1, len(w) - 2))) for w in words], pa.int64())]
 
-    # Near copies mostly share the least hash of their long words; they count once, or their rare words would look like terms.
+    # Near copies often share the least hash of their word triples; they count once, or their rare words would look like terms.
     sample = with_columns(sample, "text", StructType([StructField("key", LongType())]), keyed).dropDuplicates(["key", "toxic"])
     sample = written(sample.select("text", "toxic"), "apart")
     totals = sample.agg(F.sum((F.col("toxic") > 0).cast("long")).alias("bad"), F.count("*").alias("n")).first()
