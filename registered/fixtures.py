@@ -22,6 +22,9 @@ def money(column: str) -> Column:
     return F.col(column).cast("decimal(18,2)").cast("string")
 
 
+#: The window that the registered queries ask for.
+AS_OF_YEAR, WINDOW_YEARS = 2001, 5
+
 #: The salt of the registered query; a load takes its own from the caller.
 PSEUDONYM_SALT = "sal-de-teste"
 

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from registered.fixtures import AS_OF_YEAR, WINDOW_YEARS
+from tulha.operators.catalogue import CENSUS_TOPICS
+
 OBS = """obs AS (
   SELECT CASE o_orderstatus WHEN 'F' THEN 'fechados' WHEN 'O' THEN 'abertos' ELSE 'parciais' END AS agregado_id,
          o_orderpriority AS variavel, 'money' AS unidade,
@@ -85,10 +88,10 @@ SELECT localidade_id, localidade_nome, round(avg(valor), 4) AS media_valor FROM
 SELECT periodo, round(sum(valor), 2) AS total_valor FROM obs GROUP BY periodo ORDER BY periodo NULLS LAST""",
     "period_window": f"""WITH {OBS}
 SELECT o_orderkey, localidade_id, variavel, periodo, CAST(substr(periodo, 1, 4) AS INTEGER) AS ano, valor
-FROM obs WHERE CAST(substr(periodo, 1, 4) AS INTEGER) BETWEEN 1996 AND 2001""",
+FROM obs WHERE CAST(substr(periodo, 1, 4) AS INTEGER) BETWEEN {AS_OF_YEAR - WINDOW_YEARS} AND {AS_OF_YEAR}""",
     "period_window_pruned": f"""WITH {OBS}
 SELECT o_orderkey, localidade_id, variavel, periodo, CAST(substr(periodo, 1, 4) AS INTEGER) AS ano, valor
-FROM obs WHERE CAST(substr(periodo, 1, 4) AS INTEGER) BETWEEN 1996 AND 2001""",
+FROM obs WHERE CAST(substr(periodo, 1, 4) AS INTEGER) BETWEEN {AS_OF_YEAR - WINDOW_YEARS} AND {AS_OF_YEAR}""",
     "quarantine_blocks": """WITH o AS (SELECT o_orderkey AS k, o_orderkey % 7 AS m FROM orders)
 SELECT 'A' AS variavel, count(*) AS n, CAST(sum(k) AS DOUBLE) AS total FROM o WHERE m IN (0, 1, 2, 5, 6)
 UNION ALL SELECT 'B', count(*), CAST(sum(k) AS DOUBLE) FROM o WHERE m IN (0, 5, 6)
@@ -131,7 +134,7 @@ normais AS (
 marcadas AS (
   SELECT *, contains(pn, 'pecuaria municipal') OR regexp_matches(pn, '(^| )ppm( |$)') AS inteira,
          contains(pn, 'censo agropecuario') AS censo,
-         regexp_matches(an, 'irrigacao|maquinas agricolas|trator|implemento agricola|equipamento agricola|pessoal ocupado|mao de obra|trabalhador rural|valor da producao') AS tema
+         regexp_matches(an, '{'|'.join(CENSUS_TOPICS)}') AS tema
   FROM normais)
 SELECT pesquisa_id, pesquisa, agregado_id, substr('agregado_' || agregado_id || '_' || replace(an, ' ', '_'), 1, 120) AS tabela, nome_original
 FROM marcadas WHERE NOT contains(an, 'serie encerrada') AND (inteira OR (censo AND tema))""",
@@ -156,7 +159,7 @@ SELECT agregado_id, nivel, CASE WHEN variaveis = '' THEN 'sem variaveis' WHEN ni
   SELECT *, unnest(['1985', CAST(y AS VARCHAR), '200106', '2002']) AS periodo FROM meta WHERE variaveis <> '' AND nivel IS NOT NULL)
 SELECT agregado_id, periodo, variaveis, nivel, nivel || '[all]' AS localidades, classificacao,
        '/agregados/' || agregado_id || '/periodos/' || periodo || '/variaveis/' || variaveis AS caminho
-FROM pedidos WHERE CAST(substr(periodo, 1, 4) AS INTEGER) BETWEEN 1996 AND 2001""",
+FROM pedidos WHERE CAST(substr(periodo, 1, 4) AS INTEGER) BETWEEN {AS_OF_YEAR - WINDOW_YEARS} AND {AS_OF_YEAR}""",
     "page_link_catalog": f"""WITH titulos AS (
   SELECT page_id, url AS pagina, html, {slug("replace(replace(regexp_extract(html, '(?s)<title>(.*?)</title>', 1), '&quot;', '\"'), '&amp;', '&')")} AS categoria
   FROM pages),

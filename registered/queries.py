@@ -9,11 +9,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from registered import fixtures as fx
+from registered.fixtures import AS_OF_YEAR, WINDOW_YEARS
 from tulha.functions import html
 from tulha.functions.names import slug, spaced
 from tulha.functions.values import observation_value, period_year
 from tulha.operators import analyses, catalogue, geo, gold, observations as obs, quality, quarantine, silver
-from tulha.plans import fixtures as fx, ingest
+from tulha.plans import ingest
 from tulha.plans.ingest import ingest_file, ingest_responses, register_dataset_views
 from tulha.session import fresh_database, fresh_path
 from tulha.sinks import evolve, layout
@@ -24,7 +26,6 @@ from tulha.streaming import hourly
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
-AS_OF_YEAR, WINDOW_YEARS = 2001, 5
 
 
 def query(function: Query) -> Query:

@@ -2,7 +2,7 @@ import pytest
 
 import __spark_entry__ as entry
 from compare import compare, connect
-from tulha.plans.queries import QUERIES
+from registered.queries import QUERIES
 
 SF = "/root/testdata/sf0.001"
 
