@@ -184,8 +184,9 @@ def test_mixture_of_overlapping_sources(spark):
 
 def test_mixing_awkward_rows(spark):
     rows = [(1, "a b c", "x"), (1, "a b c", "x"), (2, None, "x"), (3, "", None), (4, "only one here", None), (None, "no id", "y")]
-    frame = spark.createDataFrame(rows, SCHEMA).withColumn("size", F.lit("clash"))
-    got = mixing.mix_documents(frame, keep=["doc_id", "source"]).collect()
+    frame = spark.createDataFrame(rows, SCHEMA).withColumns({"size": F.lit("clash"), "pattern": F.lit("kept")})
+    got = mixing.mix_documents(frame).collect()
+    assert {r.pattern for r in got} == {"kept"}
     assert len(got) == 6
     total = {s: (sum(r.taken for r in got if r.source == s), max(r.target for r in got if r.source == s)) for s in ("x", "y", None)}
     assert all(abs(taken - target) <= 0.5 for taken, target in total.values())

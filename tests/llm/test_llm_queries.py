@@ -129,6 +129,19 @@ def test_neighbours_leave_out_what_has_no_direction(spark):
     assert neighbours.nearest(vectors.limit(0), vectors.limit(0)).count() == 0
 
 
+def test_equal_vectors_come_by_id(spark, monkeypatch):
+    import random
+
+    draw = random.Random(1)
+    hot = [draw.gauss(0, 1) for _ in range(64)]
+    rows = [(i, hot if i % 3 else [draw.gauss(0, 1) for _ in range(64)]) for i in range(900)]
+    vectors = neighbours.clean_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<float>").repartition(9), "vec_id", "embedding")
+    got = neighbours.nearest(vectors.filter("vec_id in (1, 200)"), vectors, block_rows=50).collect()
+    for query in (1, 200):
+        mine = [r.vec_id for r in sorted((r for r in got if r.query_id == query), key=lambda r: r["rank"])]
+        assert mine == [i for i in range(900) if i % 3 and i != query][:20]
+
+
 def test_extra_spans_and_redaction(spark):
     rows = [(1, "write joe.doe (at) example (dot) com soon", 41), (2, None, 0), (3, "", 0), (4, "iban DE89 3704 0044 0532 0130 00 ok", 35), (5, "part 123-45-6789", 16), (6, "a@b.co " * 20_000, 140_000)]
     frame = spark.createDataFrame(rows, "doc_id long, text string, n_chars long").withColumn("spans", F.lit("clash"))

@@ -191,21 +191,25 @@ def _searched(blocks: DataFrame, k: int) -> DataFrame:
             order = np.argsort(own[~is_query], kind="stable")
             base, base_ids = x[~is_query][order], own[~is_query][order]
             query, query_ids = x[is_query], own[is_query]
+            longest = np.linalg.norm(base, axis=1).max(initial=0)
             for at in range(0, len(query), 256):
                 product = query[at : at + 256] @ base.T
                 product[query_ids[at : at + 256][:, None] == base_ids[None, :]] = -np.inf
                 n = min(k, len(base_ids))
                 if not n:
                     continue
-                # Products at or above the n-th largest, so that ties at the border stay; then the best n by score and id.
-                border = np.partition(product, -n, axis=1)[:, -n] if n < len(base_ids) else np.full(len(product), -np.inf)
+                # Products are rounded in an order that depends on the block, so what may be among the first n is multiplied
+                # anew, row by row: equal vectors then have equal scores, and ties go to the smaller id.
+                slack = 1e-12 * np.linalg.norm(query[at : at + 256], axis=1) * longest
+                border = (np.partition(product, -n, axis=1)[:, -n] if n < len(base_ids) else np.full(len(product), -np.inf)) - slack
                 for i, row in enumerate(product):
-                    held = np.flatnonzero(row >= border[i])
-                    best = held[np.argsort(-row[held], kind="stable")][:n]
-                    best = best[row[best] > -np.inf]
+                    held = np.flatnonzero((row >= border[i]) & (row > -np.inf))
+                    score = (base[held] * query[at + i]).sum(axis=1)
+                    first = np.lexsort((base_ids[held], -score))[:n]
+                    best, score = held[first], score[first]
                     out[0].append(np.full(len(best), query_ids[at + i]))
                     out[1].append(base_ids[best])
-                    out[2].append(row[best])
+                    out[2].append(score)
         joined = [np.concatenate(o) if o else np.zeros(0) for o in out]
         return pa.table({"query_id": pa.array(joined[0].astype(np.int64)), "vec_id": pa.array(joined[1].astype(np.int64)), "score": pa.array(joined[2].astype(np.float64))})
 
