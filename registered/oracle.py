@@ -58,6 +58,28 @@ RESPONSES = f"""flat AS (
   SELECT o_orderkey, CAST(o_orderkey AS VARCHAR), 'Quantidade', 'unidades', 'BR', 'Brasil',
          strftime(o_orderdate, '%Y%m'), '1', 1.0, 3 FROM orders)"""
 
+CATALOGUE = f"""WITH pesquisas AS (
+  SELECT p_brand AS pesquisa_id,
+         CASE p_type WHEN 'STANDARD' THEN 'Pesquisa da Pecuária Municipal' WHEN 'ECONOMY' THEN 'Censo Agropecuário'
+                     WHEN 'MEDIUM' THEN 'Pesquisa (PPM)' WHEN 'LARGE' THEN 'Estudos Apppmx'
+                     WHEN 'SMALL' THEN 'CENSO  AGROPECUÁRIO, 2017' ELSE 'Produção Agrícola Municipal' END AS pesquisa,
+         unnest([
+           struct_pack(id := p_partkey * 10 + 1, nome := p_name || ' – Irrigação (ha)'),
+           struct_pack(id := p_partkey * 10 + 2, nome := p_name || ' e Tratores' || CASE WHEN p_size % 2 = 0 THEN ' (série encerrada)' ELSE '' END),
+           struct_pack(id := p_partkey * 10 + 3, nome := p_brand || ', área colhida e preço médio de ' || p_name)]) AS a
+  FROM part),
+normais AS (
+  SELECT pesquisa_id, pesquisa, CAST(a.id AS VARCHAR) AS agregado_id, a.nome AS nome_original,
+         {spaced('pesquisa')} AS pn, {spaced('a.nome')} AS an
+  FROM pesquisas),
+marcadas AS (
+  SELECT *, contains(pn, 'pecuaria municipal') OR regexp_matches(pn, '(^| )ppm( |$)') AS inteira,
+         contains(pn, 'censo agropecuario') AS censo,
+         regexp_matches(an, '{'|'.join(CENSUS_TOPICS)}') AS tema
+  FROM normais)
+SELECT pesquisa_id, pesquisa, agregado_id, substr('agregado_' || agregado_id || '_' || replace(an, ' ', '_'), 1, 120) AS tabela, nome_original
+FROM marcadas WHERE NOT contains(an, 'serie encerrada') AND (inteira OR (censo AND tema))"""
+
 METADATA = """meta AS (
   SELECT p_partkey AS k, CAST(p_partkey AS VARCHAR) AS agregado_id,
          CASE p_partkey % 6 WHEN 0 THEN 'N6' WHEN 1 THEN 'N3' WHEN 2 THEN 'N1' WHEN 3 THEN 'N2' WHEN 4 THEN 'N3' END AS nivel,
@@ -117,27 +139,7 @@ SELECT ano, CAST(sum(variavel) AS DOUBLE) AS total_custo_variavel_ha, CAST(sum(f
 FROM custos GROUP BY ano ORDER BY ano NULLS LAST""",
     "slug_text": f"""SELECT doc_id, {slug('text')} AS slug, {spaced('text')} AS normalizado FROM documents""",
     "parse_observation_value": f"""SELECT o_orderkey, {PUBLISHED} AS publicado, {PUBLISHED_VALUE} AS valor FROM orders""",
-    "catalog_topics": f"""WITH pesquisas AS (
-  SELECT p_brand AS pesquisa_id,
-         CASE p_type WHEN 'STANDARD' THEN 'Pesquisa da Pecuária Municipal' WHEN 'ECONOMY' THEN 'Censo Agropecuário'
-                     WHEN 'MEDIUM' THEN 'Pesquisa (PPM)' WHEN 'LARGE' THEN 'Estudos Apppmx'
-                     WHEN 'SMALL' THEN 'CENSO  AGROPECUÁRIO, 2017' ELSE 'Produção Agrícola Municipal' END AS pesquisa,
-         unnest([
-           struct_pack(id := p_partkey * 10 + 1, nome := p_name || ' – Irrigação (ha)'),
-           struct_pack(id := p_partkey * 10 + 2, nome := p_name || ' e Tratores' || CASE WHEN p_size % 2 = 0 THEN ' (série encerrada)' ELSE '' END),
-           struct_pack(id := p_partkey * 10 + 3, nome := p_brand || ', área colhida e preço médio de ' || p_name)]) AS a
-  FROM part),
-normais AS (
-  SELECT pesquisa_id, pesquisa, CAST(a.id AS VARCHAR) AS agregado_id, a.nome AS nome_original,
-         {spaced('pesquisa')} AS pn, {spaced('a.nome')} AS an
-  FROM pesquisas),
-marcadas AS (
-  SELECT *, contains(pn, 'pecuaria municipal') OR regexp_matches(pn, '(^| )ppm( |$)') AS inteira,
-         contains(pn, 'censo agropecuario') AS censo,
-         regexp_matches(an, '{'|'.join(CENSUS_TOPICS)}') AS tema
-  FROM normais)
-SELECT pesquisa_id, pesquisa, agregado_id, substr('agregado_' || agregado_id || '_' || replace(an, ' ', '_'), 1, 120) AS tabela, nome_original
-FROM marcadas WHERE NOT contains(an, 'serie encerrada') AND (inteira OR (censo AND tema))""",
+    "catalog_topics": CATALOGUE,
     "flatten_observations": f"""WITH {RESPONSES}
 SELECT agregado_id, variavel, unidade, localidade_id, localidade_nome, periodo, valor_publicado,
        CASE resultado
@@ -293,6 +295,8 @@ SELECT uf, ano, round(producao, 2) AS producao, round(area, 2) AS area, round(pr
   FROM obs GROUP BY ALL)
 SELECT uf, ano, round(producao, 2) AS producao, round(area, 2) AS area, round(producao / nullif(area, 0), 6) AS rendimento
 FROM somas WHERE ano >= 1998""",
+    "layer_codecs": """SELECT camada, codec, (SELECT count(*) FROM supplier) AS n_linhas
+FROM (VALUES ('bronze', 'snappy'), ('silver', 'snappy'), ('gold', 'zstd')) AS t(camada, codec)""",
     "star_fact": f"""WITH {OBS}
 SELECT localidade_nome, CAST(substr(periodo, 1, 4) AS INTEGER) AS ano, variavel, unidade, agregado_id,
        count(*) AS n_fatos, round(sum(valor), 2) AS total_valor FROM obs GROUP BY ALL""",

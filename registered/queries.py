@@ -163,7 +163,9 @@ def quarantine_split(spark, sf):
         .otherwise(good)
     )
     landed = fx.land_responses(spark, sf, F.col("agregado_id"), body)
-    marked = quarantine.mark_responses(landed)
+    path = fresh_path(spark, "marcadas")
+    quarantine.mark_responses(landed).write.parquet(path)
+    marked = spark.read.parquet(path)
     good_rows, rejects = quarantine.split_marked(marked)
     flat = obs.flatten_observations(good_rows)
     kept = flat.groupBy("variavel").agg(F.count(F.lit(1)).alias("n_linhas")).withColumn("motivo", F.lit(None).cast("string"))
@@ -613,6 +615,16 @@ def _star(spark, rows: DataFrame) -> DataFrame:
     )
 
 
+@query
+def layer_codecs(spark, sf):
+    """Rows per layer and the codec that the layer's files are written with."""
+    path = fresh_path(spark, "camadas")
+    for layer in layout.CODEC:
+        layout.write_layer(fx.table(spark, sf, "supplier"), f"{path}/{layer}", layer)
+    rows = [spark.read.parquet(f"{path}/{n}").select(F.lit(n).alias("camada"), F.regexp_extract("_metadata.file_name", r"([a-z]+)\.parquet$", 1).alias("codec")) for n in layout.CODEC]
+    return reduce(DataFrame.unionByName, rows).groupBy("camada", "codec").agg(F.count(F.lit(1)).alias("n_linhas"))
+
+
 @query
 def star_fact(spark, sf):
     return _star(spark, fx.observations(spark, sf))

@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tulha.operators import catalogue, observations as obs, quarantine
-from tulha.plans.ingest import ingest_responses, register_dataset_views
+from tulha.plans.ingest import ingest_responses, register_catalogue_views, register_dataset_views
 from tulha.session import fresh_database
 from tulha.sources import responses
 
@@ -179,3 +179,25 @@ def test_blocks_are_quarantined_one_by_one(spark):
     }
     rows = obs.flatten_observations(quarantine.split_marked(quarantine.mark_blocks(df))[0])
     assert {r.agregado_id: r["count"] for r in rows.groupBy("agregado_id").count().collect()} == {1: 2, 2: 1, 3: 1, 8: 1, 9: 1}
+
+
+def test_empty_catalogue_is_an_error(spark):
+    with pytest.raises(ValueError):
+        register_catalogue_views(spark, "nada", spark.createDataFrame([], "agregado_id string, tabela string"))
+
+
+def test_catalogue_to_views(spark):
+    documents = [("1", [{"id": "s", "nome": "Pesquisa da Pecuária Municipal", "agregados": [{"id": "7", "nome": "Efetivo (ha)"}, {"id": "8", "nome": "Leite"}]}])]
+    parsed_documents = responses.parse_body(spark.createDataFrame([(i, json.dumps(d)) for i, d in documents], "i string, body string"), responses.CATALOGUE_SCHEMA)
+    found = catalogue.catalog_topics(parsed_documents, metadata_base="https://example.org/api")
+    assert {r.url_metadados for r in found.collect()} == {f"https://example.org/api/agregados/{n}/metadados" for n in (7, 8)}
+    table = f"{fresh_database(spark, 'estatistica')}.observacoes"
+    body = lambda tipo: [{"variavel": "v", "resultados": [result([("1", tipo, {"a": "A"})], [("1", "SP", {"2022": "5"})])]}]
+    landed = spark.createDataFrame([("7", json.dumps(body("Tipo")), "a.json"), ("8", json.dumps(body("Raça")), "b.json")], "agregado_id string, body string, source_file string")
+    ingest_responses(spark, landed, table, "c1", "2024-01-01 00:00:00", table + "_rej")
+    names = register_catalogue_views(spark, table, found)
+    assert names == ["agregado_7_efetivo_ha", "agregado_8_leite"]
+    assert spark.table(names[0]).first().tipo == "A" and spark.table(names[1]).first().raca == "A"
+    assert {(r.agregado_id, r.rotulo) for r in spark.table(table + "_rotulos").collect()} == {("7", "Tipo"), ("8", "Raça")}
+    plan = spark.sql(f"SELECT * FROM {table} WHERE ano = 2022")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(ano" in plan

@@ -39,8 +39,9 @@ def catalog_topics(
     census: str = CENSUS_SURVEY,
     topics: Sequence[str] = CENSUS_TOPICS,
     discontinued: str = DISCONTINUED,
+    metadata_base: str | None = None,
 ) -> DataFrame:
-    """Catalogue documents to the wanted aggregates, one row each.
+    """Catalogue documents to the wanted aggregates, one row each; `metadata_base` adds the address of their metadata.
 
     Surveys are filtered before their aggregates are exploded, so a survey that
     is not wanted costs one normalised name.
@@ -71,6 +72,7 @@ def catalog_topics(
             F.concat(F.lit("agregado_"), F.col("a.id"), F.lit("_"), F.translate("agregado_norm", " ", "_")), 1, TABLE_NAME_LENGTH
         ).alias("tabela"),
         F.col("a.nome").alias("nome_original"),
+        *([F.concat(F.lit(metadata_base + "/agregados/"), "a.id", F.lit("/metadados")).alias("url_metadados")] if metadata_base else []),
     )
 
 

@@ -167,6 +167,18 @@ def register_dataset_views(spark: SparkSession, table: str, names: Mapping[str,
         dataset_view(spark.table(table), dataset, labels.get(dataset, [])).createOrReplaceTempView(name)
 
 
+def register_catalogue_views(spark: SparkSession, table: str, catalogue: DataFrame) -> list[str]:
+    """A view per aggregate of the catalogue, under the table name it gives; returns the names.
+
+    An empty catalogue is an error: its filters no longer match what is published.
+    """
+    names = {r.agregado_id: r.tabela for r in catalogue.select("agregado_id", "tabela").collect()}
+    if not names:
+        raise ValueError("the catalogue names no aggregate")
+    register_dataset_views(spark, table, names)
+    return sorted(names.values())
+
+
 def ingest_silver(
     spark: SparkSession, bronze: str, silver_table: str, contract: Mapping[str, str], key: Sequence[str], lineage_table: str, layer: str = "silver"
 ) -> dict[str, int]:
