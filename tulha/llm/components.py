@@ -16,7 +16,8 @@ def _hung(edges: DataFrame, least: DataFrame) -> DataFrame:
     """The far end of each edge (a, b), hung on the least neighbour of a. A hub's edges are salted, and Spark may split the parts further."""
     salted = edges.withColumn("salt", F.pmod(F.xxhash64("b"), F.lit(SALTS)))
     ends = least.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))))
-    return salted.join(ends, ["a", "salt"]).select(F.col("b").alias("a"), F.col("m").alias("b"))
+    # Repeated rows look small when compressed; a merge join keeps them from being broadcast.
+    return salted.join(ends.hint("merge"), ["a", "salt"]).select(F.col("b").alias("a"), F.col("m").alias("b"))
 
 
 def components(edges: DataFrame) -> DataFrame:

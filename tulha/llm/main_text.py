@@ -23,9 +23,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BooleanType, LongType, StringType, StructField, StructType
 
 from tulha.llm.max_flow import content_side
-from tulha.llm.tables import hash_sample, with_columns
+from tulha.llm.tables import hash_share, with_columns
 
-#: Pages that the classifier is trained on (twice as many at most), and blocks of each.
+#: Pages that the classifier is trained on (about; copies count once), and blocks of each.
 SAMPLE_PAGES, SAMPLE_BLOCKS = 1000, 60
 #: Costs of parting two neighbours (of one element, of two), and a block or element from the element it is in.
 NEIGHBOURS, STRANGERS, ELEMENT = 0.6, 0.2, 0.3
@@ -223,7 +223,7 @@ def learn(pages: DataFrame, rows: int = SAMPLE_PAGES) -> Classifier:
             named.append("".join(str(_named(b)) for b in known))
         return [pa.array(vectors, pa.string()), pa.array(named, pa.string())]
 
-    found = with_columns(hash_sample(pages.select("html"), "html", rows), "html", added, make).select("vectors", "named").filter("named <> ''").distinct().collect()
+    found = with_columns(hash_share(pages.select("html"), "html", rows), "html", added, make).select("vectors", "named").filter("named <> ''").distinct().collect()
     if not found:
         return Classifier()
     found.sort()

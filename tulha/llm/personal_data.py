@@ -23,12 +23,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
 
 from tulha.llm.boosting import BoostedTrees
-from tulha.llm.tables import hash_sample, with_columns
+from tulha.llm.tables import hash_share, with_columns
 
 BASE_KINDS = ("email", "ip", "card", "phone")
 MORE_KINDS = ("obfuscated_email", "national_phone", "iban", "ssn", "ipv6")
 KINDS = BASE_KINDS + MORE_KINDS
-#: Documents that the trees learn from (twice as many at most), and candidates of each.
+#: Documents that the trees learn from (about; copies count once), and candidates of each.
 SAMPLE_DOCUMENTS, SAMPLE_CANDIDATES = 4000, 5
 EXAMPLES = 250
 WANTED_PRECISION = 0.97
@@ -244,7 +244,7 @@ class Selector:
 def learn(documents: DataFrame, rows: int = SAMPLE_DOCUMENTS) -> Selector:
     """A selector trained on a sample of about `rows` documents that show a digit or an at sign, and on seeded examples."""
     vector = StructType([StructField("candidates", StringType())])
-    sample = hash_sample(documents.select("text").filter(F.col("text").rlike("[0-9@]")), "text", rows)
+    sample = hash_share(documents.select("text").filter(F.col("text").rlike("[0-9@]")), "text", rows)
 
     def make(texts: pa.Array) -> list[pa.Array]:
         made = []

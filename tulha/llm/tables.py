@@ -50,12 +50,17 @@ def with_columns(frame: DataFrame, source: str, added: StructType, make: Callabl
     return rows.mapInArrow(run, StructType([*[f for f in rows.schema if f.name in kept], *added.fields]))
 
 
-def hash_sample(frame: DataFrame, key: str, rows: int) -> DataFrame:
-    """About `rows` rows, those whose key's hash comes first; at most twice as many, and all of a smaller frame.
+def hash_share(frame: DataFrame, key: str, rows: int) -> DataFrame:
+    """About `rows` rows, those whose key's hash comes first, and all of a smaller frame; rows of one key come together.
 
     The share is fixed by a count beforehand, so that no task has to order rows.
     """
     share = rows / max(1, frame.count())
     if share >= 1:
         return frame
-    return frame.filter(F.pmod(F.xxhash64(F.lit("sample"), key), F.lit(1 << 30)) < int(share * (1 << 30))).limit(2 * rows)
+    return frame.filter(F.pmod(F.xxhash64(F.lit("sample"), key), F.lit(1 << 30)) < int(share * (1 << 30)))
+
+
+def hash_sample(frame: DataFrame, key: str, rows: int) -> DataFrame:
+    """The same with twice as many rows at most, whatever rows share a key; for frames of short rows, which meet in one task."""
+    return hash_share(frame, key, rows).limit(2 * rows)
