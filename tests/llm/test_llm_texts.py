@@ -182,6 +182,28 @@ def test_held_out_labels_are_not_learned(spark, toxic):
     assert score(labels) == pytest.approx(score(flipped))
 
 
+def test_misspellings_of_rare_terms_count(spark):
+    """Each of 100 terms is in 1% of the toxic documents, so no term is frequent."""
+    draw = random.Random(9)
+    fill = [f"word{i}" for i in range(300)]
+    terms = ["".join(draw.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(9)) for _ in range(100)]
+    rows, labels = [], []
+    for i in range(10_000):
+        bad = i % 10 == 0
+        text = [draw.choice(fill) for _ in range(12)]
+        if bad:
+            text[draw.randrange(12)] = terms[i // 10 % 100]
+        rows.append((i, " ".join(text)))
+        labels.append((i, int(bad)))
+    documents = spark.createDataFrame(rows, "doc_id long, text string")
+    model = toxicity.learn(documents, spark.createDataFrame(labels, "doc_id long, toxic int"))
+    learned = [t for t in terms if t in model.words]
+    assert len(learned) > 50
+    assert set(learned) <= set(model.fuzzy)
+    probes = spark.createDataFrame([(i, f"word1 word2 {t[:4]}{t[5]}{t[4]}{t[6:]} word3") for i, t in enumerate(learned)] + [(-1, "word1 word2 word3 word4")], "doc_id long, text string")
+    assert {(r.doc_id, r.predicted) for r in toxicity.score_documents(probes, model).collect()} == {(i, 1) for i in range(len(learned))} | {(-1, 0)}
+
+
 def test_pipeline_equals_its_steps_in_plain_form(spark):
     """Each stage's decisions, worked out row by row from the operators' plain helpers."""
     sf = "/root/testdata/sf0.001"

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 #: Edits allowed in terms of at least so many letters: shorter terms must match exactly.
 EDITS = ((9, 2), (5, 1))
+#: Members of the kept states, after which they are forgotten and built anew; a lexicon of many terms has large states.
+KEPT_MEMBERS = 2_000_000
 
 
 def edits_allowed(term: str) -> int:
@@ -37,11 +39,15 @@ class LexiconAutomaton:
                 self.limit[node] = max(self.limit[node], edits)
             self.term[node] = word
         self.edits = dict(terms)
+        self._forget()
+
+    def _forget(self) -> None:
+        self.members = 0
         self.numbers: dict[frozenset, int] = {}
         self.sets: list[frozenset] = []
         self.steps: list[dict[str, int]] = []
         self.found: list[tuple[str, int] | None] = []
-        self.start = self._number({(0, 0, "")}) if terms else -1
+        self.start = self._number({(0, 0, "")}) if self.edits else -1
 
     def _number(self, states: set[tuple[int, int, str]]) -> int:
         """The state's number; -1 for the empty one. Deletions are followed here."""
@@ -57,6 +63,7 @@ class LexiconAutomaton:
         if not key:
             return -1
         if key not in self.numbers:
+            self.members += len(key)
             self.numbers[key] = len(self.sets)
             self.sets.append(key)
             self.steps.append({})
@@ -88,6 +95,8 @@ class LexiconAutomaton:
 
     def match(self, word: str) -> tuple[str, int] | None:
         """The nearest term and its edits."""
+        if self.members > KEPT_MEMBERS:
+            self._forget()
         state = self.start
         if state < 0:
             return None

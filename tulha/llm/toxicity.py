@@ -32,8 +32,6 @@ TERM_DOCUMENTS, TERM_RATIO = 3, 20.0
 ACCIDENT = 0.05
 #: Word beginnings of these lengths are terms if so many different words show them.
 PREFIX_LENGTHS, PREFIX_WORDS = range(4, 8), 4
-#: Misspellings are looked for of terms in this share of the toxic sample documents.
-FUZZY_SHARE = 0.02
 #: Letters on each side of a match that tell whether it is quoted.
 CONTEXT_LETTERS = 60
 HELD_OUT_FOLDS = 5
@@ -183,8 +181,7 @@ def _lexicon(sample: DataFrame) -> Model:
     for r in sorted(starts.collect(), key=lambda r: (len(r["word"]), r["word"])):
         if not any(r["word"].startswith(b) for b in beginnings):
             beginnings[r["word"]] = math.log(r["ratio"])
-    often = {r["word"] for r in words.filter(F.col("bad") >= max(TERM_DOCUMENTS, FUZZY_SHARE * bad)).select("word").filter(F.col("word").isin(list(terms))).collect()} if terms else set()
-    return Model(terms, beginnings, {w: edits_allowed(w) for w in often if edits_allowed(w)})
+    return Model(terms, beginnings, {w: edits_allowed(w) for w in terms if edits_allowed(w)})
 
 
 def learn(documents: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> Model:
@@ -209,18 +206,22 @@ def learn(documents: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> M
         return with_columns(sample, "text", features, make).select("features", "misspelled", "toxic").collect()
 
     rows_read = read(model)
-    hits: dict[str, list[int]] = {}
-    for r in rows_read:
-        for term in r["misspelled"]:
-            hits.setdefault(term, [0, 0])[int(r["toxic"] > 0)] += 1
-    loose = {t for t, (good, bad) in hits.items() if good > bad}
-    if loose:  # terms that ordinary words resemble must match exactly
+    while loose := _loose(rows_read):  # terms that ordinary words resemble must match exactly; such words may then be near to others
         model = Model(model.words, model.beginnings, {t: k for t, k in model.fuzzy.items() if t not in loose})
         rows_read = read(model)
     model.weights = _logistic(np.array([r["features"] for r in rows_read], float).reshape(-1, len(FEATURES)), np.array([r["toxic"] > 0 for r in rows_read], float))
     return model
 
 
+def _loose(rows: list) -> set[str]:
+    """The terms whose misspellings are found in more other documents than toxic ones."""
+    hits: dict[str, list[int]] = {}
+    for r in rows:
+        for term in r["misspelled"]:
+            hits.setdefault(term, [0, 0])[int(r["toxic"] > 0)] += 1
+    return {t for t, (good, bad) in hits.items() if good > bad}
+
+
 def _logistic(x: np.ndarray, y: np.ndarray, penalty: float = 0.02) -> list[float]:
     """Weights of a logistic regression, the intercept first, by Newton steps; one row is added of either class."""
     x, y = np.vstack([x, np.zeros((2, x.shape[1]))]), np.concatenate([y, [0.0, 1.0]])
