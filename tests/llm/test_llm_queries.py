@@ -119,6 +119,23 @@ def test_op10_recall(spark, sf):
     assert hits / total >= 0.9
 
 
+def test_recall_on_unequal_lengths(spark):
+    draw = np.random.default_rng(3)
+    centres = draw.normal(size=(40, 32))
+    x = centres[draw.integers(40, size=6000)] + 0.5 * draw.normal(size=(6000, 32))
+    x *= draw.lognormal(0, 1, size=(6000, 1)) / np.linalg.norm(x, axis=1, keepdims=True)
+    frame = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, vector array<double>")
+    got: dict = {}
+    for r in neighbours.nearest(frame.filter("vec_id % 20 = 0"), frame).collect():
+        got.setdefault(r.query_id, set()).add(r.vec_id)
+    hits = 0
+    for i in range(0, 6000, 20):
+        products = x @ x[i]
+        products[i] = -np.inf
+        hits += len(got[i] & set(np.argsort(-products)[:20].tolist()))
+    assert hits / (300 * 20) >= 0.9
+
+
 def test_neighbours_leave_out_what_has_no_direction(spark):
     nan = float("nan")
     rows = [(0, [1.0, 0.0]), (1, [0.0, 0.0]), (2, [nan, 1.0]), (3, None), (4, [1.0, None]), (5, [2.0, 0.0]), (6, [2.0, 0.0]), (7, [-1.0, 3.0]), (None, [9.0, 9.0])]

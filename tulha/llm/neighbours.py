@@ -1,11 +1,14 @@
 """Approximate nearest neighbours by inner product, with learned partitions.
 
-A bounded sample is linked to its nearest neighbours, and the graph is cut into
+A bounded sample is linked to its nearest neighbours by inner product, and the graph is cut into
 balanced parts by repeated bisection that moves vertices to the side of most of
 their neighbours. A small softmax classifier learns the parts; every vector is
 indexed in its most probable part, and a query searches several of its most
 probable parts, as many as a held-back share of the sample needed for the wanted
-recall. Parts are searched in blocks of bounded size with exact products.
+recall. The inner product of a query x and a candidate y orders candidates as the
+cosine of (x, 0) and (y, sqrt(L^2 - |y|^2)) does, so the classifier sees lengths
+by this further coordinate. Parts are searched in blocks of bounded size with
+exact products.
 """
 
 from __future__ import annotations
@@ -28,26 +31,40 @@ PART_ROWS, MOST_PARTS, LEAST_PARTS = 2000, 128, 16
 WANTED_RECALL = 0.95
 #: Vectors of a block; a part, however large, is searched block by block.
 BLOCK_ROWS = 4000
+#: Share of the sample's vectors that are no longer than L; the classifier sees longer ones as of length L.
+USUAL_LENGTHS = 0.99
 SEED = 11
 
 
 @dataclass
 class Partitions:
-    """The classifier's weights (a last row for the intercept) and the parts that a query searches."""
+    """The classifier's weights (the last rows for the further coordinate and the intercept), the parts that a query searches, and L."""
 
     weights: np.ndarray
     probes: int
+    usual: float = 1.0
 
-    def log_odds(self, x: np.ndarray) -> np.ndarray:
-        length = np.linalg.norm(x, axis=1, keepdims=True)
-        return np.hstack([x / length, np.ones((len(x), 1))]) @ self.weights
+    def log_odds(self, x: np.ndarray, asks: bool) -> np.ndarray:
+        seen = as_query(x) if asks else as_candidate(x, self.usual)
+        return np.hstack([seen, np.ones((len(x), 1))]) @ self.weights
+
+
+def as_query(x: np.ndarray) -> np.ndarray:
+    """Directions, with a further coordinate of 0; a query's length does not change its neighbours."""
+    return np.hstack([x / np.linalg.norm(x, axis=1, keepdims=True), np.zeros((len(x), 1))])
+
+
+def as_candidate(x: np.ndarray, usual: float) -> np.ndarray:
+    """Vectors in units of `usual` with the further coordinate that makes their length 1; longer ones are cut to length 1."""
+    x = x / np.maximum(usual, np.linalg.norm(x, axis=1, keepdims=True))
+    return np.hstack([x, np.sqrt(np.maximum(0.0, 1 - (x * x).sum(axis=1, keepdims=True)))])
 
 
 # --- learning ----------------------------------------------------------------
 
 
 def _graph(x: np.ndarray, k: int) -> np.ndarray:
-    """The k nearest others of each row."""
+    """The k nearest others of each row, by inner product."""
     products = x @ x.T
     np.fill_diagonal(products, -np.inf)
     k = min(k, len(x) - 1)
@@ -123,15 +140,16 @@ def learn(vectors: DataFrame, rows: int = SAMPLE_ROWS, part_rows: int = PART_ROW
         return Partitions(np.zeros((1, 1)), 1)
     width = found["vector"].map(len).max()
     x = np.stack([v for v in found["vector"] if len(v) == width])
-    x = x / np.linalg.norm(x, axis=1, keepdims=True)
+    usual = float(np.quantile(np.linalg.norm(x, axis=1), USUAL_LENGTHS))
     parts = int(min(MOST_PARTS, max(LEAST_PARTS, total // part_rows), max(1, len(x) // 8)))
     held = np.arange(len(x)) % 5 == 0 if len(x) >= 50 else np.zeros(len(x), bool)
     base = x[~held]
-    weights = _softmax(base, balanced_parts(base, _graph(base, GRAPH_NEIGHBOURS), parts), parts)
-    partitions = Partitions(weights, parts)
+    seen = as_candidate(base, usual)
+    weights = _softmax(seen, balanced_parts(seen, _graph(base, GRAPH_NEIGHBOURS), parts), parts)
+    partitions = Partitions(weights, parts, usual)
     if held.any():
-        of = partitions.log_odds(base).argmax(axis=1)
-        order = np.argsort(-partitions.log_odds(x[held]), axis=1)
+        of = partitions.log_odds(base, asks=False).argmax(axis=1)
+        order = np.argsort(-partitions.log_odds(x[held], asks=True), axis=1)
         true = np.argsort(-(x[held] @ base.T), axis=1, kind="stable")[:, : min(20, len(base))]
         rank = np.argsort(order, axis=1)
         needed = np.take_along_axis(rank, of[true], axis=1)
@@ -159,7 +177,7 @@ def _matrix(column: pa.Array) -> list[tuple[int, np.ndarray, np.ndarray]]:
     return [(int(n), rows := np.flatnonzero(lengths == n), flat[starts[rows][:, None] + np.arange(n)]) for n in np.unique(lengths)]
 
 
-def _routed(vectors: DataFrame, partitions: Partitions, probes: int) -> DataFrame:
+def _routed(vectors: DataFrame, partitions: Partitions, probes: int, asks: bool) -> DataFrame:
     """(vec_id, vector, part) for the most probable parts; vectors of a length the classifier does not know go to part -n."""
     shared = vectors.sparkSession.sparkContext.broadcast(partitions)
 
@@ -169,8 +187,8 @@ def _routed(vectors: DataFrame, partitions: Partitions, probes: int) -> DataFram
                 continue
             known = shared.value
             for n, rows, x in _matrix(batch.column("vector")):
-                if n + 1 == len(known.weights):
-                    top = np.argsort(-known.log_odds(x), axis=1, kind="stable")[:, :probes]
+                if n + 2 == len(known.weights):
+                    top = np.argsort(-known.log_odds(x, asks), axis=1, kind="stable")[:, :probes]
                 else:
                     top = np.full((len(rows), 1), -n)
                 part = batch.take(pa.array(np.repeat(rows, top.shape[1])))
@@ -227,11 +245,11 @@ def nearest(queries: DataFrame, vectors: DataFrame, k: int = 20, partitions: Par
     vectors, queries = vectors.filter("vec_id is not null"), queries.filter("vec_id is not null").dropDuplicates(["vec_id"])
     if partitions is None:
         partitions = learn(vectors)
-    index = written(_routed(vectors, partitions, 1), "index")
+    index = written(_routed(vectors, partitions, 1, asks=False), "index")
     # Blocks hash a part's rows, so one vector that fills a part is spread as well.
     sizes = index.groupBy("part").agg(F.ceil(F.count("*") / block_rows).alias("blocks"))
     candidates = index.join(sizes, "part").withColumn("block", F.pmod(F.xxhash64("vec_id", F.monotonically_increasing_id()), "blocks"))
-    asked = _routed(queries, partitions, partitions.probes).join(sizes, "part")
+    asked = _routed(queries, partitions, partitions.probes, asks=True).join(sizes, "part")
     asked = asked.withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
     columns = ["part", "block", "vec_id", "vector"]
     blocks = candidates.select(*columns, F.lit(False).alias("asks")).union(asked.select(*columns, F.lit(True).alias("asks")))
