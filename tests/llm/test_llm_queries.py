@@ -170,3 +170,34 @@ def test_extra_spans_and_redaction(spark):
     assert got[6].text == "[EMAIL] " * 20_000
     assert got[1].spans == "clash"
     assert personal_data.without_personal_data(frame.limit(0)).count() == 0
+
+
+def test_usual_forms_of_each_kind(spark):
+    forms = {
+        "jane (At) example (Dot) com": "obfuscated_email",
+        "jane [at] example.com": "obfuscated_email",
+        "555-123-4567": "national_phone",
+        "555.123.4567": "national_phone",
+        "2001:db8::1": "ipv6",
+        "::1": "ipv6",
+        "fe80::1ff:fe23:4567:890a": "ipv6",
+        "::ffff:192.0.2.1": "ipv6",
+    }
+    selector = personal_data.learn(spark.createDataFrame([], "text string"))
+    for form, kind in forms.items():
+        text = f"que para {form} und the"
+        span = (9, 9 + len(form), kind)
+        assert span in personal_data.candidates(text), form
+        base, more = selector.select(text)
+        assert span in more, form
+        assert personal_data.redact(text, base + more) == f"que para [{kind.upper()}] und the"
+    for text in ("std::vector<int> at home", "part 555-123-4567", "add::bad", "meet at noon.Then go", "12:30:45"):
+        assert selector.select(text) == ([], []), text
+    # An account number stands beside a card number that its digits happen to form.
+    made = (f"iban BE{98 - (n * 10**6 + 111400) % 97:02d}{n:012d} ok" for n in range(4 * 10**11, 5 * 10**11))
+    text = next(t for t in made if any(personal_data.valid(t, s) for s in personal_data.base_matches(t)))
+    assert personal_data.iban_valid(text[5:21])
+    base, more = selector.select(text)
+    assert base
+    assert more == [(5, 21, "iban")]
+    assert personal_data.redact(text, base + more) == "iban [IBAN] ok"

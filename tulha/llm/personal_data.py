@@ -12,6 +12,7 @@ fold of their own, and each kind's threshold keeps the wanted precision there.
 from __future__ import annotations
 
 import ast
+import ipaddress
 import random
 import re
 from dataclasses import dataclass
@@ -108,12 +109,19 @@ def base_matches(text: str) -> list[Span]:
 # --- candidates --------------------------------------------------------------
 
 _DIGITS = re.compile("[0-9]")
-_NATIONAL = re.compile(r"(?<![\w+.-])(?:\([0-9]{2,5}\)\x20?|00?[0-9]{1,4}[\x20/.-])[0-9]{2,4}(?:[\x20.-]?[0-9]{2,4}){1,3}(?![\w-])")
+_NATIONAL = re.compile(
+    r"(?<![\w+.-])(?:(?:\([0-9]{2,5}\)\x20?|00?[0-9]{1,4}[\x20/.-])[0-9]{2,4}(?:[\x20.-]?[0-9]{2,4}){1,3}"
+    r"|(?:1[\x20.-])?[2-9][0-9]{2}[\x20.-][0-9]{3}[\x20.-][0-9]{4})(?![\w-])"
+)
 _IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){2,7}(?:\x20?[A-Z0-9]{1,3})?(?![A-Za-z0-9])")
 _SSN = re.compile(r"(?<![\w.-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![\w-])")
-_IPV6 = re.compile(r"(?<![\w:.])(?:[0-9A-Fa-f]{1,4}:){3,7}(?::?[0-9A-Fa-f]{1,4})(?![\w:])")
+_HEX = "[0-9A-Fa-f]{1,4}"
+#: All groups written, or groups left out at "::", an IPv4 address at the end included.
+_IPV6 = re.compile(
+    rf"(?<![\w:.])(?:(?:{_HEX}:){{3,7}}{_HEX}|(?:(?:{_HEX}:){{1,7}}|:)(?::{_HEX}){{0,6}}:(?:[0-9]{{1,3}}(?:\.[0-9]{{1,3}}){{3}}|{_HEX})|(?:{_HEX}:){{2,7}}:)(?![\w:])"
+)
 _HIDDEN_AT = re.compile(r"\x20?[\[({]at[\])}]\x20?|\x20at\x20", re.IGNORECASE)
-_HIDDEN_HOST = re.compile(r"[A-Za-z0-9-]{1,63}(?:(?:\x20?[\[({]dot[\])}]\x20?|\x20dot\x20)[A-Za-z0-9-]{2,63}){1,4}(?![\w])", re.IGNORECASE)
+_HIDDEN_HOST = re.compile(r"[A-Za-z0-9-]{1,63}(?:(?:\x20?[\[({]dot[\])}]\x20?|\x20dot\x20|\.)[A-Za-z0-9-]{2,63}){1,4}(?![\w])", re.IGNORECASE)
 
 
 def candidates(text: str) -> list[Span]:
@@ -122,16 +130,15 @@ def candidates(text: str) -> list[Span]:
     if _DIGITS.search(text):
         for kind, pattern in (("national_phone", _NATIONAL), ("iban", _IBAN), ("ssn", _SSN)):
             found += [(m.start(), m.end(), kind) for m in pattern.finditer(text)]
-    if text.count(":") > 2:
+    if "::" in text or text.count(":") > 2:
         found += [(m.start(), m.end(), "ipv6") for m in _IPV6.finditer(text)]
-    if "dot" in text or "DOT" in text:
-        for m in _HIDDEN_AT.finditer(text):
-            host = _HIDDEN_HOST.match(text, m.end())
-            start = m.start()
-            while host and start and m.start() - start < 64 and text[start - 1] in _LOCAL:
-                start -= 1
-            if host and start < m.start():
-                found.append((start, host.end(), "obfuscated_email"))
+    for m in _HIDDEN_AT.finditer(text):
+        host = _HIDDEN_HOST.match(text, m.end())
+        start = m.start()
+        while host and start and m.start() - start < 64 and text[start - 1] in _LOCAL:
+            start -= 1
+        if host and start < m.start():
+            found.append((start, host.end(), "obfuscated_email"))
     return found
 
 
@@ -157,6 +164,7 @@ def features(text: str, span: Span) -> list[float]:
         *[float(kind == k) for k in KINDS],
         len(body), len(digits), letters, len(groups), max(groups), min(groups), groups[0], groups[-1],
         sum(c == " " for c in body), sum(c in "-/" for c in body), sum(c == "." for c in body), sum(c in "()" for c in body),
+        sum(c in "[]{}" for c in body), sum(c == ":" for c in body), float("::" in body), float(ipv6_valid(body)) if kind == "ipv6" else 0.0,
         float(body[:1] == "+"), float(body[:1] == "0"), float(body[:2] == "00"), float(body[:1] == "("),
         len(set(digits)), float(luhn(digits)) if digits else 0.0, float(iban_valid(body)) if kind == "iban" else 0.0,
         float(max(([int(g) for g in re.findall(r"[0-9]{1,9}", body)]), default=0) <= 255),
@@ -172,6 +180,13 @@ def iban_valid(text: str) -> bool:
     return 15 <= len(plain) <= 34 and int("".join(str(int(c, 36)) for c in plain[4:] + plain[:4])) % 97 == 1
 
 
+def ipv6_valid(text: str) -> bool:
+    try:
+        return bool(ipaddress.IPv6Address(text))
+    except ValueError:
+        return False
+
+
 # --- seeded examples ---------------------------------------------------------
 
 _FILL = ("und", "the", "que", "para", "on", "le", "die", "with", "and", "los", "pour")
@@ -209,6 +224,30 @@ def _examples(count: int = EXAMPLES) -> list[tuple[str, int]]:
             (f"{left} {':'.join(f'{draw.randint(4096, 65535):x}' for _ in range(8))} {right}", 1),
             (f"{left} {':'.join(number(2) for _ in range(draw.randint(4, 6)))} {right}", 0),
         ]
+    for _ in range(count):
+        left, right = (" ".join(draw.choice(_FILL) for _ in range(3)) for _ in range(2))
+        group = lambda: f"{draw.randint(0, 65535):x}"
+        hexed = lambda: "".join(draw.choice("abcdef") for _ in range(draw.randint(3, 4)))
+        call, other = draw.choice(("", "tel ", "phone: ", "call ")), draw.choice(("order ", "invoice ", "part no ", "isbn ", "ref "))
+        local = "{0}.{1}" if draw.random() < 0.3 else "{0}"
+        at, dot = draw.choice((("at", "dot"), ("At", "Dot"), ("AT", "DOT")))
+        opened, closed = draw.choice(("()", "[]", "{}"))
+        end = draw.choice(("com", "org", "net", "de", "fr"))
+        american = lambda by: by.join((draw.choice("23456789") + number(2), number(3), number(4)))
+        made += [
+            (f"{left} {call}{american('-')} {right}", 1),
+            (f"{left} {call}{american('.')} {right}", 1),
+            (f"{left} {draw.choice(('tel ', 'phone: ', 'call '))}{american(' ')} {right}", 1),
+            (f"{left} {other}{american(draw.choice('-. '))} {right}", 0),
+            (f"{left} {american(' ')} {right}", 0),
+            (f"{left} {local.format(word(), word())} {opened}{at}{closed} {word()} {opened}{dot}{closed} {end} {right}", 1),
+            (f"{left} {local.format(word(), word())}{draw.choice((' ', ''))}{opened}{at}{closed}{draw.choice((' ', ''))}{word()}.{end} {right}", 1),
+            (f"{left} {draw.choice(('mail ', 'contact '))}{word()} {at} {word()}.{end} {right}", 1),
+            (f"{left} {word()} at {word()}.{draw.choice(_FILL).title()} {right}", 0),
+            (f"{left} {':'.join(group() for _ in range(draw.randint(1, 3)))}::{':'.join(group() for _ in range(draw.randint(1, 4)))} {right}", 1),
+            (f"{left} {draw.choice(('::', 'fe80::', '2001:db8::'))}{draw.choice(('1', group()))} {right}", 1),
+            (f"{left} {hexed()}::{hexed()} {right}", 0),
+        ]
     return made
 
 
@@ -225,11 +264,11 @@ class Selector:
         return 1 / (1 + np.exp(-np.clip(self.slope * self.trees.log_odds(x) + self.intercept, -30, 30)))
 
     def select(self, text: str | None) -> tuple[list[Span], list[Span]]:
-        """The base spans, and the further ones: likely enough, apart from base spans and from likelier ones."""
+        """The base spans, and the further ones: likely enough, and apart from likelier ones; they may overlap base spans."""
         if not text:
             return [], []
         base = [s for s in base_matches(text) if valid(text, s)]
-        more = [s for s in candidates(text) if not any(s[0] < e and b < s[1] for b, e, _ in base)]
+        more = candidates(text)
         chosen: list[Span] = []
         if more:
             chance = self.probability(np.array([features(text, s) for s in more], float))
