@@ -5,6 +5,8 @@ from __future__ import annotations
 from tulha.llm.chat import CLOSE, ESCAPED_OPEN, OPEN, SEPARATOR
 from tulha.llm.mixing import SEED, SIZE_PATTERN
 from tulha.llm.secrets import BASE_RULES, RULES
+from tulha.llm.resampling import BUCKETS, LEAST_WORDS, PERCENT
+from tulha.llm.resampling import SEED as DRAW_SEED
 from tulha.llm.words import LOWER, UPPER, WORD_PATTERN
 
 _WORDS = f"regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '{WORD_PATTERN}')"
@@ -102,4 +104,64 @@ ORACLE_SQL: dict[str, str] = {
                     ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::bigint AS before
             FROM sized s JOIN wanted w ON s.source IS NOT DISTINCT FROM w.source)
         SELECT doc_id, size::bigint AS size, source_size, target, (size * uses + greatest(0, least(size, rest - before)))::bigint AS taken FROM placed""",
+    # The checksum goes byte by byte over all distinct features at once.
+    "op12_resampling": f"""
+        WITH RECURSIVE bits(x, n, v) AS (
+            SELECT x, 0, x FROM range(256) t(x)
+            UNION ALL SELECT x, n + 1, CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END FROM bits WHERE n < 8),
+        bytes AS MATERIALIZED (SELECT x, v FROM bits WHERE n = 8),
+        texts AS (
+            SELECT row_number() OVER () AS r, doc_id, true AS own, {_WORDS} AS w FROM documents
+            UNION ALL SELECT NULL, NULL, false, {_WORDS} FROM benchmark),
+        runs AS MATERIALIZED (
+            SELECT r, doc_id, own, array_to_string(w[i:i + k - 1], ' ') AS f
+            FROM (SELECT r, doc_id, own, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM texts, range(1, 4) t(k) WHERE len(w) >= k)),
+        crc(f, hx, p, v) AS (
+            SELECT f, hex(encode(f)), 1, 4294967295::bigint FROM (SELECT DISTINCT f FROM runs)
+            UNION ALL
+            SELECT f, hx, p + 2, xor(crc.v >> 8, bytes.v) FROM crc JOIN bytes ON bytes.x = xor(crc.v & 255, ('0x' || substr(hx, p, 2))::bigint)
+            WHERE p < length(hx)),
+        bucket AS MATERIALIZED (SELECT f, xor(v, 4294967295) % {BUCKETS} AS b FROM crc WHERE p > length(hx)),
+        totals AS (SELECT count(*) FILTER (own)::double AS s_all, count(*) FILTER (NOT own)::double AS t_all FROM runs),
+        gains AS MATERIALIZED (
+            SELECT b, floor(1000 * ln((t + 1) * (s_all + {BUCKETS}) / ((s + 1) * (t_all + {BUCKETS}))))::bigint AS gain
+            FROM (SELECT b, count(*) FILTER (own)::double AS s, count(*) FILTER (NOT own)::double AS t FROM runs JOIN bucket USING (f) GROUP BY b), totals),
+        weighed AS (SELECT r, count(*) AS n_features, sum(gain)::bigint AS weight FROM runs JOIN bucket USING (f) JOIN gains USING (b) WHERE own GROUP BY r),
+        scored AS (
+            SELECT doc_id, len(w) >= {LEAST_WORDS} AS enough, coalesce(n_features, 0) AS n_features, coalesce(weight, 0) AS weight,
+                coalesce(weight, 0) + floor(-1000 * ln(-ln((('0x' || substr(sha256('{DRAW_SEED}:' || coalesce(doc_id::varchar, '')), 1, 8))::bigint + 0.5::double) / 4294967296)))::bigint AS score
+            FROM texts LEFT JOIN weighed USING (r) WHERE own),
+        ranked AS (
+            SELECT *, row_number() OVER (PARTITION BY enough ORDER BY score DESC, doc_id NULLS LAST, n_features) AS place,
+                5 * count(*) FILTER (enough) OVER () // 100 AS draws FROM scored)
+        SELECT doc_id, n_features, weight, score, CASE WHEN enough AND place <= draws THEN place END AS rank FROM ranked""".replace("5 * count", f"{PERCENT} * count"),
+    # Every document through every order, one step after another.
+    "op13_filter_audit": r"""
+        WITH RECURSIVE said AS (SELECT doc_id, bool_or(quality = 1) AS good, bool_or(toxic = 1) AS toxic FROM labels GROUP BY doc_id),
+        docs AS (
+            SELECT coalesce(source, '') AS part, doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w,
+                min(doc_id) OVER (PARTITION BY coalesce(text, '')) AS least FROM documents),
+        tested AS MATERIALIZED (
+            SELECT part, coalesce(good, false) AS good, coalesce(toxic, false) AS toxic, map {
+                'A': len(w) < 50, 'B': 100 * len(list_distinct(w)) < 65 * len(w),
+                'C': 100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 5 * length(t),
+                'D': regexp_matches(t, '[#$%&*|]'), 'E': coalesce(d.doc_id > least, false)} AS fails
+            FROM docs d LEFT JOIN said s ON d.doc_id = s.doc_id),
+        kinds AS MATERIALIZED (SELECT part, good, toxic, fails, count(*) AS n FROM tested GROUP BY ALL),
+        orders(o) AS (
+            SELECT unnest(['A', 'B', 'C', 'D', 'E'])
+            UNION ALL SELECT o || l FROM orders, (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS l) WHERE length(o) < 5 AND NOT contains(o, l)),
+        steps AS (SELECT o, s, o[s] AS l FROM orders, range(1, 6) t(s) WHERE length(o) = 5),
+        acted AS (
+            SELECT part, o, s, l, good, toxic, n, fails[l] AS own,
+                len(list_filter(range(1, s), lambda i: fails[o[i]])) > 0 AS gone,
+                len(list_filter(map_values(fails), lambda x: x)) AS n_fails
+            FROM kinds, steps),
+        counted AS (
+            SELECT part, o, s, l, coalesce(sum(n) FILTER (NOT gone AND NOT own), 0)::bigint AS kept, coalesce(sum(n) FILTER (own AND NOT gone), 0)::bigint AS removed,
+                coalesce(sum(n) FILTER (own AND gone), 0)::bigint AS redundant, coalesce(sum(n) FILTER (own AND n_fails = 1), 0)::bigint AS unique_fails,
+                coalesce(sum(n) FILTER (own AND NOT gone AND good), 0)::bigint AS good_lost, coalesce(sum(n) FILTER (own AND NOT gone AND toxic), 0)::bigint AS toxic_lost
+            FROM acted GROUP BY ALL)
+        SELECT part, o AS filter_order, s::integer AS step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+            sum(removed) OVER (PARTITION BY part, l)::bigint AS shapley FROM counted""".replace(chr(92) * 2, chr(92)),
 }

@@ -7,7 +7,21 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tulha.llm import chat, decontaminate, jaccard_join, main_text, mixing, neighbours, personal_data, secrets, token_counts, toxicity
+from tulha.llm import (
+    bpe,
+    chat,
+    decontaminate,
+    filter_audit,
+    jaccard_join,
+    main_text,
+    mixing,
+    neighbours,
+    personal_data,
+    resampling,
+    secrets,
+    token_counts,
+    toxicity,
+)
 from tulha.llm.tables import table
 
 
@@ -72,6 +86,24 @@ def op10_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.nearest(vectors.filter("vec_id % 20 = 0"), vectors)
 
 
+def op11_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's ids and the bytes they decode to, as digests."""
+    encoded = bpe.encode(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
+    decoded = bpe.decode(encoded)
+    return decoded.select("doc_id", bpe.n_tokens("ids").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+def op12_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's weight towards the benchmark, and its rank in the draw."""
+    found = resampling.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What five filters remove of each source, in every order."""
+    return filter_audit.audit_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def _counts(column: str, kinds: Sequence[str]) -> list[Column]:
     """n_<kind> for each kind of the spans."""
     own = F.transform(column, lambda s: s["kind"])
@@ -94,4 +126,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_mixing": op8_mixing,
     "op9_personal_data": op9_personal_data,
     "op10_neighbours": op10_neighbours,
+    "op11_byte_bpe": op11_byte_bpe,
+    "op12_resampling": op12_resampling,
+    "op13_filter_audit": op13_filter_audit,
 }
