@@ -243,6 +243,29 @@ FROM flat WHERE o_orderkey % 23 NOT IN (2, 4) GROUP BY 1
 UNION ALL
 SELECT 'pedidos_' || (o_orderkey % 10), CASE o_orderkey % 23 WHEN 2 THEN 'sem variaveis' ELSE 'json ilegivel' END, count(*), NULL
 FROM orders WHERE o_orderkey % 23 IN (2, 4) GROUP BY 1, 2""",
+    "ingest_incremental": """WITH o AS (
+  SELECT *, o_orderkey % 4 // 2 AS corrida, o_orderkey % 4 >= 2 AND o_orderkey % 101 = 0 AS ruim FROM orders),
+n AS (SELECT corrida, count(*) FILTER (NOT ruim) AS n_linhas, count(*) FILTER (ruim) AS n_rejeitadas FROM o GROUP BY corrida)
+SELECT CAST(o_orderkey AS VARCHAR) AS codigo, CAST(o_custkey AS VARCHAR) AS cliente, CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS VARCHAR) AS preco_r,
+       CASE WHEN corrida = 1 THEN o_orderstatus END AS o_orderstatus, CAST(corrida AS BIGINT) AS _lote,
+       TIMESTAMP '2024-01-01 06:00:00' + INTERVAL 1 DAY * CAST(corrida AS INTEGER) AS _ingest_ts, n_linhas, n_rejeitadas, 'novos,novos,nada' AS corridas
+FROM o JOIN n USING (corrida) WHERE NOT ruim""",
+    "reconciled_responses": """WITH r AS (
+  SELECT o_orderkey AS k, o_orderkey % 2 AS corrida,
+         CASE o_orderkey % 7 WHEN 0 THEN 2 WHEN 1 THEN 1 WHEN 2 THEN 0 WHEN 3 THEN 0 ELSE 2 END AS bons,
+         CASE WHEN o_orderkey % 7 IN (0, 2, 3) THEN 1 ELSE 0 END AS ruins FROM orders)
+SELECT CAST(corrida AS BIGINT) AS _lote, count(*) AS n_respostas, CAST(sum(bons + ruins) AS BIGINT) AS n_esperados, CAST(sum(bons) AS BIGINT) AS n_carregados,
+       CAST(sum(ruins) AS BIGINT) AS n_rejeitados, CAST(sum(bons) AS BIGINT) AS n_linhas, CAST(sum(bons * k) AS DOUBLE) AS total, CAST(sum(ruins) AS BIGINT) AS n_na_quarentena
+FROM r GROUP BY corrida""",
+    "silver_incremental": """WITH o AS (
+  SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey % 3 DESC, o_orderkey DESC) AS n FROM orders WHERE o_orderkey % 13 <> 0)
+SELECT CAST(o_custkey AS VARCHAR) AS cliente, o_orderkey AS pedido, CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS DOUBLE) AS valor, 'lote-' || o_orderkey % 3 AS lote,
+       (SELECT count(*) FROM orders WHERE o_orderkey % 13 = 0) AS n_rejeitadas
+FROM o WHERE n = 1""",
+    "compact_small_only": """SELECT c_mktsegment, count(*) AS n_linhas, CAST(sum(c_custkey) AS BIGINT) AS soma,
+       CAST(CASE WHEN c_mktsegment IN ('BUILDING', 'MACHINERY') THEN 3 ELSE 1 END AS BIGINT) AS arquivos_antes, CAST(1 AS BIGINT) AS arquivos_depois,
+       c_mktsegment IN ('BUILDING', 'MACHINERY') AS reescrita
+FROM customer GROUP BY c_mktsegment""",
     "compact_table": """SELECT * FROM customer""",
     "compact_twice": """SELECT *, 'parquet c_mktsegment zstd' AS layout FROM customer""",
     "ingest_ghost_table": """SELECT *, 'recover c_mktsegment' AS caminho FROM customer""",
@@ -368,5 +391,11 @@ UNION ALL SELECT _source_file, _batch_id, count(*), max(ts), 'silver' FROM s GRO
          min(value) AS minimo, max(value) AS maximo, CAST(sum(CAST(value AS DECIMAL(18,4))) AS DOUBLE) AS soma
   FROM events GROUP BY ALL)
 SELECT * FROM h WHERE fim <= (SELECT max(ts) FROM events) - INTERVAL 1 HOUR""",
+    "stream_sessions": """WITH e AS (
+  SELECT *, CASE WHEN ts - lag(ts) OVER (PARTITION BY user_id ORDER BY ts) < INTERVAL 6 HOUR THEN 0 ELSE 1 END AS nova FROM events),
+s AS (SELECT *, sum(nova) OVER (PARTITION BY user_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS sessao FROM e)
+SELECT user_id, min(ts) AS inicio, max(ts) + INTERVAL 6 HOUR AS fim, count(*) AS n_leituras, min(value) AS minimo, max(value) AS maximo,
+       CAST(sum(CAST(value AS DECIMAL(18,4))) AS DOUBLE) AS soma
+FROM s GROUP BY user_id, sessao HAVING max(ts) + INTERVAL 6 HOUR <= (SELECT max(ts) FROM events) - INTERVAL 1 HOUR""",
     "stream_dedup": """SELECT * FROM events""",
 }

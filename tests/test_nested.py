@@ -84,24 +84,32 @@ def test_all_values_suppressed_still_load(spark):
 
 def test_quarantine_reasons(spark):
     good = [{"variavel": "v", "resultados": []}]
-    marked = quarantine.mark_responses(
-        spark.createDataFrame(
-            [("a", json.dumps(good)), ("b", None), ("c", "  "), ("d", "[]"), ("e", "<html>"), ("f", '{"erro": 1}'), ("g", json.dumps(good)[:-5]), ("h", '[{"variavel": 1}]')],
-            "id string, body string",
-        )
-    )
-    reasons = {r.id: r.motivo for r in marked.collect()}
-    assert reasons == {
+    bodies = [
+        ("a", json.dumps(good)), ("b", None), ("c", "  "), ("d", "[]"), ("e", "<html>"), ("f", '{"erro": 1}'), ("g", json.dumps(good)[:-5]),
+        ("h", '[{"variavel": 1}]'), ("i", "[1]"), ("j", '[{"variavel": "v", "resultados": "erro"}]'),
+    ]
+    marked = quarantine.mark_blocks(spark.createDataFrame(bodies, "id string, body string"))
+    assert {r.id: r.motivo for r in marked.collect()} == {
         "a": None, "b": "vazio", "c": "vazio", "d": "sem variaveis", "e": "json ilegivel", "f": "estrutura inesperada",
-        "g": "json ilegivel", "h": "estrutura inesperada",
-    }
+        "g": "json ilegivel", "h": None, "i": "estrutura inesperada", "j": "estrutura inesperada",
+    }
     kept, rejects = quarantine.split_marked(marked)
-    assert kept.count() == 1 and rejects.count() == 7
+    assert kept.count() == 2 and rejects.count() == 8
     with pytest.raises(RuntimeError, match="vazio=2"):
         quarantine.raise_on_rejects(rejects)
     quarantine.raise_on_rejects(rejects.limit(0))
 
 
+def test_last_of_equal_keys_counts(spark):
+    series = '{"localidade":{"id":"1"},"serie":{"2020":"1","2020":"2"}}'
+    body = f'[{{"variavel":"A","variavel":"B","resultados":[{{"series":[{series}]}}]}},{{"variavel":"C","resultados":[{{"series":"x"}}]}}]'
+    marked = quarantine.mark_blocks(spark.createDataFrame([("d", body), ("e", None)], "agregado_id string, body string"))
+    rows = obs.flatten_observations(quarantine.split_marked(marked)[0]).collect()
+    assert [(r.variavel, r.periodo, r.valor) for r in rows] == [("B", "2020", 2.0)]
+    counts = {r.agregado_id: tuple(r)[1:] for r in quarantine.reconciled(marked, ["agregado_id"]).collect()}
+    assert counts == {"d": (2, 1, 1, True), "e": (1, 0, 1, True)}
+
+
 def test_ingest_responses_and_views(spark):
     db = fresh_database(spark, "teste")
     one = [{"variavel": "v", "unidade": "t", "resultados": [result([("1", "Produto", {"a": "A"})], [("1", "A", {"2022": "1"})])]}]

@@ -5,7 +5,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from tulha.functions.html import decode_references
-from tulha.sources import delimited, portal, responses, stations, tables
+from tulha.plans.ingest import ingest_file
+from tulha.session import fresh_database
+from tulha.sources import delimited, mixed, portal, responses, stations, tables
 
 COLUMNS = {"data": "string", "temperatura_c": "double", "chuva_mm": "double"}
 
@@ -160,3 +162,68 @@ def test_references(spark):
     }
     df = spark.createDataFrame(list(pairs.items()), "t string, quer string")
     assert [r.quer for r in df.where(decode_references(F.col("t")) != F.col("quer")).collect()] == []
+
+
+def _mixed(spark, folder, sep=";", encoding="ISO-8859-1", **options):
+    good, bad = mixed.read_mixed_headers(spark, str(folder), sep, encoding, **options)
+    return good.drop("_source_file").collect(), bad.collect()
+
+
+def test_lines_of_many_quoted_cells(spark, tmp_path):
+    (tmp_path / "a.txt").write_text("a;b\n" + ";".join(f'"a;{i}"' for i in range(5000)) + "\n1;2\n")
+    good, bad = _mixed(spark, tmp_path)
+    assert [tuple(r) for r in good] == [("1", "2")]
+    assert [r["_motivo"] for r in bad] == ["5000 celulas para 2 colunas"]
+    long_lines = [("x" * 1_000_000 + ";" + '"q;q";' * 100_000,)]
+    cells = spark.createDataFrame(long_lines, "line string").select(F.size(mixed.cells_of(F.col("line"), ";"))).first()[0]
+    assert cells == 100_002
+
+
+def test_cells_of_odd_lines(spark):
+    lines = {
+        "a;b": ["a", "b"], "": [""], ";": ["", ""], '"a;b";c': ["a;b", "c"], 'a;"b""c;d"': ["a", 'b"c;d'], 'pipe 5";x': ['pipe 5"', "x"],
+        'x;"open;y': ["x", '"open', "y"], ' "a" ;b': ["a", "b"], '"";b': ["", "b"], 'a"b;c"d;e': ['a"b;c"d', "e"],
+    }
+    rows = spark.createDataFrame([(k,) for k in lines], "line string").select("line", mixed.cells_of(F.col("line"), ";").alias("cells")).collect()
+    assert {r.line: r.cells for r in rows} == lines
+    assert spark.createDataFrame([("a|b.c",)], "line string").select(mixed.cells_of(F.col("line"), "|")).first()[0] == ["a", "b.c"]
+
+
+def test_no_line_is_lost(spark, tmp_path):
+    (tmp_path / "a.txt").write_bytes("a;b\n1;2\na;b\n3;4\n\n5;x\x01kept\n6;ç\r\n7\n8;\"open\n".encode("latin-1"))
+    good, bad = _mixed(spark, tmp_path)
+    assert sorted(tuple(r) for r in good) == [("1", "2"), ("3", "4"), ("5", "x\x01kept"), ("6", "ç"), ("8", '"open')]
+    assert [(r.line, r["_motivo"], r["_source_file"]) for r in bad] == [("7", "1 celulas para 2 colunas", "a.txt")]
+
+
+def test_repeated_headers_are_alike_in_every_block(spark, tmp_path):
+    lines = [f"{i};{'x' * 50}" for i in range(4000)]
+    for at in (10, 3900):
+        lines.insert(at, "n;texto")
+    (tmp_path / "a.csv").write_text("\n".join(["n;texto", *lines]) + "\n")
+    setting = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(setting)
+    try:
+        for size in ("16k", before):
+            spark.conf.set(setting, size)
+            good, bad = _mixed(spark, tmp_path, encoding="UTF-8")
+            assert bad == []
+            assert sorted(int(r.n) for r in good) == list(range(4000))
+    finally:
+        spark.conf.set(setting, before)
+
+
+def test_rejects_are_counted_by_the_write(spark, tmp_path):
+    """Every path of the write: create, append, new column, type conflict."""
+    db = fresh_database(spark, "teste")
+    loads = {"um": "a;b\n1;2\n3\n", "dois": "a;b\n1;2\n", "tres": "a;b;c\n1;2;3\n4;5\n6\n"}
+    for name, text in loads.items():
+        (tmp_path / name).mkdir()
+        (tmp_path / name / f"{name}.txt").write_text(text)
+        ingest_file(spark, str(tmp_path / name), "txt", f"{db}.t", name, "2024-01-01 00:00:00")
+    assert spark.table(f"{db}.t").count() == 3
+    lost = spark.table(f"{db}.t_rejeitadas").groupBy("_batch_id").count().collect()
+    assert {tuple(r) for r in lost} == {("um", 1), ("tres", 2)}
+    spark.sql(f"CREATE TABLE {db}.c (a int) USING parquet")
+    assert ingest_file(spark, str(tmp_path / "um"), "txt", f"{db}.c", "c", "2024-01-01 00:00:00").path == "recreate"
+    assert spark.table(f"{db}.c_rejeitadas").count() == 1

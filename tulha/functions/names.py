@@ -45,6 +45,21 @@ def column_names(raw_names: Iterable[object]) -> list[str]:
     return names
 
 
+def _as_landed(spelled: Column) -> Column:
+    """Spark's own metadata spells special characters of paths as URLs do."""
+    return F.url_decode(F.replace(spelled, F.lit("+"), F.lit("%2B")))
+
+
+def file_name() -> Column:
+    """The name of a row's file as it was landed."""
+    return _as_landed(F.col("_metadata.file_name"))
+
+
+def file_path() -> Column:
+    """The path of a row's file as a listing gives it, but for the slashes after the scheme."""
+    return _as_landed(F.col("_metadata.file_path"))
+
+
 def conform_columns(df: DataFrame) -> DataFrame:
     """Rename every column to its safe name; a projection, no job."""
     return df.toDF(*column_names(df.columns))

@@ -2,25 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tulha.functions.names import computed_once
-from tulha.sources.responses import BLOCK_SCHEMA, DATA_SCHEMA, parse_body
-
-
-def mark_responses(df: DataFrame, body: str = "body", schema: str = DATA_SCHEMA) -> DataFrame:
-    """Parse response bodies; `motivo` is NULL for rows that can go on."""
-    parsed = parse_body(df, schema, body)
-    return parsed.withColumn(
-        "motivo",
-        F.when(F.col(body).isNull() | (F.trim(body) == ""), "vazio")
-        .when(F.col("parsed").isNull(), "json ilegivel")
-        .when(F.size("parsed") == 0, "sem variaveis")
-        .when(F.exists("parsed", lambda b: b.isNull() | b["resultados"].isNull()), "estrutura inesperada"),
-    )
+from tulha.sources.responses import BLOCK_SCHEMA
 
 
 def _members(parent: Column, name: str, kind: str = "array<variant>") -> tuple[Column, Column]:
@@ -54,8 +42,10 @@ def mark_blocks(df: DataFrame, body: str = "body") -> DataFrame:
     block's shape on its own, so a block of another shape is rejected by itself
     and the others of its response go on. A missing member is no error and
     gives no rows; one that is present in another shape is. A body without
-    blocks gives one row, rejected as a whole with position -1.
+    blocks gives one row, rejected as a whole with position -1. Of equal keys the
+    last one counts, which the session is told to accept.
     """
+    df.sparkSession.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
     read = computed_once(df, "_variant", F.try_parse_json(body))
     listed = computed_once(read, "_blocks", F.try_variant_get("_variant", "$", "array<variant>"))
     reason = (
@@ -85,6 +75,18 @@ def split_marked(marked: DataFrame) -> tuple[DataFrame, DataFrame]:
     return marked.where("motivo IS NULL").drop("motivo"), marked.where("motivo IS NOT NULL").drop("parsed")
 
 
+def reconciled(marked: DataFrame, by: Sequence[str]) -> DataFrame:
+    """Blocks that each response holds against those loaded and rejected: what a load must account for.
+
+    A response without readable blocks counts as one, which is rejected.
+    """
+    good = F.col("motivo").isNull()
+    counts = marked.groupBy(*by).agg(
+        F.greatest(F.max("bloco") + 1, F.lit(1)).cast("long").alias("n_esperados"), F.count_if(good).alias("n_carregados"), F.count_if(~good).alias("n_rejeitados")
+    )
+    return counts.withColumn("conferido", F.col("n_esperados") == F.col("n_carregados") + F.col("n_rejeitados"))
+
+
 def summary(marked: DataFrame, by: str) -> DataFrame:
     """Rows per group and reason; a NULL reason counts the good ones."""
     return marked.groupBy(by, "motivo").agg(F.count(F.lit(1)).alias("n_linhas"))

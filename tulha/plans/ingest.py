@@ -16,7 +16,7 @@ from tulha.operators.silver import latest_by_key, split_typed
 from tulha.session import fresh_path
 from tulha.sinks.evolve import WriteReport, quoted, recover_ghost_table, replace_table, write_evolving
 from tulha.sources.delimited import read_landed_file
-from tulha.sources.mixed import read_mixed_headers
+from tulha.sources.mixed import bad_lines, good_lines, mark_mixed_headers
 
 
 # Separator and encoding of the text formats that are read file by file.
@@ -38,22 +38,24 @@ def ingest_file(
     """One landed file, or folder of files of one dataset, into its bronze table.
 
     Text files are read by their own headers and land as text; lines that do
-    not fit go to `<table>_rejeitadas` with file and reason, after the rows.
+    not fit go to `<table>_rejeitadas` with file and reason, after the rows. The
+    write of the rows counts them, so files without any are not read again.
     Options (a schema, inference, quoting) choose Spark's own CSV reader, for
     files of one header. Each row keeps its file's name unless `source_file`
     gives one. `recreate_ghost` recreates a table whose files are proved gone.
     """
     kind = extension.lower().lstrip(".")
-    rejects = None
+    marked, seen = None, Observation()
     if kind in TEXT_FORMATS and not options:
-        df, rejects = read_mixed_headers(spark, path, *TEXT_FORMATS[kind])
+        marked, values = mark_mixed_headers(spark, path, *TEXT_FORMATS[kind])
+        df = good_lines(marked.observe(seen, F.count_if(F.col("_motivo").isNotNull()).alias("n_rejeitadas")), values)
     else:
         df = read_landed_file(spark, path, extension, source_file="_source_file", **options)
     origin = F.col("_source_file") if source_file is None else F.lit(source_file)
     rows = with_lineage(df.withColumn("_file", origin).drop("_source_file"), batch_id, ingest_ts, F.col("_file")).drop("_file")
     report = recover_ghost_table(spark, rows, table, allow_drop=True) if recreate_ghost else write_evolving(spark, rows, table)
-    if rejects is not None and not rejects.isEmpty():
-        kept = rejects.select("line", F.col("_motivo").alias("motivo"), (F.col("_source_file") if source_file is None else F.lit(source_file)).alias("_file"))
+    if marked is not None and seen.get["n_rejeitadas"]:
+        kept = bad_lines(marked).select("line", F.col("_motivo").alias("motivo"), (F.col("_source_file") if source_file is None else F.lit(source_file)).alias("_file"))
         write_evolving(spark, with_lineage(kept, batch_id, ingest_ts, F.col("_file")).drop("_file"), table + REJECTS)
     return report
 

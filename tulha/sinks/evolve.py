@@ -13,6 +13,7 @@ from urllib.parse import unquote
 
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 DEFAULT_FORMAT = "parquet"
@@ -191,12 +192,52 @@ def write_evolving(
         return WriteReport(table, "recreate", conflicts=diff.conflicts, backup=backup)
 
     if diff.added:
-        columns = ", ".join(f"{quoted_column(f.name)} {f.dataType.simpleString()}" for f in diff.added)
-        spark.sql(f"ALTER TABLE {quoted(table)} ADD COLUMNS ({columns})")
+        add_columns(spark, table, diff.added)
     _append(spark, df, table)
     return WriteReport(table, "add_columns" if diff.added else "append", added=[f.name for f in diff.added])
 
 
+def write_keyed(spark: SparkSession, df: DataFrame, table: str, key: str, value: int, partition_by: Sequence[str] = ()) -> WriteReport:
+    """One batch of a table laid out by the batch's number: rows that the same batch wrote before are replaced.
+
+    So a batch that is run again, after whatever failure, leaves the table as
+    one run does. Schemas evolve as in `write_evolving`; on a type conflict the
+    batches before stay in the backup.
+    """
+    if "." in table:
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {quoted(table.rsplit('.', 1)[0])}")
+    layout = [key, *partition_by]
+    marked = df.withColumn(key, F.lit(value).cast("long"))
+    if not spark.catalog.tableExists(table):
+        create_table(marked, table, partition_by=layout)
+        return WriteReport(table, "create")
+    diff = compare_schemas(spark.table(table).schema, marked.schema, spark.conf.get("spark.sql.caseSensitive") == "true")
+    if diff.conflicts:
+        return write_evolving(spark, marked, table, partition_by=layout)
+    if diff.added:
+        add_columns(spark, table, diff.added)
+    rows = rebalanced(df.withColumnsRenamed(diff.renamed), partition_by)
+    place = ", ".join([f"{quoted_column(key)} = {value}", *map(quoted_column, partition_by)])
+    spark.sql(f"INSERT OVERWRITE {quoted(table)} PARTITION ({place}) BY NAME SELECT * FROM {{incoming}}", incoming=rows)
+    return WriteReport(table, "add_columns" if diff.added else "replace", added=[f.name for f in diff.added])
+
+
+def add_columns(spark: SparkSession, table: str, added: Sequence[T.StructField]) -> None:
+    columns = ", ".join(f"{quoted_column(f.name)} {f.dataType.simpleString()}" for f in added)
+    spark.sql(f"ALTER TABLE {quoted(table)} ADD COLUMNS ({columns})")
+
+
+def overwrite_partitions(spark: SparkSession, df: DataFrame, table: str) -> None:
+    """Replace the partitions that `df` has rows for, by column name; all others keep their files."""
+    setting = "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, "dynamic")
+    try:
+        spark.sql(f"INSERT OVERWRITE {quoted(table)} BY NAME SELECT * FROM {{incoming}}", incoming=df)
+    finally:
+        spark.conf.set(setting, before)
+
+
 def quoted_column(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 

@@ -5,11 +5,16 @@ from __future__ import annotations
 import re
 import uuid
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tulha.sinks.evolve import create_table, quoted, rebalanced, rename_table
+from tulha.functions.names import file_path
+from tulha.session import fresh_path
+from tulha.sinks.evolve import create_table, overwrite_partitions, quoted, rebalanced, rename_table
 
 # Compression by layer.
 CODEC = {"bronze": "snappy", "silver": "snappy", "gold": "zstd"}
@@ -44,6 +49,81 @@ def _contents(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
     return df.groupBy(*partition_by).agg(F.count(F.lit(1)).alias("n"), F.sum(row).alias("checksum"))
 
 
+def table_files(spark: SparkSession, table: str) -> DataFrame:
+    """`pasta` (the folder below the table's, as `uf=SP/ano=2020`), `caminho` and `n_bytes` of every Parquet file; a listing, no content is read."""
+    return folder_files(spark, next(r.data_type for r in spark.sql(f"DESCRIBE TABLE EXTENDED {quoted(table)}").collect() if r.col_name == "Location"))
+
+
+def folder_files(spark: SparkSession, folder: str) -> DataFrame:
+    """The same of a folder's Parquet files."""
+    listed = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.parquet").load(folder)
+    home = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    home = home.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(home).toString()
+    below = F.substring(F.col("path"), F.lit(len(home) + 2), F.length("path"))
+    return listed.select(F.regexp_extract(below, "^(.*)/[^/]*$", 1).alias("pasta"), F.col("path").alias("caminho"), F.col("length").alias("n_bytes"))
+
+
+def pack_files(files: DataFrame, target_bytes: int) -> DataFrame:
+    """`pasta`, `caminho`, `n_bytes` and `grupo`: each folder's files packed first-fit, the largest first, into groups of the target size.
+
+    One folder's file names are taken together; a file over the target is a group by itself.
+    """
+
+    def first_fit(names: pd.DataFrame) -> pd.DataFrame:
+        room: list[int] = []
+        places = []
+        ordered = names.sort_values(["n_bytes", "caminho"], ascending=[False, True])
+        for size in ordered["n_bytes"]:
+            place = next((i for i, left in enumerate(room) if size <= left), len(room))
+            if place == len(room):
+                room.append(max(target_bytes, size))
+            room[place] -= size
+            places.append(place)
+        return ordered.assign(grupo=places)
+
+    return files.groupBy("pasta").applyInPandas(first_fit, "pasta string, caminho string, n_bytes long, grupo int")
+
+
+def compact_small_files(spark: SparkSession, table: str, target_bytes: int = 128 << 20) -> DataFrame:
+    """Rewrite the partitions of a table whose files pack into fewer of the target size; the others keep their files.
+
+    Returns per partition folder: files before and after, and whether it was
+    rewritten. Sizes come from a listing. Rows go by their file's group, so a
+    group is one task and one file; they are staged, compared with the old rows
+    by count and checksum per partition, and then replace those partitions only.
+    """
+    using, partition_by, options = table_layout(spark, table)
+    if not partition_by or using != "parquet":
+        raise ValueError(f"{table} is not a partitioned Parquet table; compact_table rewrites it whole")
+    plan_path, staged = fresh_path(spark, "arquivos"), fresh_path(spark, "compactada")
+    pack_files(table_files(spark, table), target_bytes).write.parquet(plan_path)
+    plan = spark.read.parquet(plan_path)
+    folders = plan.groupBy("pasta").agg(F.count(F.lit(1)).alias("arquivos_antes"), F.countDistinct("grupo").alias("n_grupos"))
+    small = folders.where("n_grupos < arquivos_antes")
+    groups = small.agg(F.sum("n_grupos")).first()[0]
+    if groups:
+        wanted = plan.join(small.select("pasta"), "pasta", "left_semi").select("caminho", "pasta", "grupo")
+        # The listing and the scan may write a path with one or three slashes.
+        plain = lambda c: F.regexp_replace(c, "^file:/+", "/")
+        rows = spark.table(table).select("*", plain(file_path()).alias("caminho"))
+        rows = rows.join(wanted.withColumn("caminho", plain(F.col("caminho"))), "caminho").repartition(groups, "pasta", "grupo").drop("caminho", "pasta", "grupo")
+        rows.write.partitionBy(*partition_by).options(**options).parquet(staged)
+        if folder_files(spark, staged).select("pasta").distinct().count() != small.count():
+            raise RuntimeError(f"compaction of {table} did not find the rows of every partition")
+        new = spark.read.schema(spark.table(table).schema).parquet(staged)
+        touched = new.select(*partition_by).distinct()
+        same = [F.col(f"_old.{c}").eqNullSafe(F.col(f"_new.{c}")) for c in partition_by]
+        old = spark.table(table).alias("_old").join(touched.alias("_new"), reduce(and_, same), "left_semi")
+        wrong = _contents(old, partition_by).withColumn("lado", F.lit(1)).unionByName(_contents(new, partition_by).withColumn("lado", F.lit(-1)))
+        wrong = wrong.groupBy(*partition_by, "n", "checksum").agg(F.sum("lado").alias("lados")).where("lados <> 0").count()
+        if wrong:
+            raise RuntimeError(f"compaction of {table} changed {wrong} partitions")
+        overwrite_partitions(spark, new, table)
+        spark.catalog.refreshTable(table)
+    after = table_files(spark, table).groupBy("pasta").agg(F.count(F.lit(1)).alias("arquivos_depois"))
+    return folders.join(after, "pasta").select("pasta", "arquivos_antes", "arquivos_depois", (F.col("n_grupos") < F.col("arquivos_antes")).alias("reescrita"))
+
+
 def compact_table(spark: SparkSession, table: str, keep_old: str | None = None) -> str:
     """Rewrite a table of many small files into files of the advisory size.
 

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tulha.functions.names import conform_columns
+from tulha.functions.names import conform_columns, file_name
 from tulha.functions.values import NA_TOKENS, decimal_comma
 
 
@@ -42,7 +42,7 @@ def read_delimited(
         reader = reader.option("inferSchema", True)
     df = reader.csv(paths)
     named = conform_columns(df)
-    return named if source_file is None else df.select("*", "_metadata.file_name").toDF(*named.columns, source_file)
+    return named if source_file is None else df.select("*", file_name()).toDF(*named.columns, source_file)
 
 
 def read_semicolon_latin1(spark: SparkSession, paths: str | Sequence[str], **options) -> DataFrame:

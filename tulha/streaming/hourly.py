@@ -52,6 +52,59 @@ def hourly_readings(
     )
 
 
+def sessions(
+    stream: DataFrame, by: str, value: str, event_time: str = "ts", gap: str = "6 hours", lateness: str = "1 hour"
+) -> DataFrame:
+    """Sessions per group: rows less than `gap` apart belong together; final once the watermark has passed the session's end.
+
+    State holds one row per open session: sessions that a row joins are merged.
+    `fim` is the last row's time and the gap.
+    """
+    return (
+        stream.withWatermark(event_time, lateness)
+        .groupBy(F.session_window(event_time, gap).alias("w"), by)
+        .agg(
+            F.count(F.lit(1)).alias("n_leituras"),
+            F.min(value).alias("minimo"),
+            F.max(value).alias("maximo"),
+            F.sum(F.col(value).cast("decimal(18,4)")).alias("soma"),
+        )
+        .select(F.col("w.start").alias("inicio"), F.col("w.end").alias("fim"), by, "n_leituras", "minimo", "maximo", "soma")
+    )
+
+
+def run_sessions(
+    stream: DataFrame, by: str, value: str, path: str, checkpoint: str, event_time: str = "ts", gap: str = "6 hours", lateness: str = "1 hour"
+) -> tuple[DataFrame, DataFrame, int]:
+    """Process what has landed; the final sessions so far, the rows that came too late for theirs, and how many this run dropped.
+
+    A row is too late if its own session, the gap long, had ended by the
+    watermark: the newest time of the triggers before the last one, or, in a
+    run's first trigger, of all earlier runs, less `lateness`. A second query over
+    the same files lists those rows; `stream` must deal files to triggers alike
+    each time, as the file source does.
+    """
+    spark = stream.sparkSession
+    dropped = run_available(sessions(stream, by, value, event_time, gap, lateness), f"{path}/sessoes", f"{checkpoint}/sessoes")
+    before_run: list[int] = []
+
+    def list_late(batch: DataFrame, number: int) -> None:
+        first = not before_run
+        before_run.append(number)
+        newest = None
+        if number:
+            seen = spark.read.schema("ultima timestamp, lote long").parquet(f"{path}/ultimas")
+            newest = seen.where(F.col("lote") < (number if first else number - 1)).agg(F.max("ultima")).first()[0]
+        end = F.col(event_time) + F.expr(f"INTERVAL {gap}")
+        late = batch.where(end <= F.lit(newest) - F.expr(f"INTERVAL {lateness}")) if newest else batch.limit(0)
+        late.write.mode("overwrite").parquet(f"{path}/atrasadas/lote={number}")
+        batch.agg(F.max(event_time).alias("ultima")).write.mode("overwrite").parquet(f"{path}/ultimas/lote={number}")
+
+    query = stream.writeStream.foreachBatch(list_late).option("checkpointLocation", f"{checkpoint}/atrasadas").trigger(availableNow=True).start()
+    query.awaitTermination()
+    return spark.read.parquet(f"{path}/sessoes"), spark.read.parquet(f"{path}/atrasadas").drop("lote"), dropped
+
+
 def without_redeliveries(stream: DataFrame, key: str, event_time: str = "ts", lateness: str = "1 hour") -> DataFrame:
     """First delivery of each key; a key's state ends one lateness after its event time."""
     return stream.withWatermark(event_time, lateness).dropDuplicatesWithinWatermark([key])
