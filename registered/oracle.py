@@ -318,6 +318,8 @@ SELECT uf, ano, round(producao, 2) AS producao, round(area, 2) AS area, round(pr
   FROM obs GROUP BY ALL)
 SELECT uf, ano, round(producao, 2) AS producao, round(area, 2) AS area, round(producao / nullif(area, 0), 6) AS rendimento
 FROM somas WHERE ano >= 1998""",
+    "clustered_layout": f"""WITH {OBS} SELECT o_orderkey, CAST(periodo[1:4] AS INTEGER) AS ano, CAST(month(o_orderdate) AS INTEGER) AS mes,
+       localidade_nome, variavel, valor FROM obs WHERE variavel = '2-HIGH'""",
     "layer_codecs": """SELECT camada, codec, (SELECT count(*) FROM supplier) AS n_linhas
 FROM (VALUES ('bronze', 'snappy'), ('silver', 'snappy'), ('gold', 'zstd')) AS t(camada, codec)""",
     "star_fact": f"""WITH {OBS}
@@ -386,6 +388,23 @@ SELECT variavel, localidade_id, periodo, round(valor_mes, 2) AS valor_mes, round
 s AS (SELECT * FROM b QUALIFY row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts DESC, event_id DESC) = 1)
 SELECT _source_file, _batch_id, count(*) AS n_linhas, max(ts) AS carregado_em, 'bronze' AS camada FROM b GROUP BY 1, 2
 UNION ALL SELECT _source_file, _batch_id, count(*), max(ts), 'silver' FROM s GROUP BY 1, 2""",
+    "series_fences": f"""WITH {OBS}, m AS (
+  SELECT variavel, localidade_id, periodo, sum(valor) AS valor_mes FROM obs WHERE length(periodo) = 6 GROUP BY ALL),
+q AS (SELECT variavel, localidade_id, quantile_disc(valor_mes, 0.25) AS q1, quantile_disc(valor_mes, 0.75) AS q3 FROM m GROUP BY ALL),
+c AS (SELECT *, q1 - 1.5 * (q3 - q1) AS cerca_inferior, q3 + 1.5 * (q3 - q1) AS cerca_superior FROM q)
+SELECT variavel, localidade_id, periodo, round(valor_mes, 4) AS valor_mes, round(q1, 4) AS q1, round(q3, 4) AS q3,
+       round(cerca_inferior, 4) AS cerca_inferior, round(cerca_superior, 4) AS cerca_superior
+FROM m JOIN c USING (variavel, localidade_id) WHERE valor_mes < cerca_inferior OR valor_mes > cerca_superior""",
+    "lineage_closure": """WITH RECURSIVE b AS (
+  SELECT *, strftime(ts, '%Y%m%d') AS dia, strftime(ts, '%Y%m-%d')[1:8] AS lote FROM events),
+l AS (SELECT * FROM b QUALIFY row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts DESC, event_id DESC) = 1),
+e AS (
+  SELECT DISTINCT 'fonte:' || event_type || '.json' AS de, 'raw:' || event_type || '/' || dia AS para FROM b
+  UNION SELECT 'raw:' || event_type || '/' || dia, 'bronze:' || lote FROM b
+  UNION SELECT 'bronze:' || lote, 'silver:' || event_type FROM l
+  UNION SELECT 'silver:' || event_type, 'gold:' || CASE event_type WHEN 'error' THEN 'falhas' ELSE 'uso' END FROM l),
+c(de, para, passos) AS (SELECT de, para, 1 FROM e UNION SELECT c.de, e.para, passos + 1 FROM c JOIN e ON c.para = e.de)
+SELECT de, para, CAST(min(passos) AS INTEGER) AS passos FROM c WHERE para LIKE 'gold:%' GROUP BY de, para""",
     "stream_hourly": """WITH h AS (
   SELECT date_trunc('hour', ts) AS inicio, date_trunc('hour', ts) + INTERVAL 1 HOUR AS fim, event_type, count(*) AS n_leituras,
          min(value) AS minimo, max(value) AS maximo, CAST(sum(CAST(value AS DECIMAL(18,4))) AS DOUBLE) AS soma

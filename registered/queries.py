@@ -692,6 +692,15 @@ def _star(spark, rows: DataFrame) -> DataFrame:
     )
 
 
+@query
+def clustered_layout(spark, sf):
+    """Observations clustered by year, state, month and product at once; a filter on the product alone reads them back."""
+    name = f"{fresh_database(spark, 'prata')}.observacoes"
+    rows = fx.observations(spark, sf).withColumns({"ano": period_year(F.col("periodo")), "mes": F.month("o_orderdate")})
+    layout.write_clustered(rows, name, ["ano", "localidade_nome", "mes", "variavel"], files=16)
+    return spark.table(name).where(F.col("variavel") == "2-HIGH").select("o_orderkey", "ano", "mes", "localidade_nome", "variavel", "valor")
+
+
 @query
 def layer_codecs(spark, sf):
     """Rows per layer and the codec that the layer's files are written with."""
@@ -840,6 +849,37 @@ def series_anomalies(spark, sf):
     return found.withColumns({"valor_mes": F.round("valor_mes", 2), "z": F.round("z", 4)})
 
 
+@query
+def series_fences(spark, sf):
+    """Months beyond their series' interquartile fences; the sketches are merged from those of each year."""
+    months = gold.monthly_totals(fx.observations(spark, sf))
+    series = ["variavel", "localidade_id"]
+    path = fresh_path(spark, "meses")
+    months.write.parquet(path)
+    points = spark.read.parquet(path)
+    yearly = quality.series_sketches(points.withColumn("ano", F.floor(F.col("mes_indice") / 12)), [*series, "ano"], "valor_mes")
+    found = quality.outside_fences(points, quality.fences(quality.merged_sketches(yearly, series)), series, "periodo", "valor_mes")
+    return found.withColumns({c: F.round(c, 4) for c in ("valor_mes", "q1", "q3", "cerca_inferior", "cerca_superior")})
+
+
+@query
+def lineage_closure(spark, sf):
+    """From landed files through raw, bronze and silver to gold: every node that each gold table comes from."""
+    path = fresh_path(spark, "eventos")
+    day, kind = F.date_format("ts", "yyyyMMdd"), F.col("event_type")
+    fx.table(spark, sf, "events").select("user_id", "ts", "event_id", kind, day.alias("dia"), F.date_format("ts", "yyyyMM'-'dd").substr(1, 8).alias("lote")).write.parquet(path)
+    bronze = spark.read.parquet(path)
+    latest = silver.latest_by_key(bronze, ["user_id", "event_type"], ["ts", "event_id"])
+    file, raw = F.concat("event_type", F.lit(".json")), F.concat_ws("/", "event_type", "dia")
+    parts = [
+        quality.lineage_edges(bronze, "fonte", file, "raw", raw),
+        quality.lineage_edges(bronze, "raw", raw, "bronze", F.col("lote")),
+        quality.lineage_edges(latest, "bronze", F.col("lote"), "silver", F.col("event_type")),
+        quality.lineage_edges(latest, "silver", F.col("event_type"), "gold", F.when(F.col("event_type") == "error", "falhas").otherwise("uso")),
+    ]
+    return quality.lineage_closure(reduce(DataFrame.unionByName, parts)).where(F.col("para").startswith("gold:"))
+
+
 @query
 def lineage(spark, sf):
     """Rows per layer, file and batch, from bronze through silver."""

@@ -198,3 +198,18 @@ def test_binary_workbook_is_refused(spark, db, tmp_path):
     (tmp_path / "w.xlsx").write_bytes(b"PK\x03\x04rest")
     with pytest.raises(ValueError, match="binary"):
         ingest_file(spark, str(tmp_path / "w.xlsx"), "xlsx", f"{db}.w", "c1", "2024-01-01 00:00:00")
+
+
+def test_a_rename_is_two_statements_however_many_partitions(spark, monkeypatch):
+    db = fresh_database(spark, "teste")
+    rows = spark.range(200).select("id", F.when(F.col("id") % 51 > 0, F.concat(F.lit("a/b %=é "), (F.col("id") % 51).cast("string"))).alias("p"), (F.col("id") % 2).alias("q"))
+    evolve.write_evolving(spark, rows, f"{db}.t", partition_by=["p", "q"])
+    said, sql = [], spark.sql
+    monkeypatch.setattr(type(spark), "sql", lambda self, text, *a, **k: said.append(text) or sql(text, *a, **k))
+    evolve.rename_table(spark, f"{db}.t", f"{db}.u")
+    monkeypatch.undo()
+    assert len(said) == 2
+    evolve.write_evolving(spark, spark.range(3).withColumns({"p": F.lit("x"), "q": F.lit(0).cast("long")}), f"{db}.t", partition_by=["p", "q"])
+    assert sorted(r.id for r in spark.table(f"{db}.u").collect()) == list(range(200))
+    assert {(r.p, r.q) for r in spark.table(f"{db}.u").collect()} == {(r.p, r.q) for r in rows.collect()}
+    assert spark.table(f"{db}.u").where("p is null").count() == rows.where("p is null").count() > 0

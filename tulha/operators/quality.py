@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tulha.session import fresh_path
+
 
 def completeness(expected: DataFrame, loaded: DataFrame, key: Sequence[str]) -> DataFrame:
     """Expected against loaded row counts per key.
@@ -127,6 +129,34 @@ def series_anomalies(points: DataFrame, series: Sequence[str], order: str, value
     return scored.where(F.abs("z") > threshold).select(*series, order, value, "z")
 
 
+#: Items that a sketch keeps: series of fewer points are kept whole, so their quantiles are exact.
+SKETCH_ITEMS = 400
+
+
+def series_sketches(points: DataFrame, series: Sequence[str], value: str, items: int = SKETCH_ITEMS) -> DataFrame:
+    """A quantile sketch of each series; sketches of parts merge, so a load adds its own to those kept (see `merged_sketches`)."""
+    return points.where(F.col(value).isNotNull()).groupBy(*series).agg(F.kll_sketch_agg_double(F.col(value).cast("double"), F.lit(items)).alias("esboco"))
+
+
+def merged_sketches(parts: DataFrame, series: Sequence[str], items: int = SKETCH_ITEMS) -> DataFrame:
+    """One sketch per series from those of its parts."""
+    return parts.groupBy(*series).agg(F.kll_merge_agg_double("esboco", F.lit(items)).alias("esboco"))
+
+
+def fences(sketches: DataFrame, reach: float = 1.5) -> DataFrame:
+    """Each series' quartiles and the fences `reach` interquartile ranges beyond them."""
+    quartiles = F.kll_sketch_get_quantile_double("esboco", F.array(F.lit(0.25), F.lit(0.75)))
+    known = sketches.withColumn("_q", quartiles).select(*[c for c in sketches.columns if c != "esboco"], F.get("_q", F.lit(0)).alias("q1"), F.get("_q", F.lit(1)).alias("q3"))
+    width = reach * (F.col("q3") - F.col("q1"))
+    return known.withColumns({"cerca_inferior": F.col("q1") - width, "cerca_superior": F.col("q3") + width})
+
+
+def outside_fences(points: DataFrame, known: DataFrame, series: Sequence[str], order: str, value: str) -> DataFrame:
+    """Points beyond their series' fences; points are joined with one row per series and not sorted within it."""
+    beyond = (F.col(value) < F.col("cerca_inferior")) | (F.col(value) > F.col("cerca_superior"))
+    return points.join(known, list(series)).where(beyond).select(*series, order, value, "q1", "q3", "cerca_inferior", "cerca_superior")
+
+
 def with_lineage(df: DataFrame, batch_id: str, ingest_ts: str | Column, source_file: Column | str | None = None) -> DataFrame:
     """Add `_source_file`, `_ingest_ts` and `_batch_id`."""
     at = F.lit(ingest_ts).cast("timestamp_ntz") if isinstance(ingest_ts, str) else ingest_ts
@@ -146,3 +176,34 @@ def lineage_rows(layers: Mapping[str, DataFrame]) -> DataFrame:
     for part in parts[1:]:
         out = out.unionByName(part)
     return out
+
+
+def lineage_edges(frame: DataFrame, from_layer: str, from_node: Column, to_layer: str, to_node: Column) -> DataFrame:
+    """`de`, `para`: what of one layer went into what of the next, once each; nodes are `layer:name`."""
+    named = lambda layer, node: F.concat(F.lit(f"{layer}:"), F.coalesce(node.cast("string"), F.lit("")))
+    return frame.select(named(from_layer, from_node).alias("de"), named(to_layer, to_node).alias("para")).distinct()
+
+
+def lineage_closure(edges: DataFrame, most_rounds: int = 64) -> DataFrame:
+    """`de`, `para`, `passos`: everything that each node comes from, over however many steps, with the least number of steps.
+
+    Each round joins what the last one found with the edges and keeps what is
+    new, so a graph takes as many rounds as it has layers, and cycles end. Rounds
+    are written to the shared folder. More than `most_rounds` is an error.
+    """
+    spark = edges.sparkSession
+
+    def kept(frame: DataFrame) -> DataFrame:
+        path = fresh_path(spark, "linhagem")
+        frame.write.parquet(path)
+        return spark.read.schema(frame.schema).parquet(path)
+
+    steps = kept(edges.select("de", "para").distinct())
+    reached = fresh = kept(steps.withColumn("passos", F.lit(1)))
+    for done in range(2, most_rounds + 2):
+        further = fresh.select("de", F.col("para").alias("_por")).join(steps.select(F.col("de").alias("_por"), "para"), "_por")
+        fresh = kept(further.select("de", "para").distinct().join(reached, ["de", "para"], "left_anti").withColumn("passos", F.lit(done)))
+        if fresh.isEmpty():
+            return reached
+        reached = reached.unionByName(fresh)
+    raise RuntimeError(f"the lineage goes on after {most_rounds} rounds")

@@ -9,7 +9,6 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 from datetime import datetime, timezone
-from urllib.parse import unquote
 
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
@@ -126,28 +125,10 @@ def _free_backup_name(spark: SparkSession, table: str, now: datetime) -> str:
 
 
 def rename_table(spark: SparkSession, old: str, new: str) -> None:
-    """Rename a table. Where the catalogue leaves partition folders under the old path, point them at the new one."""
+    """Rename a table. Where the catalogue leaves partitions at the old path, one statement finds them below the new one."""
     spark.sql(f"ALTER TABLE {quoted(old)} RENAME TO {quoted(new)}")
-    if not any(c.isPartition for c in spark.catalog.listColumns(new)):
-        return
-    located = lambda suffix: next(
-        r.data_type for r in spark.sql(f"DESCRIBE TABLE EXTENDED {quoted(new)} {suffix}").collect() if r.col_name == "Location"
-    )
-    home, moved = located("").rstrip("/"), False
-    for row in spark.sql(f"SHOW PARTITIONS {quoted(new)}").collect():
-        parts = [part.split("=", 1) for part in row.partition.split("/")]
-        spec = ", ".join(f"{quoted_column(k)} = " + _partition_literal(v) for k, v in parts)
-        if not moved and located(f"PARTITION ({spec})").startswith(home + "/"):
-            return
-        moved = True
-        spark.sql(f"ALTER TABLE {quoted(new)} PARTITION ({spec}) SET LOCATION '{home}/{row.partition}'")
-
-
-def _partition_literal(escaped: str) -> str:
-    """The SQL literal of a partition value as a folder name spells it."""
-    if escaped == "__HIVE_DEFAULT_PARTITION__":
-        return "NULL"
-    return "'" + unquote(escaped).replace("\\", "\\\\").replace("'", "\\'") + "'"
+    if any(c.isPartition for c in spark.catalog.listColumns(new)):
+        spark.sql(f"REPAIR TABLE {quoted(new)} SYNC PARTITIONS")
 
 
 def write_evolving(

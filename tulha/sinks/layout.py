@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import re
 import uuid
 from collections.abc import Sequence
@@ -9,7 +10,7 @@ from functools import reduce
 from operator import and_
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tulha.functions.names import file_path
@@ -151,3 +152,62 @@ def compact_table(spark: SparkSession, table: str, keep_old: str | None = None)
     rename_table(spark, table, old)
     rename_table(spark, new, table)
     return old
+
+
+def _ordinal(column: str, type_name: str, shared: int) -> Column:
+    """A number that grows with the value: of text, the seven bytes behind the `shared` first ones."""
+    if type_name == "string":
+        return F.conv(F.rpad(F.hex(F.substring(F.col(column).cast("binary"), shared + 1, 7)), 14, "0"), 16, 10).cast("long").cast("double")
+    if type_name in ("date", "timestamp", "timestamp_ntz"):
+        return F.unix_micros(F.col(column).cast("timestamp")).cast("double")
+    return F.col(column).cast("double")
+
+
+def _shared_bytes(df: DataFrame, columns: Sequence[str]) -> dict[str, int]:
+    """How many first bytes all texts of a column share: those that the least and the greatest share."""
+    if not columns:
+        return {}
+    ends = df.agg(*[f(c).alias(f"{n}_{i}") for i, c in enumerate(columns) for n, f in (("a", F.min), ("b", F.max))]).first()
+    texts = {c: [(ends[f"{n}_{i}"] or "").encode() for n in "ab"] for i, c in enumerate(columns)}
+    return {c: len(os.path.commonprefix(pair)) for c, pair in texts.items()}
+
+
+def interleaved(ranks: Sequence[Column], bits: int) -> Column:
+    """One number of the ranks' bits by turns, the highest first: neighbours in it are near in every rank."""
+    places = [(rank, i, i * len(ranks) + len(ranks) - 1 - turn) for turn, rank in enumerate(ranks) for i in range(bits)]
+    return reduce(lambda a, b: a.bitwiseOR(b), [F.shiftleft(F.shiftright(rank, i).bitwiseAND(1).cast("long"), to) for rank, i, to in places])
+
+
+def z_order(df: DataFrame, columns: Sequence[str], bits: int = 6) -> Column:
+    """The interleaved key of several columns; each counts by its share of the rows below, so skewed ones spread as even ones do.
+
+    One pass finds 2^bits - 1 approximate quantiles per column, which is all the
+    driver gets, after one for the ends of texts. A NULL comes first.
+    """
+    if not columns or bits * len(columns) > 62:
+        raise ValueError("the key takes 62 bits at most, of one column at least")
+    types = dict(df.dtypes)
+    shares = [i / (1 << bits) for i in range(1, 1 << bits)]
+    shared = _shared_bytes(df, [c for c in columns if types[c] == "string"])
+    numbers = {c: _ordinal(c, types[c], shared.get(c, 0)) for c in columns}
+    found = df.agg(*[F.percentile_approx(n, shares, 1 << (bits + 4)).alias(f"_{i}") for i, n in enumerate(numbers.values())]).first()
+
+    def rank(place: int, number: Column) -> Column:
+        # A value that fills several quantiles takes that many ranks, so each column uses the whole range.
+        bounds = found[f"_{place}"] or []
+        if not bounds:
+            return F.lit(0)
+        return F.coalesce(F.size(F.filter(F.array(*map(F.lit, bounds)), lambda b: b <= number)), F.lit(0))
+
+    return interleaved([rank(i, n) for i, n in enumerate(numbers.values())], bits)
+
+
+def write_clustered(df: DataFrame, table: str, columns: Sequence[str], files: int, layer: str = "silver", bits: int = 6, row_group_bytes: int = 128 << 20) -> None:
+    """Write a table whose files and row groups each span little of every column, so that statistics prune filters on any of them.
+
+    Rows are dealt to `files` ranges of the key and sorted by it in each. Unlike
+    partition folders, no value gets a folder, so columns of many values serve.
+    """
+    keyed = df.withColumn("_z", z_order(df, columns, bits))
+    ranged = keyed.repartitionByRange(files, "_z", *columns).sortWithinPartitions("_z", *columns).drop("_z")
+    create_table(ranged, table, compression=CODEC[layer], **{"parquet.block.size": str(row_group_bytes)})
