@@ -409,6 +409,14 @@ SELECT de, para, CAST(min(passos) AS INTEGER) AS passos FROM c WHERE para LIKE '
   SELECT date_trunc('hour', ts) AS inicio, date_trunc('hour', ts) + INTERVAL 1 HOUR AS fim, event_type, count(*) AS n_leituras,
          min(value) AS minimo, max(value) AS maximo, CAST(sum(CAST(value AS DECIMAL(18,4))) AS DOUBLE) AS soma
   FROM events GROUP BY ALL)
+SELECT * FROM h WHERE fim <= (SELECT max(ts) FROM events) - INTERVAL 1 HOUR""",
+    "contract_resolution": """SELECT o_orderkey AS pedido, CASE WHEN o_orderkey % 7 > 0 THEN CAST(o_custkey AS DOUBLE) END AS cliente, o_orderstatus AS situacao, 'BRL' AS moeda,
+       'pedido=promovida,cliente=promovida,valor=recusada,situacao=compativel,moeda=preenchida,uf=recusada,prioridade=ignorada' AS pareceres
+FROM orders""",
+    "stream_sliding": """WITH h AS (
+  SELECT inicio, inicio + INTERVAL 1 HOUR AS fim, event_type, count(*) AS n_leituras,
+         min(value) AS minimo, max(value) AS maximo, CAST(sum(CAST(value AS DECIMAL(18,4))) AS DOUBLE) AS soma
+  FROM (SELECT *, time_bucket(INTERVAL 30 MINUTES, ts) - INTERVAL 30 MINUTES * CAST(i AS INTEGER) AS inicio FROM events, range(2) t(i)) GROUP BY ALL)
 SELECT * FROM h WHERE fim <= (SELECT max(ts) FROM events) - INTERVAL 1 HOUR""",
     "stream_sessions": """WITH e AS (
   SELECT *, CASE WHEN ts - lag(ts) OVER (PARTITION BY user_id ORDER BY ts) < INTERVAL 6 HOUR THEN 0 ELSE 1 END AS nova FROM events),

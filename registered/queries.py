@@ -14,7 +14,7 @@ from registered.fixtures import AS_OF_YEAR, WINDOW_YEARS
 from tulha.functions import html
 from tulha.functions.names import slug, spaced
 from tulha.functions.values import observation_value, period_year
-from tulha.operators import analyses, catalogue, geo, gold, observations as obs, quality, quarantine, silver
+from tulha.operators import analyses, catalogue, contracts, geo, gold, observations as obs, quality, quarantine, silver
 from tulha.plans import incremental, ingest
 from tulha.plans.ingest import ingest_file, ingest_responses, register_dataset_views
 from tulha.session import fresh_database, fresh_path
@@ -842,6 +842,25 @@ def contract_violations(spark, sf):
     return quality.contract_violations(landed, contract)
 
 
+@query
+def contract_resolution(spark, sf):
+    """Landed orders, written under one Avro schema, read under another: rows as the reader wants them, and the verdict on each column."""
+    k = F.col("o_orderkey")
+    landed = fx.table(spark, sf, "orders").select(
+        k.cast("int").alias("pedido"), F.when(k % 7 > 0, F.col("o_custkey").cast("int")).alias("cod_cliente"), F.col("o_totalprice").alias("valor"), F.col("o_orderstatus").alias("situacao"), F.col("o_orderpriority").alias("prioridade")
+    )
+    writer = """{"type": "record", "name": "pedido", "fields": [
+        {"name": "pedido", "type": "int"}, {"name": "cod_cliente", "type": ["null", "int"]}, {"name": "valor", "type": "double"},
+        {"name": "situacao", "type": "string"}, {"name": "prioridade", "type": "string"}]}"""
+    reader = """{"type": "record", "name": "pedido", "fields": [
+        {"name": "pedido", "type": "long"}, {"name": "cliente", "aliases": ["cod_cliente"], "type": ["null", "double"], "default": null},
+        {"name": "valor", "type": "float"}, {"name": "situacao", "type": "string"}, {"name": "moeda", "type": "string", "default": "BRL"}, {"name": "uf", "type": "string"}]}"""
+    verdicts = contracts.resolve(writer, reader)
+    rows = contracts.read_as(landed, verdicts)
+    told = ",".join(f"{v.column}={v.verdict}" for v in verdicts)
+    return rows.withColumn("pareceres", F.lit(told))
+
+
 @query
 def series_anomalies(spark, sf):
     months = gold.monthly_totals(fx.observations(spark, sf))
@@ -909,6 +928,15 @@ def stream_hourly(spark, sf):
     return spark.read.parquet(f"{out}/rows").withColumns({**ntz, **to_double("soma")})
 
 
+@query
+def stream_sliding(spark, sf):
+    """Hours that begin every half hour, so that each event counts in two."""
+    out = fresh_path(spark, "stream")
+    hourly.run_available(hourly.hourly_readings(_event_stream(spark, sf), "event_type", "value", slide="30 minutes"), f"{out}/rows", f"{out}/checkpoint")
+    ntz = {c: F.col(c).cast("timestamp_ntz") for c in ("inicio", "fim")}
+    return spark.read.parquet(f"{out}/rows").withColumns({**ntz, **to_double("soma")})
+
+
 @query
 def stream_sessions(spark, sf):
     """Sessions of each user: events less than six hours apart, final by the watermark."""

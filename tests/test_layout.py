@@ -54,7 +54,7 @@ def test_clustering_of_awkward_columns(spark):
     layout.write_clustered(rows.limit(0), f"{db}.e", ["s", "n"], files=3)
     assert spark.table(f"{db}.e").count() == 0
     with pytest.raises(ValueError, match="62 bits"):
-        layout.z_order(rows, ["s", "n"], bits=32)
+        layout.with_z_order(rows, ["s", "n"], bits=32)
 
 
 def test_quartiles_of_long_series_are_near(spark):

@@ -178,28 +178,32 @@ def interleaved(ranks: Sequence[Column], bits: int) -> Column:
     return reduce(lambda a, b: a.bitwiseOR(b), [F.shiftleft(F.shiftright(rank, i).bitwiseAND(1).cast("long"), to) for rank, i, to in places])
 
 
-def z_order(df: DataFrame, columns: Sequence[str], bits: int = 6) -> Column:
-    """The interleaved key of several columns; each counts by its share of the rows below, so skewed ones spread as even ones do.
+def _place(number: Column, bounds: Sequence[float], first: int = 0) -> Column:
+    """How many of the sorted bounds are not above a number, by halving: a few compiled comparisons a row."""
+    if not bounds:
+        return F.lit(first)
+    middle = len(bounds) // 2
+    return F.when(number >= bounds[middle], _place(number, bounds[middle + 1 :], first + middle + 1)).otherwise(_place(number, bounds[:middle], first))
+
+
+def with_z_order(df: DataFrame, columns: Sequence[str], bits: int = 6, into: str = "_z") -> DataFrame:
+    """The rows with the interleaved key of several columns; each counts by its share of the rows below, so skewed ones spread as even ones do.
 
     One pass finds 2^bits - 1 approximate quantiles per column, which is all the
-    driver gets, after one for the ends of texts. A NULL comes first.
+    driver gets, after one for the ends of texts. A NULL comes first. A value
+    that fills several quantiles takes that many ranks, so each column uses the
+    whole range.
     """
     if not columns or bits * len(columns) > 62:
         raise ValueError("the key takes 62 bits at most, of one column at least")
     types = dict(df.dtypes)
     shares = [i / (1 << bits) for i in range(1, 1 << bits)]
     shared = _shared_bytes(df, [c for c in columns if types[c] == "string"])
-    numbers = {c: _ordinal(c, types[c], shared.get(c, 0)) for c in columns}
-    found = df.agg(*[F.percentile_approx(n, shares, 1 << (bits + 4)).alias(f"_{i}") for i, n in enumerate(numbers.values())]).first()
-
-    def rank(place: int, number: Column) -> Column:
-        # A value that fills several quantiles takes that many ranks, so each column uses the whole range.
-        bounds = found[f"_{place}"] or []
-        if not bounds:
-            return F.lit(0)
-        return F.coalesce(F.size(F.filter(F.array(*map(F.lit, bounds)), lambda b: b <= number)), F.lit(0))
-
-    return interleaved([rank(i, n) for i, n in enumerate(numbers.values())], bits)
+    numbers = {f"_n{i}": _ordinal(c, types[c], shared.get(c, 0)) for i, c in enumerate(columns)}
+    numbered = df.withColumns(numbers)
+    found = numbered.agg(*[F.percentile_approx(n, shares, 1 << (bits + 4)).alias(n) for n in numbers]).first()
+    ranks = [F.when(F.col(n).isNull(), 0).otherwise(_place(F.col(n), found[n] or [])) for n in numbers]
+    return numbered.withColumn(into, interleaved(ranks, bits)).drop(*numbers)
 
 
 def write_clustered(df: DataFrame, table: str, columns: Sequence[str], files: int, layer: str = "silver", bits: int = 6, row_group_bytes: int = 128 << 20) -> None:
@@ -208,6 +212,5 @@ def write_clustered(df: DataFrame, table: str, columns: Sequence[str], files: in
     Rows are dealt to `files` ranges of the key and sorted by it in each. Unlike
     partition folders, no value gets a folder, so columns of many values serve.
     """
-    keyed = df.withColumn("_z", z_order(df, columns, bits))
-    ranged = keyed.repartitionByRange(files, "_z", *columns).sortWithinPartitions("_z", *columns).drop("_z")
+    ranged = with_z_order(df, columns, bits).repartitionByRange(files, "_z", *columns).sortWithinPartitions("_z", *columns).drop("_z")
     create_table(ranged, table, compression=CODEC[layer], **{"parquet.block.size": str(row_group_bytes)})

@@ -138,23 +138,27 @@ def run_hourly_totals(
     the result is that of a batch over the same files, however they are dealt to
     triggers and in whatever order they land. A row is late if it is older, by
     more than `lateness`, than the newest row of the triggers before; late rows
-    count in the totals and are listed besides.
+    count in the totals and are listed besides. A trigger's rows are kept while
+    it is written, and each trigger leaves its newest time, so no earlier totals
+    are read again.
     """
 
     def write(batch: DataFrame, number: int) -> None:
-        spark = batch.sparkSession
+        spark, batch = batch.sparkSession, batch.persist()
         hour = F.window(event_time, "1 hour")
         partial = batch.groupBy(hour.alias("w"), by).agg(
             F.count(F.lit(1)).alias("n_leituras"), F.min(value).alias("minimo"), F.max(value).alias("maximo"),
-            F.sum(F.col(value).cast("decimal(18,4)")).alias("soma"), F.max(event_time).alias("ultima"),
+            F.sum(F.col(value).cast("decimal(18,4)")).alias("soma"),
         )
         before = None
         if number:
-            seen = spark.read.schema("ultima timestamp, lote long").parquet(f"{path}/totais").where(F.col("lote") < number)
+            seen = spark.read.schema("ultima timestamp, lote long").parquet(f"{path}/ultimas").where(F.col("lote") < number)
             before = seen.agg(F.max("ultima").alias("ultima")).first()["ultima"]
         partial.write.mode("overwrite").parquet(f"{path}/totais/lote={number}")
         late = batch.where(F.lit(before) - F.expr(f"INTERVAL {lateness}") > F.col(event_time)) if before else batch.limit(0)
         late.write.mode("overwrite").parquet(f"{path}/atrasadas/lote={number}")
+        batch.agg(F.max(event_time).alias("ultima")).write.mode("overwrite").parquet(f"{path}/ultimas/lote={number}")
+        batch.unpersist()
 
     query = stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     query.awaitTermination()
