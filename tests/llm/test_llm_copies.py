@@ -190,3 +190,12 @@ def test_mixing_awkward_rows(spark):
     assert len(got) == 6
     total = {s: (sum(r.taken for r in got if r.source == s), max(r.target for r in got if r.source == s)) for s in ("x", "y", None)}
     assert all(abs(taken - target) <= 0.5 for taken, target in total.values())
+
+
+def test_every_pattern_goes_through_the_flow(spark):
+    patterns = spark.createDataFrame([(["a"], 100), ([None], 10), (["b"], 0), (["c"], 7)], "pattern array<string>, size long")
+    targets = spark.createDataFrame([("a", 150.5), (None, 3.0), ("b", 5.0), ("c", 99.0)], "source string, target double")
+    got = {tuple(r.pattern): r.words for r in mixing._routes(patterns, targets, 2).collect()}
+    assert got == {("a",): 151, (None,): 3, ("b",): 0, ("c",): 14}
+    plan = mixing._routes(patterns, targets, 2)._jdf.queryExecution().toString()
+    assert "MapInArrow" in plan

@@ -3,16 +3,17 @@
 Documents are aggregated by the set of sources they belong to. A min-cost flow
 routes the words of each such pattern to the sources' targets: the first use of
 a word is free, each further use costs more than the one before (convex), so
-repeats come only where first uses do not suffice. A pattern of one source whose
-source no other pattern touches has one route only, which Spark fills in closed
-form; the flow is solved for the patterns that overlap. Documents are then
+repeats come only where first uses do not suffice. Patterns that share no source
+are networks of their own, solved in the tasks that hold them. Documents are then
 selected in the order of a seeded hash until the routed words are reached.
 """
 
 from __future__ import annotations
 
 import heapq
+from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -111,20 +112,36 @@ def min_cost_flow(patterns: list[tuple[tuple, int]], targets: dict, repeats: int
 
 
 def _routes(patterns: DataFrame, targets: DataFrame, repeats: int) -> DataFrame:
-    """(pattern, words): how many words the mix takes of each pattern, repeats counted."""
+    """(pattern, words): how many words the mix takes of each pattern, repeats counted.
+
+    Every pattern goes through the flow. One whose source no other pattern has is
+    a network of its own, which its task solves; those that share sources are one
+    network, a row per combination of sources, which the driver solves.
+    """
     members = patterns.select("pattern", "size", F.explode("pattern").alias("source"))
     alone = members.groupBy("source").agg(F.max(F.size("pattern")).alias("most"))
     single = members.join(alone.filter("most = 1").drop("most"), members["source"].eqNullSafe(alone["source"]), "left_semi")
-    closed = single.join(targets, single["source"].eqNullSafe(targets["source"])).select("pattern", F.least(F.round("target").cast("long"), repeats * F.col("size")).alias("words"))
+    wanted = targets.select("source", F.round("target").cast("long").alias("wanted"))
+    networks = single.join(wanted, single["source"].eqNullSafe(wanted["source"])).select("pattern", "size", "wanted")
+
+    def solve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            words = []
+            for pattern, size, target in zip(*[batch.column(c).to_pylist() for c in ("pattern", "size", "wanted")], strict=True):
+                flow = min_cost_flow([(tuple(pattern), size)], dict.fromkeys(pattern, target), repeats)
+                words.append(sum(sum(sent.values()) for sent in flow.values()))
+            yield pa.RecordBatch.from_arrays([batch.column("pattern"), pa.array(words, pa.int64())], ["pattern", "words"])
+
+    solved = networks.mapInArrow(solve, "pattern array<string>, words long")
     touched = members.join(alone.filter("most > 1").drop("most"), members["source"].eqNullSafe(alone["source"]), "left_semi")
     overlapping = touched.select("pattern", "size").distinct().collect()  # one row per combination of sources, not per document
     if not overlapping:
-        return closed
-    wanted = {r["source"]: r["target"] for r in targets.collect()}
-    rows = sorted((tuple(r["pattern"]), r["size"]) for r in overlapping)
-    flow = min_cost_flow(rows, wanted, repeats)
+        return solved
+    goals = {r["source"]: r["wanted"] for r in wanted.collect()}
+    rows = sorted(((tuple(r["pattern"]), r["size"]) for r in overlapping), key=lambda row: ([(s is not None, s or "") for s in row[0]], row[1]))
+    flow = min_cost_flow(rows, goals, repeats)
     taken = [(list(members), int(sum(sum(flow[i, use].values()) for use in range(1, repeats + 1)))) for i, (members, _) in enumerate(rows)]
-    return closed.unionByName(patterns.sparkSession.createDataFrame(taken, closed.schema))
+    return solved.unionByName(patterns.sparkSession.createDataFrame(taken, solved.schema))
 
 
 def mixture(sized: DataFrame, targets: DataFrame, repeats: int = MAX_REPEATS, seed: str = SEED, digits: int = HASH_DIGITS) -> DataFrame:
