@@ -88,6 +88,19 @@ def test_tokens_of_awkward_rows(spark):
     assert token_counts.count_tokens(frame.limit(0), ["text"], ["doc_id"]).count() == 0
 
 
+def test_long_runs_of_white_space(spark):
+    vocabulary = token_counts.read_vocabulary()
+    encoder, _ = token_counts._encoder(vocabulary)
+    draw = random.Random(3)
+    for _ in range(1000):
+        text = "".join(draw.choice(["a", "word", "é", "1", "!", "'s", " ", "  ", "\n", "\t", "\u3000", "     ", "\n\n\n\n"]) for _ in range(draw.randint(0, 25)))
+        assert token_counts.encode(text, vocabulary, long_run=draw.randint(1, 4)) == encoder.encode_ordinary(text)
+    rows = [(1, " " * 1_000_000), (2, "a" + "\n" * 300_000 + "b"), (3, "plain text")]
+    got = {r.doc_id: r for r in token_counts.count_tokens(spark.createDataFrame(rows, "doc_id long, text string"), ["text"], ["doc_id"]).collect()}
+    assert all(sum(r.line_tokens) == r.n_tokens == r.field_tokens[0] > 0 for r in got.values())
+    assert len(got[2].line_tokens) == 300_001
+
+
 def test_minimum_cuts():
     draw = random.Random(1)
     for _ in range(400):

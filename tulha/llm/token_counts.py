@@ -15,9 +15,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tulha.llm.bpe import merge_piece
+
 #: A vocabulary file of base64 tokens and their ranks; a parameter of every function that encodes.
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 #: The public pre-tokenisation pattern that this vocabulary was made with (fixed value).
@@ -25,7 +28,11 @@ PATTERN = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S
 #: Separates the fields of a document; it is counted with the field before it.
 FIELD_SEPARATOR = "\n\n"
 
+#: Longer runs of white space are merged apart: the library's pattern search can't hold them.
+LONG_RUN = 4096
+
 _encoders: dict[int, tuple] = {}
+_ranks: dict[int, dict[bytes, int]] = {}
 
 
 def read_vocabulary(path: str = VOCABULARY) -> bytes:
@@ -40,6 +47,7 @@ def _encoder(vocabulary: bytes) -> tuple:
         import tiktoken
 
         ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, vocabulary.splitlines())}
+        _ranks[key] = ranks
         lengths = np.zeros(max(ranks.values()) + 1, np.int64)
         for token, rank in ranks.items():
             lengths[rank] = len(token)
@@ -47,6 +55,25 @@ def _encoder(vocabulary: bytes) -> tuple:
     return _encoders[key]
 
 
+def encode(text: str, vocabulary: bytes, long_run: int = LONG_RUN) -> list[int]:
+    """The ids of a text, however long its runs of white space.
+
+    The pattern always begins a piece where white space follows another
+    character. Of a run, all but the last character are one piece, or all if the
+    text ends there; the last goes on with what follows. So the text can be cut
+    at both places, and the run's piece is merged by itself.
+    """
+    encoder, _ = _encoder(vocabulary)
+    ids: list[int] = []
+    first = 0
+    for run in regex.finditer(rf"\s{{{long_run},}}", text):
+        end = run.end() if run.end() == len(text) else run.end() - 1
+        ids += encoder.encode_ordinary(text[first : run.start()])
+        ids += merge_piece(text[run.start() : end].encode(), _ranks[hash(vocabulary)])
+        first = end
+    return ids + encoder.encode_ordinary(text[first:])
+
+
 def attribute(token_ends: np.ndarray, section_ends: np.ndarray) -> tuple[np.ndarray, int]:
     """Tokens of each section, and how many tokens cross a boundary; both are given by their ends, from 0 on.
 
@@ -79,13 +106,13 @@ def count_tokens(documents: DataFrame, fields: list[str], keep: list[str], vocab
     shared = documents.sparkSession.sparkContext.broadcast(read_vocabulary(vocabulary))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, lengths = _encoder(shared.value)
+        _, lengths = _encoder(shared.value)
         separator = len(FIELD_SEPARATOR.encode())
         for batch in batches:
             totals, crossings, by_field, by_line = [], [], [], []
             for row in zip(*[batch.column(f"_field_{i}").to_pylist() for i in range(len(fields))], strict=True):
                 texts = [t or "" for t in row]
-                ids = np.array(encoder.encode_ordinary(FIELD_SEPARATOR.join(texts)), np.int64)
+                ids = np.array(encode(FIELD_SEPARATOR.join(texts), shared.value), np.int64)
                 ends = np.cumsum(lengths[ids])
                 sizes = np.array([len(t.encode()) for t in texts], np.int64)
                 sizes[:-1] += separator
