@@ -32,7 +32,7 @@ PATTERN = public_tokenizers.PATTERN
 #: A text is cut into pieces this many characters at a time.
 BLOCK_CHARACTERS = 1 << 16
 #: Each worker remembers the ids of so many of the last pieces, twice at most, of this many characters each at most.
-KEPT_PIECES, KEPT_CHARACTERS = 1 << 19, 48
+KEPT_PIECES, KEPT_CHARACTERS = 7 << 16, 48
 
 #: Letters and numbers assigned after Unicode 16.0, which the vocabulary's splitting does not know as such (fixed values: first and last code points).
 NEWER = [
