@@ -36,7 +36,7 @@ BLOCK_TAGS = frozenset(
     "address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 "
     "header hgroup hr html legend li main menu nav ol p pre section summary table tbody tfoot thead tr ul caption".split()
 )
-SILENT_TAGS = frozenset("script style noscript template head title svg math iframe object canvas audio video select option datalist button textarea".split())
+SILENT_TAGS = frozenset("script style noscript template head title svg annotation annotation-xml iframe object canvas audio video select option datalist button textarea".split())
 VOID_TAGS = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 SPACE_TAGS = frozenset("br td th img input".split())
 #: A start tag among these ends an open paragraph or item.
@@ -56,9 +56,10 @@ _RIGHTS = re.compile(r"©|\(c\)\s*\d{4}|all rights reserved|alle rechte|tous dro
 
 
 _NAMING = frozenset(("class", "id", "role", "style", "hidden"))
+#: Names of more letters than this are read each time instead of remembered.
+REMEMBERED_LETTERS = 1000
 
 
-@lru_cache(maxsize=4096)
 def _names(tag: str, attrs: tuple[tuple[str, str | None], ...]) -> frozenset[str]:
     """The known words in an element's name, classes, id and role."""
     words = {tag}
@@ -70,6 +71,9 @@ def _names(tag: str, attrs: tuple[tuple[str, str | None], ...]) -> frozenset[str
     return frozenset(words & (CONTENT_WORDS | OTHER_WORDS))
 
 
+_names_remembered = lru_cache(maxsize=4096)(_names)
+
+
 @dataclass
 class Block:
     """Text between two block boundaries, and the elements around it."""
@@ -83,8 +87,12 @@ class Block:
 
 
 class _Blocks(HTMLParser):
-    def __init__(self) -> None:
+    """Reads a page into blocks. Silent elements whose numbers are in `unended` end where the next block begins."""
+
+    def __init__(self, unended: frozenset[int] = frozenset()) -> None:
         super().__init__(convert_charrefs=True)
+        self.unended = unended
+        self.left_open: set[int] = set()  # numbers of silent elements without an end tag of their own
         self.stack: list[tuple[str, int, int, int]] = []  # tag, number, content words, other words
         self.count = 0
         self.silent = 0
@@ -102,7 +110,10 @@ class _Blocks(HTMLParser):
             )
         self.parts, self.linked = [], 0
 
-    def pop_to(self, place: int) -> None:
+    def pop_to(self, place: int, ended: bool = False) -> None:
+        """Takes the elements from a place on off the stack; `ended`: the first by its own end tag."""
+        if self.silent and not (ended and self.stack[place][0] in SILENT_TAGS):
+            self.left_open |= {s[1] for s in self.stack[place:] if s[0] in SILENT_TAGS}
         for tag, *_ in self.stack[place:]:
             self.silent -= tag in SILENT_TAGS
             self.links -= tag == "a"
@@ -112,6 +123,8 @@ class _Blocks(HTMLParser):
         if tag in SPACE_TAGS:
             self.parts.append(" ")
         if tag in BLOCK_TAGS:
+            if self.silent and self.unended:
+                self.pop_to(next((i for i, s in enumerate(self.stack) if s[1] in self.unended), len(self.stack)))
             self.cut()
             ends = _CLOSED_BY_SAME.get(tag, set()) | {"p"}
             for place in range(len(self.stack) - 1, -1, -1):
@@ -131,7 +144,8 @@ class _Blocks(HTMLParser):
 
     def meaning(self, tag: str, attrs: list[tuple[str, str | None]]) -> tuple[int, int]:
         named = tuple((k, v) for k, v in attrs if k in _NAMING)
-        words = _names(tag, named) if len(named) < 5 else frozenset([tag])
+        short = len(named) < 10 and sum(len(v or "") for _, v in named) <= REMEMBERED_LETTERS
+        words = _names_remembered(tag, named) if short else _names(tag, named)
         if not words:
             return 0, 0
         other = words & OTHER_WORDS
@@ -148,9 +162,9 @@ class _Blocks(HTMLParser):
         for place in range(len(self.stack) - 1, -1, -1):
             open_tag = self.stack[place][0]
             if open_tag == tag:
-                self.pop_to(place)
+                self.pop_to(place, ended=True)
                 return
-            if open_tag in BLOCK_TAGS and tag not in BLOCK_TAGS:
+            if open_tag in BLOCK_TAGS and tag not in BLOCK_TAGS and not (self.silent and tag in SILENT_TAGS):
                 return
 
     def handle_data(self, data: str) -> None:
@@ -161,13 +175,23 @@ class _Blocks(HTMLParser):
 
 
 def blocks_of(html: str | None) -> list[Block]:
-    """The page's blocks in page order, character references decoded, white space made single."""
+    """The page's blocks in page order, character references decoded, white space made single.
+
+    A silent element without an end tag silences no more than what comes before
+    the next block, so a page with such elements is read a second time.
+    """
     if not html:
         return []
-    parser = _Blocks()
-    parser.feed(html)
-    parser.close()
-    parser.cut()
+    unended: frozenset[int] = frozenset()
+    for _ in range(2):
+        parser = _Blocks(unended)
+        parser.feed(html)
+        parser.close()
+        parser.cut()
+        parser.pop_to(0)
+        if not parser.left_open:
+            break
+        unended = frozenset(parser.left_open)
     return parser.blocks
 
 
@@ -279,7 +303,8 @@ def extract(pages: DataFrame, rows: int = SAMPLE_PAGES) -> DataFrame:
     """The pages with `text` (main text, blocks joined by newlines), n_chars and the labelled `blocks`; columns of these names are replaced.
 
     NULL and empty pages have the empty text; equal pages get equal texts; text
-    outside any element is a block of its own.
+    outside any element is a block of its own. Very long pages are read whole,
+    and an empty table gives no rows.
     """
     shared = pages.sparkSession.sparkContext.broadcast(learn(pages, rows))
 
