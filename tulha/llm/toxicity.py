@@ -9,6 +9,7 @@ feature of their own.
 
 from __future__ import annotations
 
+import heapq
 import math
 import re
 import zlib
@@ -17,7 +18,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, IntegerType, LongType, StringType, StructField, StructType
 
@@ -37,7 +38,11 @@ CONTEXT_LETTERS = 60
 HELD_OUT_FOLDS = 5
 
 TOKEN = re.compile(r"[^\W_]+")
-LONGEST_WORD = 64
+#: What a worker remembers: so many words, none of more letters; longer words are read each time they come.
+REMEMBERED_WORDS, REMEMBERED_LETTERS = 300_000, 64
+#: Sample texts of one least triple hash are near copies if half of so many least hashes agree.
+SKETCH_HASHES = 8
+_LONG_RUN = re.compile(r"(.)\1{2,}")
 _OPENING = re.compile(r"""["“„«‹”»]""")
 _REPORTED = re.compile(
     r"\b(?:said|says|say|called|calls|calling|quote|quoted|quotes|word|words|term|terms|wrote|slur|insult|insulted|"
@@ -78,26 +83,25 @@ class Model:
         cache = self.__dict__.setdefault("_cache", {})
         if word in cache:
             return cache[word]
-        found = None
-        if len(word) <= LONGEST_WORD:
-            if word in self.words:
-                found = (0, word, 0, self.words[word])
-            else:
-                beginning = next((word[:n] for n in PREFIX_LENGTHS if word[:n] in self.beginnings), None)
-                if beginning:
-                    found = (2, beginning, 0, self.beginnings[beginning])
-                else:
-                    automaton = self.__dict__.get("_automaton")
-                    if automaton is None:
-                        automaton = self._automaton = LexiconAutomaton(self.fuzzy)
-                    near = automaton.match(word)
-                    if near:
-                        found = (1, near[0], near[1], self.words[near[0]])
-            if len(cache) > 300_000:
+        found = self._found(word)
+        if len(word) <= REMEMBERED_LETTERS:
+            if len(cache) > REMEMBERED_WORDS:
                 cache.clear()
             cache[word] = found
         return found
 
+    def _found(self, word: str) -> tuple[int, str, int, float] | None:
+        if word in self.words:
+            return 0, word, 0, self.words[word]
+        beginning = next((word[:n] for n in PREFIX_LENGTHS if word[:n] in self.beginnings), None)
+        if beginning:
+            return 2, beginning, 0, self.beginnings[beginning]
+        automaton = self.__dict__.get("_automaton")
+        if automaton is None:
+            automaton = self._automaton = LexiconAutomaton(self.fuzzy)
+        near = automaton.match(word) or next(((plain, 1) for plain in unrepeated(word) if plain in self.fuzzy), None)
+        return (1, near[0], near[1], self.words[near[0]]) if near else None
+
     def read(self, text: str | None) -> tuple[list[float], list[dict]]:
         """The features of a text, and its matches."""
         lowered = (text or "").lower()
@@ -120,6 +124,17 @@ class Model:
         return 1 / (1 + math.exp(-max(-30.0, min(30.0, self.weights[0] + sum(w * x for w, x in zip(self.weights[1:], features, strict=True))))))
 
 
+def unrepeated(word: str) -> list[str]:
+    """What a word repeats as a whole, and the word with its long runs of a letter cut to one or two."""
+    plain = []
+    period = (word + word).find(word, 1)
+    if period < len(word):
+        plain.append(word[:period])
+    if _LONG_RUN.search(word):
+        plain += [_LONG_RUN.sub(r"\1", word), _LONG_RUN.sub(r"\1\1", word)]
+    return plain
+
+
 def quotation(text: str, start: int, end: int) -> float:
     """How likely a match is quoted rather than said: by quotation marks around it and by words of reporting before it."""
     before, after = text[max(0, start - CONTEXT_LETTERS) : start], text[end : end + CONTEXT_LETTERS]
@@ -148,16 +163,21 @@ def _sample(documents: DataFrame, labels: DataFrame, rows: int) -> DataFrame:
 def _lexicon(sample: DataFrame) -> Model:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = [(w, int(t > 0)) for x, t in zip(batch.column("text").to_pylist(), batch.column("toxic").to_pylist(), strict=True) for w in set(TOKEN.findall((x or "").lower())) if len(w) <= LONGEST_WORD]
+            rows = [(w, int(t > 0)) for x, t in zip(batch.column("text").to_pylist(), batch.column("toxic").to_pylist(), strict=True) for w in set(TOKEN.findall((x or "").lower()))]
             yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.string()), pa.array([r[1] for r in rows], pa.int64())], ["word", "toxic"])
 
     def keyed(texts: pa.Array) -> list[pa.Array]:
         words = [TOKEN.findall((t or "").lower()) for t in texts.to_pylist()]
-        return [pa.array([min(zlib.crc32(" ".join(w[i : i + 3]).encode()) for i in range(max(1, len(w) - 2))) for w in words], pa.int64())]
-
-    # Near copies often share the least hash of their word triples; they count once, or their rare words would look like terms.
-    sample = with_columns(sample, "text", StructType([StructField("key", LongType())]), keyed).dropDuplicates(["key", "toxic"])
-    sample = written(sample.select("text", "toxic"), "apart")
+        hashes = [heapq.nsmallest(SKETCH_HASHES, {zlib.crc32(" ".join(w[i : i + 3]).encode()) for i in range(max(1, len(w) - 2))}) for w in words]
+        return [pa.array(hashes, pa.list_(pa.int64()))]
+
+    # Near copies often share the least hash of their word triples; with half of the other least hashes alike they count
+    # once, by the least text, or their rare words would look like terms. A group is within the sample's bound.
+    sample = with_columns(sample, "text", StructType([StructField("sketch", ArrayType(LongType()))]), keyed)
+    group = Window.partitionBy(F.get("sketch", F.lit(0)), "toxic").orderBy("text")
+    sample = sample.withColumns({"place": F.row_number().over(group), "first": F.first("sketch").over(group)})
+    alike = 2 * F.size(F.array_intersect("sketch", "first")) >= F.greatest(F.size("sketch"), F.size("first"))
+    sample = written(sample.filter((F.col("place") == 1) | ~alike).select("text", "toxic"), "apart")
     totals = sample.agg(F.sum((F.col("toxic") > 0).cast("long")).alias("bad"), F.count("*").alias("n")).first()
     bad, good = totals["bad"] or 0, totals["n"] - (totals["bad"] or 0)
     if not bad or not good:
@@ -246,7 +266,8 @@ def score_documents(documents: DataFrame, model: Model) -> DataFrame:
     """The documents with score (0 to 1), predicted (1 from 0.5 on) and matches (of the lower-cased text).
 
     NULL and empty texts have no matches and get the score of a text without
-    terms; equal rows get equal scores. Columns of these names are replaced.
+    terms; equal rows get equal scores. Very long texts and words are read
+    whole, and an empty table gives no rows. Columns of these names are replaced.
     """
     shared = documents.sparkSession.sparkContext.broadcast(model)
 
