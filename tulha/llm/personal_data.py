@@ -135,7 +135,7 @@ def candidates(text: str) -> list[Span]:
     for m in _HIDDEN_AT.finditer(text):
         host = _HIDDEN_HOST.match(text, m.end())
         start = m.start()
-        while host and start and m.start() - start < 64 and text[start - 1] in _LOCAL:
+        while host and start and text[start - 1] in _LOCAL:
             start -= 1
         if host and start < m.start():
             found.append((start, host.end(), "obfuscated_email"))
