@@ -18,7 +18,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tulha.llm.tables import hash_sample, written
@@ -29,8 +29,8 @@ SAMPLE_ROWS, GRAPH_NEIGHBOURS = 4000, 10
 PART_ROWS, MOST_PARTS, LEAST_PARTS = 2000, 128, 16
 #: Share of the true neighbours that the held-back sample queries must find; what is promised is 0.9.
 WANTED_RECALL = 0.95
-#: Vectors of a block; a part, however large, is searched block by block.
-BLOCK_ROWS = 4000
+#: Vectors of a block, and queries of one; a part, however large and however often asked, is searched block by block.
+BLOCK_ROWS, QUERY_ROWS = 4000, 4000
 #: Share of the sample's vectors that are no longer than L; the classifier sees longer ones as of length L.
 USUAL_LENGTHS = 0.99
 SEED = 11
@@ -231,16 +231,23 @@ def _searched(blocks: DataFrame, k: int) -> DataFrame:
         joined = [np.concatenate(o) if o else np.zeros(0) for o in out]
         return pa.table({"query_id": pa.array(joined[0].astype(np.int64)), "vec_id": pa.array(joined[1].astype(np.int64)), "score": pa.array(joined[2].astype(np.float64))})
 
-    return blocks.groupBy("part", "block").applyInArrow(search, "query_id long, vec_id long, score double")
+    return blocks.groupBy("part", "block", "query_block").applyInArrow(search, "query_id long, vec_id long, score double")
 
 
-def nearest(queries: DataFrame, vectors: DataFrame, k: int = 20, partitions: Partitions | None = None, block_rows: int = BLOCK_ROWS) -> DataFrame:
+def _numbers(count: str) -> Column:
+    return F.sequence(F.lit(0).cast("long"), F.col(count) - 1)
+
+
+def nearest(
+    queries: DataFrame, vectors: DataFrame, k: int = 20, partitions: Partitions | None = None, block_rows: int = BLOCK_ROWS, query_rows: int = QUERY_ROWS
+) -> DataFrame:
     """(query_id, rank, vec_id, score): the k nearest of `vectors` found for each of `queries`, both (vec_id, vector).
 
     A query is not its own neighbour. Ties go to the smaller vec_id; vectors of
     another length than a query's are not compared with it. Of rows with equal
     vec_id each counts, as a candidate and once as a query; a NULL vec_id takes
-    no part. An empty table gives no rows.
+    no part. An empty table gives no rows. No task holds more than about
+    `block_rows` candidates and `query_rows` queries at once.
     """
     vectors, queries = vectors.filter("vec_id is not null"), queries.filter("vec_id is not null").dropDuplicates(["vec_id"])
     if partitions is None:
@@ -249,9 +256,13 @@ def nearest(queries: DataFrame, vectors: DataFrame, k: int = 20, partitions: Par
     # Blocks hash a part's rows, so one vector that fills a part is spread as well.
     sizes = index.groupBy("part").agg(F.ceil(F.count("*") / block_rows).alias("blocks"))
     candidates = index.join(sizes, "part").withColumn("block", F.pmod(F.xxhash64("vec_id", F.monotonically_increasing_id()), "blocks"))
-    asked = _routed(queries, partitions, partitions.probes, asks=True).join(sizes, "part")
-    asked = asked.withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
-    columns = ["part", "block", "vec_id", "vector"]
+    asked = written(_routed(queries, partitions, partitions.probes, asks=True), "asked")
+    turns = asked.groupBy("part").agg(F.ceil(F.count("*") / query_rows).alias("query_blocks"))
+    # Each block of candidates meets each block of queries; parts that no query asks are not searched.
+    candidates = candidates.join(turns, "part").withColumn("query_block", F.explode(_numbers("query_blocks")))
+    asked = asked.join(turns, "part").withColumn("query_block", F.pmod(F.xxhash64("vec_id"), "query_blocks"))
+    asked = asked.join(sizes, "part").withColumn("block", F.explode(_numbers("blocks")))
+    columns = ["part", "block", "query_block", "vec_id", "vector"]
     blocks = candidates.select(*columns, F.lit(False).alias("asks")).union(asked.select(*columns, F.lit(True).alias("asks")))
     found = _searched(blocks, k)
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
