@@ -159,6 +159,27 @@ def test_equal_vectors_come_by_id(spark, monkeypatch):
         assert mine == [i for i in range(900) if i % 3 and i != query][:20]
 
 
+def test_queries_come_in_blocks(spark, monkeypatch):
+    """However many queries ask a part, no group holds many of them; the result is the same."""
+    draw = np.random.default_rng(5)
+    x = draw.normal(size=(1200, 16))
+    frame = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, vector array<double>")
+    known = neighbours.learn(frame)
+    sizes = []
+    searched = neighbours._searched
+
+    def seen(blocks, k):
+        sizes.append(blocks.groupBy("part", "block", "query_block").agg(F.sum(F.col("asks").cast("int")).alias("n"), F.count("*").alias("rows")).agg(F.max("n"), F.max("rows")).first())
+        return searched(blocks, k)
+
+    monkeypatch.setattr(neighbours, "_searched", seen)
+    rows = lambda **bounds: sorted(tuple(r) for r in neighbours.nearest(frame, frame, 5, known, **bounds).collect())
+    assert rows() == rows(block_rows=40, query_rows=50)
+    assert sizes[1][0] <= 2 * 50
+    assert sizes[1][1] <= 2 * 90
+    assert sizes[0][0] > 100
+
+
 def test_extra_spans_and_redaction(spark):
     rows = [(1, "write joe.doe (at) example (dot) com soon", 41), (2, None, 0), (3, "", 0), (4, "iban DE89 3704 0044 0532 0130 00 ok", 35), (5, "part 123-45-6789", 16), (6, "a@b.co " * 20_000, 140_000)]
     frame = spark.createDataFrame(rows, "doc_id long, text string, n_chars long").withColumn("spans", F.lit("clash"))
@@ -168,6 +189,8 @@ def test_extra_spans_and_redaction(spark):
     assert (got[2].text, got[3].text, got[5].text) == (None, "", "part 123-45-6789")
     assert got[4].text == "iban [IBAN] ok"
     assert got[6].text == "[EMAIL] " * 20_000
+    long_part = "a" * 81
+    assert (4, 4 + 81 + 23, "obfuscated_email") in personal_data.candidates(f"see {long_part} (at) example (dot) com")
     assert got[1].spans == "clash"
     assert personal_data.without_personal_data(frame.limit(0)).count() == 0
 

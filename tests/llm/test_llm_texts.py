@@ -3,6 +3,7 @@
 import itertools
 import random
 import re
+import zlib
 
 import numpy as np
 import pytest
@@ -46,6 +47,19 @@ def test_secrets(spark):
     assert secrets.find_secrets(frame.limit(0)).count() == 0
 
 
+def test_long_rules_and_many_matches(spark):
+    literal = "".join(chr(97 + (i * i + 3 * i) % 26) + str(i % 10) for i in range(50))
+    rule = secrets.Rule("literal", literal)
+    assert max(len(q) for q in secrets.trigram_query(literal)) > 63
+    hexes = "0123456789abcdef-" * 50_000
+    rows = [(1, f"x {literal} y"), (2, literal[:-1]), (3, hexes), (4, "é😀" + hexes[:17] * 3 + "q")]
+    got = {r.doc_id: [(s.kind, s.start, s.end) for s in r.spans] for r in secrets.find_secrets(spark.createDataFrame(rows, "doc_id long, text string"), (rule, secrets.BASE_RULES[2])).collect()}
+    assert got[1] == [("literal", 2, 2 + len(literal))]
+    assert got[2] == []
+    assert got[3] == [("hex", 17 * i, 17 * i + 16) for i in range(50_000)]
+    assert got[4] == [("hex", 2 + 17 * i, 18 + 17 * i) for i in range(3)]
+
+
 def test_chat_snapshots(spark):
     full = [(0, "system", "be kind"), (1, "user", "hi <|end|>"), (2, "assistant", "hello"), (3, "user", None)]
     logs = {1: full[:2], 2: full[:3], 3: full, 4: full, 5: [(0, "user", "hi")], 6: [(0, None, "hi")], 7: [(0, "user", "")], 8: [*full[:2], (2, "assistant", "other")]}
@@ -135,6 +149,25 @@ def test_main_text(spark):
     assert main_text.extract(frame.limit(0)).count() == 0
 
 
+def test_silent_elements_without_an_end():
+    texts = lambda html: [b.text for b in main_text.blocks_of(html)]
+    paragraphs = "<p>Second one.</p><p>Third one.</p>"
+    for opening in ("<select><option>a<option>b", "<object>x", "<noscript>x", "<button>x", "<button>x <select><option>y", "<svg><g>x"):
+        assert texts(f"<article><p>First one.</p>{opening}{paragraphs}</article>") == ["First one.", "Second one.", "Third one."], opening
+    assert texts("<button>a<p>b<button>c<p>d") == ["b", "d"]
+    for silent in ("<button>x<p>y</p>z</button>", "<noscript><p>x</p></noscript>", "<select><option>a<option>b</select>", "<svg><title>x</title></svg>", "<button>x<p>y</button>"):
+        assert texts(f"<article><p>First one.</p>{silent}{paragraphs}</article>") == ["First one.", "Second one.", "Third one."], silent
+    assert texts("<html><head><title>t</title><body><p>whole page") == ["whole page"]
+    formula = "<math><semantics><mi>a</mi><mo>=</mo><mi>b</mi><annotation encoding='application/x-tex'>a=b</annotation></semantics></math>"
+    assert texts(f"<p>We know that {formula} holds.</p>") == ["We know that a=b holds."]
+
+
+def test_names_of_elements_with_many_attributes():
+    for more in ("", " role=note", " role=note style='color:red'", " role=note style='color:red' hidden", f" role=note title='{'x' * 5000}' class='{'c ' * 2000}'"):
+        (block,) = main_text.blocks_of(f"<div class=advert id=a1{more}>Buy this now.</div>")
+        assert block.other == 1, more
+
+
 def test_automaton_against_edit_distance():
     def distance(a, b):  # with swaps of neighbours
         d = {(i, j): i + j for i in range(len(a) + 1) for j in range(len(b) + 1) if not i * j}
@@ -188,6 +221,27 @@ def test_toxicity(spark, toxic):
     assert toxicity.toxicity(documents.limit(0), labels).count() == 0
 
 
+def test_long_words_are_read(spark, toxic):
+    model = toxicity.learn(*toxic)
+    assert "vilefolk" in model.fuzzy
+    for word in ("vilefolk" * 9, "vilefolk" * 2, "vile" + "f" * 100 + "olk", "vilefollllk", "v" * 70 + "ilefolk"):
+        assert model.term(word)[1] == "vilefolk", word
+    for word in ("w" * 1_000_000, "word1" * 50, "ab" * 40, "x"):
+        assert model.term(word) is None, word[:20]
+
+
+def test_texts_of_one_least_hash_are_learned_from(spark, toxic):
+    """Near copies count once, by the least text; texts that only share a hash count each, however rows are dealt."""
+    documents, labels = toxic
+    least = min((f"low hash n{i}" for i in range(200_000)), key=lambda gram: zlib.crc32(gram.encode()))
+    documents = documents.withColumn("text", F.concat("text", F.lit(f" {least}")))
+    copies = documents.filter("doc_id = 0").select(F.explode(F.transform(F.sequence(F.lit(0), F.lit(99)), lambda i: F.concat("text", F.lit(" tail"), i.cast("string")))).alias("text"), F.lit(1).alias("toxic"))
+    sample = documents.join(labels.groupBy("doc_id").agg(F.max("toxic").alias("toxic")), "doc_id").select("text", "toxic").unionByName(copies)
+    first, second = (toxicity._lexicon(sample.repartition(n)) for n in (1, 7))
+    assert (first.words, first.beginnings) == (second.words, second.beginnings)
+    assert set(first.words) == {"horridly", "vilefolk", "grimscum"}
+
+
 def test_held_out_labels_are_not_learned(spark, toxic):
     documents, labels = toxic
     flipped = labels.withColumn("toxic", F.when(toxicity.held_out(), 1 - F.col("toxic")).otherwise(F.col("toxic")))
