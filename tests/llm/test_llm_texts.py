@@ -74,6 +74,23 @@ def test_chat_snapshots(spark):
     assert chat.format_chats(frame.limit(0)).count() == 0
 
 
+def test_chat_rows_without_id_and_long_chats(spark):
+    """Rows without an id stay apart, whatever their turns; snapshots of a long conversation fold into it."""
+    said = [(i, "user", f"turn {i % 7}") for i in range(3000)]
+    rows = [(1, *t) for t in said] + [(2, *t) for t in said[:2999]] + [(3, *t) for t in said[1:]]
+    loose = [(None, 0, "user", "alone"), (None, 1, "user", "alone"), (None, 0, "user", "other"), (None, None, None, None), (None, 0, "user", "turn 0")]
+    frame = spark.createDataFrame([*rows, *loose], "conv_id long, turn long, role string, text string").withColumns({"pos": F.lit(9), "n": F.lit(9), "hash": F.lit("x")}).repartition(5)
+    got = sorted(((r.conv_id or 0, r.n_turns, r.n_collapsed, r.rendered) for r in chat.format_chats(frame).collect()))
+    whole = lambda turns: "".join(f"<|{r}|>\n{x}\n<|end|>\n" for _, r, x in turns)
+    assert got == [
+        (0, 1, 0, "<|unknown|>\n\n<|end|>\n"),
+        (0, 1, 0, whole([(0, "user", "other")])),
+        (0, 1, 1, whole([(0, "user", "alone")])),
+        (1, 3000, 2, whole(said)),
+        (3, 2999, 0, whole(said[1:])),
+    ]
+
+
 def test_tokens_of_sections():
     draw = random.Random(2)
     for _ in range(500):
