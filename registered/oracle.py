@@ -193,6 +193,8 @@ FROM customer""",
 FROM lineitem""",
     "scan_utf16_tab": """SELECT CAST(year(o_orderdate) AS INTEGER) AS ano, o_orderpriority AS uf, 'nº ' || o_orderkey AS serie,
        o_totalprice AS quantidade_mil_t FROM orders""",
+    "scan_utf16_split": """SELECT l_orderkey AS pedido, l_linenumber AS linha, 'nº' || chr(9) || l_returnflag AS via,
+       CAST(CAST(l_extendedprice AS DECIMAL(18,2)) AS DOUBLE) AS preco_r FROM lineitem""",
     "station_files_union": f"""WITH {HOURLY}
 SELECT data, hora || ' UTC' AS hora_utc, precipitacao_total_mm, temperatura_maxima_c, umidade, estacao FROM leituras""",
     "archive_members": f"""WITH {HOURLY}

@@ -19,7 +19,7 @@ from tulha.plans import incremental, ingest
 from tulha.plans.ingest import ingest_file, ingest_responses, register_dataset_views
 from tulha.session import fresh_database, fresh_path
 from tulha.sinks import evolve, layout
-from tulha.sources import delimited, portal, responses, stations, tables
+from tulha.sources import delimited, portal, responses, stations, tables, utf16
 from tulha.sources.mixed import read_mixed_headers
 from tulha.streaming import hourly
 
@@ -297,6 +297,20 @@ def scan_utf16_tab(spark, sf):
     return df.withColumns({"ano": F.col("ano").cast("int"), "quantidade_mil_t": F.col("quantidade_mil_t").cast("double")})
 
 
+@query
+def scan_utf16_split(spark, sf):
+    """Line items as little endian UTF-16 exports with quoted cells, read in byte ranges."""
+    path = fresh_path(spark, "exportacao")
+    fx.table(spark, sf, "lineitem").select(
+        F.col("l_orderkey").alias("\ufeffPedido"),
+        F.col("l_linenumber").alias("Linha"),
+        F.concat(F.lit("nº\t"), F.col("l_returnflag")).alias("Via"),
+        F.col("l_extendedprice").cast("decimal(18,2)").alias("Preço (R$)"),
+    ).write.option("header", True).option("sep", "\t").option("encoding", "UTF-16LE").option("lineSep", "\r\n").csv(path)
+    df = utf16.read_utf16_split(spark, path)
+    return df.withColumns({"pedido": F.col("pedido").cast("bigint"), "linha": F.col("linha").cast("int"), "preco_r": F.col("preco_r").cast("double")})
+
+
 def _stations(spark, sf) -> DataFrame:
     rows = stations.read_station_files(spark, fx.land_station_files(spark, sf), fx.STATION_COLUMNS)
     return rows.withColumn("estacao", F.regexp_extract("path", "estacao=([^/]+)", 1)).drop("path")
