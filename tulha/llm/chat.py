@@ -20,6 +20,8 @@ OPEN, SEPARATOR, CLOSE = "<|", "|>\n", "<|end|>\n"
 ESCAPED_OPEN = "<\\|"
 #: A turn's place and digest are hashed to so many numbers of so many hex digits, which are summed along the turns.
 SUMS, SUM_DIGITS = 4, 15
+#: Hex digits kept of a prefix hash: 16 bytes.
+HASH_DIGITS = 32
 
 
 def turn_prefixes(turns: DataFrame) -> DataFrame:
@@ -32,8 +34,8 @@ def turn_prefixes(turns: DataFrame) -> DataFrame:
     """
     # NULL and empty differ, and lengths keep neighbouring fields apart.
     digest = F.sha2(F.concat_ws(":", F.coalesce(F.length("role"), F.lit(-1)), F.coalesce(F.length("text"), F.lit(-1)), "role", "text"), 256)
-    rows = turns.select("conv_id", "turn", "role", "text", digest.alias("digest"))
-    placed = F.sha2(F.concat_ws(":", F.col("pos").cast("string"), "digest"), 256)
+    rows = turns.select("conv_id", "turn", "role", "text")
+    placed = F.sha2(F.concat_ws(":", F.col("pos").cast("string"), digest), 256)
     part = lambda i: F.conv(F.substring("placed", i * SUM_DIGITS + 1, SUM_DIGITS), 16, 10).cast("decimal(20,0)")
     order = Window.partitionBy("conv_id").orderBy("turn", "role", "text")
     upto = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -41,7 +43,8 @@ def turn_prefixes(turns: DataFrame) -> DataFrame:
 
     def hashed(rows: DataFrame, total) -> DataFrame:
         parts = rows.withColumn("placed", placed)
-        return parts.withColumn("hash", F.sha2(F.concat_ws(":", *[total(part(i)).cast("string") for i in range(SUMS)]), 256))
+        sums = F.concat_ws(":", *[total(part(i)).cast("string") for i in range(SUMS)])
+        return parts.withColumn("hash", F.unhex(F.substring(F.sha2(sums, 256), 1, HASH_DIGITS)))
 
     named = rows.filter("conv_id IS NOT NULL").withColumn("pos", F.row_number().over(order))
     named = hashed(named, lambda c: F.sum(c).over(upto)).withColumns({"n": F.count("*").over(every), "whole": F.last("hash").over(every)})
