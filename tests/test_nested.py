@@ -209,3 +209,27 @@ def test_catalogue_to_views(spark):
     assert {(r.agregado_id, r.rotulo) for r in spark.table(table + "_rotulos").collect()} == {("7", "Tipo"), ("8", "Raça")}
     plan = spark.sql(f"SELECT * FROM {table} WHERE ano = 2022")._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(ano" in plan
+
+
+def test_only_doubtful_responses_are_taken_apart(spark):
+    whole = json.dumps([{"variavel": "A", "resultados": [result([("1", "Tipo", {"a": "A"})], [("1", "SP", {"2022": "5"})])]}])
+    absent = '[{"variavel":"B"},{"variavel":"C","resultados":[{"series":[{"serie":null}],"classificacoes":[{"categoria":7}]}]},null]'
+    df = spark.createDataFrame([(1, whole), (2, absent), (3, "[{")], "agregado_id int, body string")
+    marked = quarantine.mark_blocks(df, size="n_blocos")
+    plan = marked._jdf.queryExecution().executedPlan().toString()
+    assert "try_variant_get(_variant" in plan and "explode(array(try_variant_get(_variant#" in plan and "explode(array(CASE WHEN coalesce(exists(_blocks" in plan
+    rows = sorted((r.agregado_id, r.bloco, r.motivo, r.body, r.n_blocos) for r in marked.collect())
+    block = '{"resultados":[{"classificacoes":[{"categoria":7}],"series":[{"serie":null}]}],"variavel":"C"}'
+    assert rows == [
+        (1, 0, None, None, 1), (2, 0, None, None, 3), (2, 1, "estrutura inesperada", block, 3),
+        (2, 2, "estrutura inesperada", "null", 3), (3, -1, "json ilegivel", "[{", 1),
+    ]
+
+
+def test_many_responses_reconciled_as_one_group(spark):
+    bodies = [("f", '[{"variavel":"A"},7]'), ("f", "[{"), ("f", '[{"variavel":"A"}]'), ("g", None)]
+    marked = quarantine.mark_blocks(spark.createDataFrame(bodies, "source_file string, body string"), size="n_blocos")
+    counts = quarantine.reconciled(marked, ["source_file"], "n_blocos")
+    assert sorted(tuple(r) for r in counts.collect()) == [("f", 4, 2, 2, 3, True), ("g", 1, 0, 1, 1, True)]
+    lost = quarantine.reconciled(marked.where("motivo IS NULL OR bloco <= 0"), ["source_file"], "n_blocos")
+    assert {r.source_file: (r.n_esperados, r.n_rejeitados, r.conferido) for r in lost.collect()}["f"] == (4, 1, False)
