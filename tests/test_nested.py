@@ -233,3 +233,14 @@ def test_many_responses_reconciled_as_one_group(spark):
     assert sorted(tuple(r) for r in counts.collect()) == [("f", 4, 2, 2, 3, True), ("g", 1, 0, 1, 1, True)]
     lost = quarantine.reconciled(marked.where("motivo IS NULL OR bloco <= 0"), ["source_file"], "n_blocos")
     assert {r.source_file: (r.n_esperados, r.n_rejeitados, r.conferido) for r in lost.collect()}["f"] == (4, 1, False)
+
+
+def test_labels_of_results_that_hold_observations(spark):
+    named = [("1", "Tipo", {"a": "A"}), ("2", "", {"b": "B"}), ("3", "Vazia", {})]
+    body = [{"variavel": "v", "resultados": [result(named, [("1", "SP", {"2022": "5"})]), result([("4", "Sem linhas", {"c": "C"})], [("1", "SP", {})]), result([("5", "Nada", {"d": "D"})], [])]}]
+    marked = quarantine.mark_blocks(spark.createDataFrame([("7", json.dumps(body))] * 2 + [("8", "[]")], "agregado_id string, body string"))
+    good, _ = quarantine.split_marked(marked)
+    flat = obs.flatten_observations(good).select("agregado_id", F.explode("dimensoes.rotulo").alias("rotulo")).distinct()
+    found = obs.published_labels(good)
+    assert sorted(map(tuple, found.collect())) == sorted(map(tuple, flat.collect())) == [("7", "2"), ("7", "Tipo")]
+    assert "serie#" not in found._jdf.queryExecution().executedPlan().toString()

@@ -2,7 +2,7 @@ import math
 
 from pyspark.sql import functions as F
 
-from tulha.functions.values import MISSING_MARKERS, decimal_comma, in_calendar_window, observation_value, period_month, period_year
+from tulha.functions.values import MISSING_MARKERS, decimal_comma, finite_double, in_calendar_window, observation_value, period_month, period_year
 
 
 def python_value(text):
@@ -44,3 +44,11 @@ def test_periods_and_window(spark):
     assert sorted(p for p, (_, w) in got.items() if w) == ["2016", "2021-x", "2022", "202201"]
     assert df.where(in_calendar_window(F.col("p"), None, 2022)).count() == len(periods)
     assert [r.m for r in spark.createDataFrame([("202212",), ("202213",), ("2022",)], "p string").select(period_month(F.col("p")).alias("m")).collect()] == [12, None, None]
+
+
+def test_a_number_is_read_once(spark):
+    texts = [("1_000.5",), (" 2 ",), ("1e999",), ("-1e999",), ("12d",), ("NaN",), ("",), (None,)]
+    df = spark.createDataFrame(texts, "t string").select("t", finite_double(F.col("t")).alias("n"))
+    assert [r.n for r in df.collect()] == [1000.5, 2.0] + [None] * 6
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("regexp_extract(") == 1 and plan.lower().count("cast(") == 1

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -22,14 +23,19 @@ NUMBER = rf"^\s*[+-]?(?:{_DIGITS}\.?(?:{_DIGITS})?|\.{_DIGITS})(?:[eE][+-]?{_DIG
 COMMA_NUMBER = r"^\s*[+-]?(?:[0-9]+,?[0-9]*|,[0-9]+)(?:[eE][+-]?[0-9]+)?\s*$"
 
 
+def _unless(value: Column, *refused: object) -> Column:
+    """The value, or NULL where it equals a refused one; a condition would work it out again for each time it is named."""
+    return F.get(reduce(F.array_remove, refused, F.array(value)), F.lit(0))
+
+
 def finite_double(text: Column) -> Column:
     """Text to double; NULL when it is not a finite number.
 
     Text of another shape is NULL before the cast, which would otherwise raise
     and catch an error inside for every such cell.
     """
-    number = F.replace(F.regexp_substr(text, F.lit(NUMBER)), F.lit("_"), F.lit("")).try_cast("double")
-    return F.when(F.abs(number) < float("inf"), number)
+    shaped = _unless(F.regexp_extract(text, NUMBER, 0), "")
+    return _unless(F.replace(shaped, F.lit("_"), F.lit("")).try_cast("double"), float("inf"), float("-inf"))
 
 
 def observation_value(raw: Column, missing: Sequence[str] = MISSING_MARKERS) -> Column:

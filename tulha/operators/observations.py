@@ -68,6 +68,14 @@ def flatten_observations(
     ).withColumn("valor", observation_value(F.col("valor_publicado")))
 
 
+def published_labels(responses: DataFrame, parsed: str = "parsed", dataset_id: str = "agregado_id") -> DataFrame:
+    """Distinct `(agregado_id, rotulo)` of the results that hold an observation, without flattening their series."""
+    results = responses.select(F.col(dataset_id).alias("agregado_id"), F.explode(parsed).alias("b")).select("agregado_id", F.explode("b.resultados").alias("r"))
+    held = results.where(F.exists("r.series", lambda s: F.size(s["serie"]) > 0))
+    lists = held.select("agregado_id", dimension_entries(F.col("r.classificacoes"))["rotulo"].alias("rotulos")).distinct()
+    return lists.select("agregado_id", F.explode("rotulos").alias("rotulo")).distinct()
+
+
 def dimension_labels(observations: DataFrame) -> list[str]:
     """Distinct dimension labels, in order: the names of classifications, not values."""
     rows = observations.select(F.explode("dimensoes.rotulo").alias("rotulo")).distinct().collect()

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tulha.functions.values import period_year
-from tulha.operators.observations import dataset_view, flatten_observations
+from tulha.operators.observations import dataset_view, flatten_observations, published_labels
 from tulha.operators.quality import lineage_rows, with_lineage
 from tulha.operators.quarantine import mark_blocks, split_marked
 from tulha.operators.silver import latest_by_key, split_typed
@@ -131,15 +131,14 @@ def ingest_responses(
     report = None
     if not loaded.isEmpty():
         report = write_evolving(spark, loaded, table, partition_by=["agregado_id", "ano"])
-        add_labels(spark, loaded, table)
+        add_labels(spark, published_labels(good, dataset_id=dataset_id), table)
     rejects = write_evolving(spark, with_lineage(bad, batch_id, ingest_ts, F.col("source_file")), rejects_table)
     drop_folder(spark, staged)
     return report, rejects
 
 
-def add_labels(spark: SparkSession, observations: DataFrame, table: str) -> None:
+def add_labels(spark: SparkSession, found: DataFrame, table: str) -> None:
     """Append the dimension labels that the labels table of `table` lacks: a row per dataset and classification."""
-    found = observations.select("agregado_id", F.explode("dimensoes.rotulo").alias("rotulo")).distinct()
     name = table + LABELS
     if spark.catalog.tableExists(name):
         found = found.join(spark.table(name), ["agregado_id", "rotulo"], "left_anti")
