@@ -213,3 +213,28 @@ def test_a_rename_is_two_statements_however_many_partitions(spark, monkeypatch):
     assert sorted(r.id for r in spark.table(f"{db}.u").collect()) == list(range(200))
     assert {(r.p, r.q) for r in spark.table(f"{db}.u").collect()} == {(r.p, r.q) for r in rows.collect()}
     assert spark.table(f"{db}.u").where("p is null").count() == rows.where("p is null").count() > 0
+
+
+def test_partitioned_writes_keep_files_open_instead_of_sorting(spark):
+    name = f"{fresh_database(spark, 'teste')}.t"
+    rows = spark.range(1000).selectExpr("id", "id % 40 AS p")
+    evolve.write_evolving(spark, rows, name, partition_by=["p"])
+    evolve.write_evolving(spark, rows.where("p < 3"), name)
+    setting = "spark.sql.maxConcurrentOutputFileWriters"
+    before, explain = spark.conf.get(setting), f"EXPLAIN INSERT INTO {name} BY NAME SELECT id, p FROM {name}"
+    assert " Sort [" in spark.sql(explain).first().plan
+    with evolve.open_writers(spark):
+        assert " Sort [" not in spark.sql(explain).first().plan
+    assert spark.conf.get(setting) == before
+    # More values than open files in a task: the rest is sorted, and no row is lost.
+    assert spark.table(name).groupBy("p").count().where("count = IF(p < 3, 50, 25)").count() == 40
+
+
+def test_a_keyed_write_sorts_nothing(spark, monkeypatch):
+    asked = []
+    kept = evolve.open_writers
+    monkeypatch.setattr(evolve, "open_writers", lambda session: asked.append(1) or kept(session))
+    name = f"{fresh_database(spark, 'teste')}.t"
+    for number in (0, 1, 1):
+        evolve.write_keyed(spark, spark.range(10).selectExpr("id", "id % 2 AS p"), name, "lote", number, ["p"])
+    assert len(asked) == 3 and spark.table(name).groupBy("lote", "p").count().where("count = 5").count() == 4

@@ -119,16 +119,16 @@ def ingest_incremental_responses(
     def load(number: int, files: Mapping[str, int]) -> None:
         landed = spark.read.schema(f"`{dataset_id}` string, body string").json(_as_globs(files)).select(dataset_id, "body", file_name().alias("source_file"))
         staged = fresh_path(spark, "marked")
-        mark_blocks(landed.withColumn("resposta", F.monotonically_increasing_id())).write.parquet(staged)
+        mark_blocks(landed, size="n_blocos").write.parquet(staged)
         marked = spark.read.parquet(staged)
         good, bad = split_marked(marked)
         lineage = lambda df: with_lineage(df, f"lote-{number}", ingest_ts, F.col("source_file")).drop("source_file")
         rows = lineage(flatten_observations(good, dataset_id=dataset_id, keep=["source_file"])).withColumn("ano", period_year(F.col("periodo")))
         write_keyed(spark, rows, table, BATCH, number, partition_by=["agregado_id"])
-        write_keyed(spark, lineage(bad.drop("resposta")), rejects_table, BATCH, number)
-        counts = reconciled(marked, ["source_file", "resposta"]).groupBy(F.col("source_file").alias("_source_file"))
-        totals = counts.agg(*[F.sum(c).alias(c) for c in ("n_esperados", "n_carregados", "n_rejeitados")], F.count(F.lit(1)).alias("n_respostas"))
-        _keep_ledger(spark, table, number, files, ingest_ts, totals)
+        write_keyed(spark, lineage(bad.drop("n_blocos")), rejects_table, BATCH, number)
+        counts = reconciled(marked, ["source_file"], "n_blocos").drop("conferido").withColumnRenamed("source_file", "_source_file")
+        columns = ["_source_file", "n_esperados", "n_carregados", "n_rejeitados", "n_respostas"]
+        _keep_ledger(spark, table, number, files, ingest_ts, counts.select(*columns))
         drop_folder(spark, staged)
 
     return run_landed(spark, folder, checkpoint, load, glob, files_per_trigger)

@@ -6,7 +6,8 @@ append, add columns then append, or set the old table aside and start anew.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 from dataclasses import dataclass, field
 from datetime import datetime, timezone
 
@@ -96,6 +97,27 @@ def rebalanced(df: DataFrame, columns: Sequence[str] = ()) -> DataFrame:
     return df.hint("rebalance", *columns)
 
 
+#: Files a task of a partitioned write keeps open. Rebalanced rows have few partition values in a task.
+OPEN_WRITERS = 16
+
+
+@contextmanager
+def open_writers(spark: SparkSession) -> Iterator[None]:
+    """Partitioned writes inside keep a file open per value instead of sorting a task's rows in memory by it.
+
+    A slice of the shuffle is bounded in compressed bytes, so its sorted rows
+    may need many times that; rows that go straight to their files do not. A task with
+    more values than open files sorts what is left.
+    """
+    setting = "spark.sql.maxConcurrentOutputFileWriters"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, str(OPEN_WRITERS))
+    try:
+        yield
+    finally:
+        spark.conf.set(setting, before)
+
+
 def create_table(df: DataFrame, table: str, using: str = DEFAULT_FORMAT, partition_by: Sequence[str] = (), **options: str) -> None:
     """Write `df` as a new table, replacing none."""
     if partition_by:
@@ -103,7 +125,8 @@ def create_table(df: DataFrame, table: str, using: str = DEFAULT_FORMAT, partiti
     writer = df.write.format(using).options(**options)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    writer.saveAsTable(table)
+    with open_writers(df.sparkSession):
+        writer.saveAsTable(table)
 
 
 def _append(spark: SparkSession, df: DataFrame, table: str) -> None:
@@ -111,7 +134,8 @@ def _append(spark: SparkSession, df: DataFrame, table: str) -> None:
     partitions = [c.name for c in spark.catalog.listColumns(table) if c.isPartition]
     if partitions:
         df = rebalanced(df, [c for c in partitions if c in df.columns])
-    spark.sql(f"INSERT INTO {quoted(table)} BY NAME SELECT * FROM {{incoming}}", incoming=df)
+    with open_writers(spark):
+        spark.sql(f"INSERT INTO {quoted(table)} BY NAME SELECT * FROM {{incoming}}", incoming=df)
 
 
 def _free_backup_name(spark: SparkSession, table: str, now: datetime) -> str:
@@ -199,7 +223,8 @@ def write_keyed(spark: SparkSession, df: DataFrame, table: str, key: str, value:
         add_columns(spark, table, diff.added)
     rows = rebalanced(df.withColumnsRenamed(diff.renamed), partition_by)
     place = ", ".join([f"{quoted_column(key)} = {value}", *map(quoted_column, partition_by)])
-    spark.sql(f"INSERT OVERWRITE {quoted(table)} PARTITION ({place}) BY NAME SELECT * FROM {{incoming}}", incoming=rows)
+    with open_writers(spark):
+        spark.sql(f"INSERT OVERWRITE {quoted(table)} PARTITION ({place}) BY NAME SELECT * FROM {{incoming}}", incoming=rows)
     return WriteReport(table, "add_columns" if diff.added else "replace", added=[f.name for f in diff.added])
 
 
