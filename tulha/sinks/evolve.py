@@ -10,6 +10,7 @@ from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
 from dataclasses import dataclass, field
 from datetime import datetime, timezone
+from threading import Lock
 
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
@@ -99,6 +100,7 @@ def rebalanced(df: DataFrame, columns: Sequence[str] = ()) -> DataFrame:
 
 #: Files a task of a partitioned write keeps open. Rebalanced rows have few partition values in a task.
 OPEN_WRITERS = 16
+_writes_lock, _writes, _before = Lock(), [], []
 
 
 @contextmanager
@@ -110,12 +112,19 @@ def open_writers(spark: SparkSession) -> Iterator[None]:
     more values than open files sorts what is left.
     """
     setting = "spark.sql.maxConcurrentOutputFileWriters"
-    before = spark.conf.get(setting)
-    spark.conf.set(setting, str(OPEN_WRITERS))
+    # Loads run in threads of one session: the first one in sets it, the last one out restores it.
+    with _writes_lock:
+        if not _writes:
+            _before.append(spark.conf.get(setting))
+            spark.conf.set(setting, str(OPEN_WRITERS))
+        _writes.append(1)
     try:
         yield
     finally:
-        spark.conf.set(setting, before)
+        with _writes_lock:
+            _writes.pop()
+            if not _writes:
+                spark.conf.set(setting, _before.pop())
 
 
 def create_table(df: DataFrame, table: str, using: str = DEFAULT_FORMAT, partition_by: Sequence[str] = (), **options: str) -> None:
