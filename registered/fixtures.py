@@ -146,12 +146,16 @@ def nested_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+#: Responses in a landed file. A compressed file is read by one task, so the files are what spreads the reading.
+RESPONSES_PER_FILE = 10_000
+
+
 def land_responses(spark: SparkSession, sf_dir: str, dataset: Column, body: Column) -> DataFrame:
-    """Response bodies landed as JSON lines and read back: `agregado_id`, `body`, `source_file`."""
+    """Response bodies landed as compressed JSON lines and read back: `agregado_id`, `body`, `source_file`."""
     path = fresh_path(spark, "landed")
     nested_responses(spark, sf_dir).select(
         dataset.alias("agregado_id"), body.alias("body"), F.lit("respostas.json").alias("source_file")
-    ).write.json(path)
+    ).write.option("maxRecordsPerFile", RESPONSES_PER_FILE).json(path, compression="gzip")
     return spark.read.schema("agregado_id string, body string, source_file string").json(path)
 
 

@@ -1,10 +1,13 @@
 import json
+import os
 import random
 
 import pytest
 from pyspark.sql import functions as F
 
+from registered import fixtures as fx
 from tulha.operators import catalogue, observations as obs, quarantine
+from tulha.plans import ingest
 from tulha.plans.ingest import ingest_responses, register_catalogue_views, register_dataset_views
 from tulha.session import fresh_database
 from tulha.sources import responses
@@ -244,3 +247,25 @@ def test_labels_of_results_that_hold_observations(spark):
     found = obs.published_labels(good)
     assert sorted(map(tuple, found.collect())) == sorted(map(tuple, flat.collect())) == [("7", "2"), ("7", "Tipo")]
     assert "serie#" not in found._jdf.queryExecution().executedPlan().toString()
+
+
+def test_landed_and_staged_responses_take_little_disk(spark, tmp_path, monkeypatch):
+    """Landed bodies are many times the table they come from, so they lie compressed, in files that several tasks can read."""
+    k = F.col("id")
+    day = F.date_add(F.lit("1995-01-01"), (k % 2000).cast("int")).cast("timestamp_ntz")
+    spark.range(0, 1000, 1, 1).select(
+        k.alias("o_orderkey"), F.xxhash64(k).alias("o_custkey"), F.lit("F").alias("o_orderstatus"), (F.pmod(F.xxhash64(k), F.lit(10**7)) / 100).alias("o_totalprice"),
+        day.alias("o_orderdate"), F.lit("1-URGENT").alias("o_orderpriority"),
+    ).write.parquet(f"{tmp_path}/orders.parquet")
+    monkeypatch.setattr(fx, "RESPONSES_PER_FILE", 300)
+    landed = fx.land_responses(spark, str(tmp_path), F.lit("d"), F.to_json("parsed"))
+    files = [f.removeprefix("file://") for f in landed.inputFiles()]
+    assert len(files) == 4 and all(f.endswith(".json.gz") for f in files)
+    assert 5 * sum(map(os.path.getsize, files)) < landed.agg(F.sum(F.octet_length("body"))).first()[0]
+    bodies = sorted(r.body for r in landed.collect())
+    assert bodies == sorted(r.body for r in fx.nested_responses(spark, str(tmp_path)).select(F.to_json("parsed").alias("body")).collect())
+    staged, drop = [], ingest.drop_folder
+    monkeypatch.setattr(ingest, "drop_folder", lambda spark, path: (staged.extend(spark.read.parquet(path).inputFiles()), drop(spark, path)))
+    db = fresh_database(spark, "teste")
+    ingest_responses(spark, landed, f"{db}.obs", "c1", "2024-01-01 00:00:00", f"{db}.rej")
+    assert staged and all(f.endswith(".zstd.parquet") for f in staged) and spark.table(f"{db}.obs").count() > 1000

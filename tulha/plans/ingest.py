@@ -123,7 +123,7 @@ def ingest_responses(
     `<table>_rotulos`, so that views need not read the observations for them.
     """
     staged = fresh_path(spark, "marked")
-    mark_blocks(responses).write.parquet(staged)
+    mark_blocks(responses).write.parquet(staged, compression="zstd")
     marked = spark.read.parquet(staged)
     good, bad = split_marked(marked)
     rows = flatten_observations(good, dataset_id=dataset_id, keep=[*keep, "source_file"])
